@@ -157,7 +157,7 @@ class Mix:
     def copies(self, rows: DataFrame) -> DataFrame:
         """rows (doc_id, source, size and others) with source_size, target, rate and copies."""
         if not self.sources:
-            return rows.selectExpr("*", "size source_size", "double(0) target", "double(0) rate", "long(0) copies")
+            return rows.selectExpr("*", "size source_size", "double(0) target", "double(0) rate", "bigint(0) copies")
         found = copies_of(rows, self.sources)
         number = F.col("whole") + F.when(F.col("key") < F.col("shift"), 1).otherwise(0)
         found = found.withColumn("copies", number.cast("long")).drop("tilt", "scale", "flat", "shift", "whole", "key")
