@@ -40,9 +40,12 @@ class Parameters:
     orders: tuple[int, ...] = (3, 4, 5, 6)
     bits: int = 17
     dims: int = 8
+    #: Passes over the words and rounds over the documents; small samples get more, for so many steps at least.
     epochs: int = 3
     rounds: int = 6
+    steps: int = 150
     rate: float = 0.3
+    prior: float = 2.0
 
 
 @dataclass
@@ -115,11 +118,15 @@ def fit(sample: list[tuple[str, int]], counts: dict, p: Parameters = Parameters(
         at = np.repeat(first[which] - starts[:-1], sizes) + np.arange(starts[-1])
         model.step(bucket[at], part[at], starts, wanted, p.rate)
 
-    known = np.flatnonzero(seen)
+    # one document says little of a word: shares are drawn towards that of all documents, and words of one document wait
+    usual = float((y[docs] == 1).mean())
+    toxicity = (toxic + p.prior * usual) / (seen + p.prior)
+    known = np.flatnonzero(seen > 1) if (seen > 1).any() else np.flatnonzero(seen)
     weight = np.minimum(seen, 20)
-    wanted = np.stack([clean / np.maximum(seen, 1) * weight, toxic / np.maximum(seen, 1) * weight], axis=1)
-    for _ in range(p.epochs):
-        for some in np.array_split(rng.permutation(known), max(1, len(known) // 2048)):
+    wanted = np.stack([(1 - toxicity) * weight, toxicity * weight], axis=1)
+    blocks = max(1, len(known) // 2048)
+    for _ in range(max(p.epochs, -(-p.steps // blocks))):
+        for some in np.array_split(rng.permutation(known), blocks):
             learn(some, wanted[some])
 
     def of_types() -> tuple[np.ndarray, float]:
@@ -127,10 +134,11 @@ def fit(sample: list[tuple[str, int]], counts: dict, p: Parameters = Parameters(
         table = table[:, 1] - table[:, 0]
         return np.bincount(of, weights=table[bucket] * part, minlength=len(ids)) + float(model.bias[1] - model.bias[0]), float(model.bias[1] - model.bias[0])
 
-    for _ in range(p.rounds):
+    blocks = max(1, len(docs) // 512)
+    for _ in range(max(p.rounds, -(-p.steps // blocks // 4))):
         score, _ = of_types()
         top = np.array([own[d][score[own[d]].argmax()] if len(own[d]) else -1 for d in docs])
-        for some in np.array_split(rng.permutation(np.flatnonzero(top >= 0)), max(1, len(docs) // 512)):
+        for some in np.array_split(rng.permutation(np.flatnonzero(top >= 0)), blocks):
             learn(top[some], np.stack([1 - y[docs[some]], y[docs[some]]], axis=1).astype(float))
     score, bias = of_types()
     kept = np.flatnonzero(apart)
