@@ -43,9 +43,9 @@ class Parameters:
     #: Passes over the words and rounds over the documents; small samples get more, for so many steps at least.
     epochs: int = 3
     rounds: int = 6
-    steps: int = 150
+    steps: int = 40
     rate: float = 0.3
-    prior: float = 2.0
+    prior: float = 1.0
 
 
 @dataclass
