@@ -1,6 +1,564 @@
-"""All registered queries and the SQL that each must equal."""
+"""All registered queries of the engine's own operators, each beside the SQL that it must equal.
+
+The driver's tables are not web payloads, so queries make payloads (sentences, scripts, boards) from their columns, the
+same on both sides.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemill.functions import places, text
+from tidemill.operators import contracts, extraction, fetchlog, snapshots, upserts
+from tidemill.sources import ingest, parsers, sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+c, lit = F.col, F.lit
+DEC = "decimal(18,2)"
+
+
+# Normalizers
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(nfc_normalize(text), '\s+', ' ', 'g')) AS cleaned FROM documents")
+def clean_text_docs(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.clean(c("text")).alias("cleaned"))
+
+
+@query(r"SELECT doc_id, sha1(replace(lower(strip_accents(trim(regexp_replace(text, '\s+', ' ', 'g')))), 'ß', 'ss')) AS folded FROM documents")
+def fold_match(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha1(text.fold(c("text"))).alias("folded"))
+
+
+@query("SELECT c_custkey, c_name AS name FROM customer")
+def strip_quotes(spark, d):
+    return table(spark, d, "customer").select("c_custkey", text.strip_quotes(F.concat(lit(" “« "), c("c_name"), lit("»' ” "))).alias("name"))
+
+
+@query("SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS dotted, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS comma, CAST(NULL AS VARCHAR) AS none, '0.50' AS rupees FROM orders")
+def parse_money(spark, d):
+    plain = c("o_totalprice").cast(DEC)
+    return table(spark, d, "orders").select(
+        "o_orderkey",
+        text.money(F.concat(lit("US$ "), F.format_number(plain, 2))).cast(DEC).cast("string").alias("dotted"),
+        text.money(F.concat(F.translate(F.format_number(plain, 2), ".,", ",."), lit(" COP")), ",").cast(DEC).cast("string").alias("comma"),
+        text.money(lit("free")).cast(DEC).cast("string").alias("none"),
+        text.money(lit("Rs. 500")).cast(DEC).cast("string").alias("rupees"),
+    )
+
+
+@query("SELECT p_partkey, CAST(p_size * 1000 AS BIGINT) AS stock, CAST(NULL AS BIGINT) AS missing FROM part")
+def first_int(spark, d):
+    told = F.concat(lit("In stock ("), F.format_number(c("p_size") * 1000, 0), lit(" available)"))
+    return table(spark, d, "part").select("p_partkey", text.first_int(told).alias("stock"), text.first_int(lit("none")).alias("missing"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 7 <= 5 THEN CAST(p_size % 7 AS VARCHAR) END AS stars FROM part")
+def word_to_int(spark, d):
+    words = F.array(*map(lit, [" Zero", "ONE", "two", "Three ", "four", "five", "six"]))
+    return table(spark, d, "part").select("p_partkey", text.word_to_int(F.get(words, c("p_size") % 7)).cast("string").alias("stars"))
+
+
+@query("SELECT p_partkey, CAST(p_size * 1000 AS DOUBLE) AS short, CAST(p_size * 1500 AS DOUBLE) AS long FROM part")
+def scaled_money(spark, d):
+    return table(spark, d, "part").select("p_partkey", text.scaled(F.concat(c("p_size").cast("string"), lit("k"))).alias("short"), text.scaled(F.format_number(c("p_size") * 1500, 0)).alias("long"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS by_millis, strftime(ts, '%Y-%m-%d') AS by_text FROM events")
+def epoch_to_date(spark, d):
+    at = c("ts").cast("timestamp")
+    return table(spark, d, "events").select("event_id", text.millis_date(F.unix_millis(at)).cast("string").alias("by_millis"), text.iso_date(F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), lit("-05:00"))).cast("string").alias("by_text"))
+
+
+@query("SELECT substr(sha1(lower(p_brand) || '|' || lower(p_type)), 1, 12) AS family_id, count(*) AS parts FROM part GROUP BY 1")
+def family_hash(spark, d):
+    return table(spark, d, "part").groupBy(text.family_id(c("p_brand"), c("p_type")).alias("family_id")).agg(F.count("*").alias("parts"))
+
+
+@query("SELECT sha1(text) AS digest, count(*) AS copies FROM documents GROUP BY 1")
+def doc_sha1(spark, d):
+    return table(spark, d, "documents").groupBy(F.sha1("text").alias("digest")).agg(F.count("*").alias("copies"))
+
+
+CELLS = """SELECT event_id, event_type || '|' || CAST(user_id AS VARCHAR) AS tags, {flag} AS big, '' AS nothing, '{{"k":' || json_extract_string(props, '$.k') || '}}' AS props, {empty} AS empty FROM events"""
+
+
+def _cells(spark, d):
+    rows = table(spark, d, "events")
+    props = F.from_json("props", "map<string,int>")
+    return rows.select("event_id", F.array("event_type", c("user_id").cast("string")).alias("tags"), (c("value") > 5).alias("big"), lit(None).cast("string").alias("nothing"), props.alias("props"), F.map_filter(props, lambda k, v: v < 0).alias("empty"))
+
+
+@query(CELLS.format(flag="CASE WHEN value > 5 THEN 'true' ELSE 'false' END", empty="'{}'").replace("SELECT event_id", "SELECT CAST(event_id AS VARCHAR) AS event_id"))
+def csv_cell_encode(spark, d):
+    return sinks.cells(_cells(spark, d))
+
+
+@query(CELLS.format(flag="CASE WHEN value > 5 THEN 'TRUE' ELSE 'FALSE' END", empty="''").replace("SELECT event_id", "SELECT CAST(event_id AS VARCHAR) AS event_id"))
+def sheet_cell_encode(spark, d):
+    return sinks.cells(_cells(spark, d), sheet=True)
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS whole, CAST(json_extract(props, '$.k') AS DOUBLE) AS real, json_extract_string(props, '$.k') AS plain, '{\"k\":' || json_extract_string(props, '$.k') || '}' AS fenced FROM events")
+def cast_and_fence(spark, d):
+    k = F.get_json_object("props", "$.k")
+    fenced = text.fenced_json(F.concat(lit("```json\n"), c("props"), lit("\n```")))
+    return table(spark, d, "events").select("event_id", text.as_kind(k, "int").alias("whole"), text.as_kind(k, "float").alias("real"), text.as_kind(k, "str").alias("plain"), F.to_json(fenced).alias("fenced"))
+
+
+LOCATIONS = ("Bogotá, Colombia", "London; PARIS", "us-based (U.S.)", "Campus City", "Remote, Latin America", "Worldwide")
+PLACES_SQL = "CASE c_custkey % 6 WHEN 0 THEN ['CO'] WHEN 1 THEN ['FR', 'GB'] WHEN 2 THEN ['US'] ELSE []::VARCHAR[] END"
+
+
+def _located(spark, d):
+    rows = table(spark, d, "customer").withColumn("location", F.get(F.array(*map(lit, LOCATIONS)), (c("c_custkey") % 6).cast("int")))
+    rows = rows.withColumn("folded", text.fold(c("location"))).withColumn("remote", F.when(c("c_custkey") % 4 == 0, True).when(c("c_custkey") % 4 == 1, False))
+    return rows.withColumn("countries", places.codes(c("folded")))
+
+
+@query(f"SELECT c_custkey, array_to_string({PLACES_SQL}, '|') AS countries FROM customer")
+def place_codes(spark, d):
+    return _located(spark, d).select("c_custkey", F.array_join("countries", "|").alias("countries"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 6 IN (0, 4) THEN true WHEN c_custkey % 6 = 5 AND c_custkey % 4 = 0 THEN true WHEN c_custkey % 6 IN (1, 2) THEN false END AS open FROM customer")
+def eligibility_three_valued(spark, d):
+    return _located(spark, d).select("c_custkey", places.open_to("CO", c("countries"), c("folded"), c("remote")).alias("open"))
+
+
+# Contracts
+
+
+def line_spec(**more) -> contracts.Spec:
+    rules = {"l_quantity: not above 0": c("l_quantity") > 0, "l_discount: not 0 to 1": c("l_discount").between(0, 1), "l_returnflag: unknown": c("l_returnflag").isin("A", "N", "R")}
+    return contracts.Spec("lineitem", ("l_orderkey", "l_linenumber"), rules, **more)
+
+
+ORDER_SQL = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+
+
+def line_order() -> list:
+    """All other columns: with the key a total order, so that which row is first is determined."""
+    return [c(x) for x in ORDER_SQL.split(", ")]
+
+
+def order_spec() -> contracts.Spec:
+    rules = {"o_totalprice: not above 200000": c("o_totalprice") > 200000, "o_orderstatus: unknown": c("o_orderstatus").isin("F", "O"), "o_orderpriority: no number": c("o_orderpriority").rlike("^[1-5]-")}
+    return contracts.Spec("orders", ("o_orderkey",), rules)
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_totalprice > 200000 AND o_orderstatus IN ('F', 'O') AND regexp_matches(o_orderpriority, '^[1-5]-')")
+def validate_orders(spark, d):
+    return contracts.validated(table(spark, d, "orders"), order_spec()).filter(F.size("_errors") == 0).select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+@query(
+    """SELECT o_orderkey AS row_order, CAST(o_orderkey AS VARCHAR) AS key,
+    concat_ws('; ', CASE WHEN NOT o_totalprice > 200000 THEN 'o_totalprice: not above 200000' END, CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'o_orderstatus: unknown' END) AS errors
+    FROM orders WHERE NOT (o_totalprice > 200000 AND o_orderstatus IN ('F', 'O'))"""
+)
+def row_errors(spark, d):
+    return contracts.row_errors(contracts.validated(table(spark, d, "orders"), order_spec()), c("o_orderkey"), ("o_orderkey",))
+
+
+@query(f"SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {ORDER_SQL}) AS n FROM lineitem) WHERE n = 1")
+def dedup_keep_first(spark, d):
+    return contracts.keep_first(table(spark, d, "lineitem"), ("l_orderkey", "l_linenumber"), line_order())
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_keys(spark, d):
+    return contracts.duplicates(table(spark, d, "lineitem"), ("l_orderkey", "l_linenumber"))
+
+
+@query(
+    """SELECT 'flag' AS field, round(avg(CASE WHEN l_returnflag <> 'N' THEN 1.0 ELSE 0.0 END), 6) AS fill_rate FROM lineitem
+    UNION ALL SELECT 'l_tax', 1.0 UNION ALL SELECT 'late', round(avg(CASE WHEN l_quantity > 10 THEN 1.0 ELSE 0.0 END), 6) FROM lineitem"""
+)
+def fill_rates(spark, d):
+    rows = table(spark, d, "lineitem").select(F.nullif("l_returnflag", lit("N")).alias("flag"), "l_tax", F.when(c("l_quantity") > 10, c("l_tax")).alias("late"))
+    return contracts.fill_rates(rows, ["flag", "l_tax", "late"]).select("field", F.round("fill_rate", 6).alias("fill_rate"))
+
+
+@query(
+    """SELECT n_nationkey, declared, coalesce(listed, 0) AS listed, coalesce(listed, 0) = declared AS complete FROM
+    (SELECT n_nationkey, CAST(n_nationkey % 3 AS BIGINT) + 58 AS declared FROM nation) LEFT JOIN (SELECT c_nationkey AS n_nationkey, count(*) AS listed FROM customer GROUP BY 1) USING (n_nationkey)"""
+)
+def coverage_by_group(spark, d):
+    declared = table(spark, d, "nation").select("n_nationkey", ((c("n_nationkey") % 3).cast("bigint") + 58).alias("declared"))
+    return contracts.group_coverage(table(spark, d, "customer").withColumnRenamed("c_nationkey", "n_nationkey"), declared, "n_nationkey")
+
+
+GATE = f"""WITH v AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {ORDER_SQL}) AS n FROM lineitem
+      WHERE l_quantity > 0 AND l_discount BETWEEN 0 AND 1 AND l_returnflag IN ('A', 'N', 'R')),
+    t AS (SELECT count(*) FILTER (WHERE n = 2) AS repeated, count(*) FILTER (WHERE n = 1) AS delivered, avg(CASE WHEN n = 1 THEN 1.0 END) AS fill FROM v),
+    o AS (SELECT count(*) AS orders, count(*) FILTER (WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS got FROM orders),
+    k AS (SELECT 'schema' AS name, (SELECT count(*) FROM lineitem) = (SELECT count(*) FROM v) AS passed, CAST((SELECT count(*) FROM lineitem) - (SELECT count(*) FROM v) AS VARCHAR) || ' invalid rows' AS detail, true AS blocking
+      UNION ALL SELECT 'unique key', repeated = 0, CAST(repeated AS VARCHAR) || ' duplicated keys', true FROM t
+      UNION ALL SELECT 'fill rate l_shipdate', fill >= 0.95, '100.0 %', true FROM t
+      UNION ALL SELECT 'orders covered', got = orders, CAST(got AS VARCHAR) || ' of ' || CAST(orders AS VARCHAR), true FROM o
+      UNION ALL SELECT 'late share', got >= 0, '', false FROM o)
+    SELECT *, CASE WHEN passed THEN 'PASS' WHEN blocking THEN 'FAIL' ELSE 'WARN' END AS status,
+      CASE WHEN (SELECT bool_and(passed OR NOT blocking) FROM k) THEN 'READY' ELSE 'NOT READY' END AS verdict FROM k"""
+
+
+@query(GATE)
+def qa_gate(spark, d):
+    lines, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
+    seen = orders.select("o_orderkey").join(lines.select(c("l_orderkey").alias("o_orderkey")).distinct().withColumn("got", lit(1)), "o_orderkey", "left")
+    told = seen.agg(F.count("*").alias("orders"), F.count("got").alias("got"))
+    extra = told.select(
+        F.explode(
+            F.array(
+                F.struct(lit("orders covered").alias("name"), (c("got") == c("orders")).alias("passed"), F.concat(c("got").cast("string"), lit(" of "), c("orders").cast("string")).alias("detail"), lit(True).alias("blocking")),
+                F.struct(lit("late share").alias("name"), (c("got") >= 0).alias("passed"), lit("").alias("detail"), lit(False).alias("blocking")),
+            )
+        ).alias("k")
+    ).select("k.*")
+    return contracts.gate(lines, line_spec(least_fill={"l_shipdate": 0.95}), line_order(), extra)
+
+
+@query(
+    """WITH e AS (SELECT user_id, CAST(floor((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) / 20) AS BIGINT) + 1 AS page FROM events),
+    p AS (SELECT user_id AS listing, page, count(*) - CASE WHEN user_id % 5 = 0 AND page = 2 THEN 1 ELSE 0 END AS n FROM e GROUP BY user_id, page),
+    l AS (SELECT *, lead(page) OVER (PARTITION BY listing ORDER BY page) IS NULL AS is_last FROM p)
+    SELECT * FROM l WHERE NOT CASE WHEN is_last THEN n BETWEEN 1 AND 20 ELSE n = 20 END"""
+)
+def page_yield_guard(spark, d):
+    from pyspark.sql import Window
+
+    rows = table(spark, d, "events").select("user_id", (F.floor((F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1) / 20) + 1).alias("page"))
+    pages = rows.groupBy(c("user_id").alias("listing"), "page").agg(F.count("*").alias("n"))
+    pages = pages.withColumn("n", c("n") - F.when((c("listing") % 5 == 0) & (c("page") == 2), 1).otherwise(0))
+    return contracts.page_yield(pages, 20)
+
+
+@query("SELECT count(*) AS compared, count(*) FILTER (WHERE (quality = 1) <> (n_chars >= 500)) AS conflicts FROM documents JOIN labels USING (doc_id)")
+def label_conflict(spark, d):
+    both = table(spark, d, "documents").select("doc_id", "n_chars").join(table(spark, d, "labels"), "doc_id")
+    return both.agg(F.count("*").alias("compared"), F.count_if((c("quality") == 1) != (c("n_chars") >= 500)).alias("conflicts"))
+
+
+@query(
+    """WITH b AS (SELECT o_custkey, o_orderkey, o_orderpriority AS v FROM orders),
+    g AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'changed' ELSE v END AS v FROM b WHERE o_orderkey % 7 <> 0 UNION ALL SELECT o_custkey, o_orderkey, v FROM b WHERE o_orderkey % 13 = 0 UNION ALL SELECT o_custkey, -o_orderkey - 1, v FROM b WHERE o_orderkey % 17 = 0),
+    h AS (SELECT o_custkey, o_orderkey, max_by(v, v = 'changed' OR o_orderkey % 13 <> 0) AS v, count(*) AS n FROM g GROUP BY ALL)
+    SELECT count(*) FILTER (WHERE h.n IS NULL AND b.o_orderkey % 14 <> 0) AS missing, count(*) FILTER (WHERE h.n IS NULL AND b.o_orderkey % 14 = 0) AS explained,
+      count(*) FILTER (WHERE b.o_orderkey IS NULL) AS extra, count(*) FILTER (WHERE b.o_orderkey % 11 = 0 AND b.o_orderkey % 7 <> 0 AND b.o_orderkey % 13 <> 0) AS mismatched,
+      CAST(sum(h.n - 1) AS BIGINT) AS duplicated FROM b FULL JOIN h ON b.o_custkey = h.o_custkey AND b.o_orderkey = h.o_orderkey"""
+)
+def cross_source_consistency(spark, d):
+    base = table(spark, d, "orders").select("o_custkey", "o_orderkey", c("o_orderpriority").alias("v"), lit(0).alias("_order"))
+    got = base.filter("o_orderkey % 7 <> 0").withColumn("v", F.when(c("o_orderkey") % 11 == 0, "changed").otherwise(c("v")))
+    again = base.filter("o_orderkey % 13 = 0").withColumn("_order", lit(1))
+    strange = base.filter("o_orderkey % 17 = 0").withColumn("o_orderkey", -c("o_orderkey") - 1)
+    return contracts.consistency(base, got.unionByName(again).unionByName(strange), ["o_custkey", "o_orderkey"], "v", base.filter("o_orderkey % 14 = 0"))
+
+
+# Snapshots
+
+
+def _cuts(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    before = orders.filter("o_orderkey % 5 <> 0")
+    now = orders.filter("o_orderkey % 7 <> 0").withColumn("o_orderstatus", F.when(c("o_orderkey") % 11 == 0, "X").otherwise(c("o_orderstatus")))
+    return before, now
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'new' WHEN o_orderkey % 7 = 0 THEN 'closed' ELSE 'changed' END AS change FROM orders WHERE (o_orderkey % 5 = 0) <> (o_orderkey % 7 = 0) OR (o_orderkey % 11 = 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0)")
+def snapshot_diff(spark, d):
+    return snapshots.diff(*_cuts(spark, d), ["o_orderkey"], ["o_orderstatus", "o_totalprice"])
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 3 <> 0 UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 9 = 0 AND o_orderkey % 5 <> 0")
+def carry_over(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    failed = table(spark, d, "customer").filter("c_custkey % 9 = 0").select(c("c_custkey").alias("o_custkey"))
+    return snapshots.carried(orders.filter("o_orderkey % 5 <> 0"), orders.filter("o_custkey % 3 <> 0"), failed, "o_custkey")
+
+
+@query("SELECT o_custkey, count(*) AS before FROM orders WHERE o_custkey % 3 = 0 AND o_custkey % 9 <> 0 AND o_custkey % 2 = 0 GROUP BY 1 HAVING count(*) >= 5")
+def silent_partition(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    customers = table(spark, d, "customer").select(c("c_custkey").alias("o_custkey"))
+    return snapshots.silent(orders, orders.filter("o_custkey % 3 <> 0"), customers.filter("o_custkey % 9 = 0"), customers.filter("o_custkey % 2 = 0"), "o_custkey")
+
+
+@query("SELECT o_custkey, count(*) AS before FROM orders WHERE o_custkey % 2 = 1 GROUP BY 1")
+def retired_partition(spark, d):
+    customers = table(spark, d, "customer").select(c("c_custkey").alias("o_custkey"))
+    return snapshots.retired(table(spark, d, "orders"), customers.filter("o_custkey % 2 = 0"), "o_custkey")
+
+
+@query("SELECT p_brand, p_type, count(*) AS n, min(p_partkey) AS first_at FROM part GROUP BY ALL ORDER BY n DESC, first_at LIMIT 15")
+def changelog_topk(spark, d):
+    return snapshots.top_groups(table(spark, d, "part"), ["p_brand", "p_type"], "p_partkey")
+
+
+POSTINGS_SQL = """p AS (SELECT p_partkey, substr(sha1(lower(p_brand) || '|' || lower(p_type)), 1, 12) AS family_id, p_brand AS company, p_type AS title, CASE p_partkey % 4 WHEN 0 THEN ['CO'] WHEN 1 THEN ['US', 'CO'] WHEN 2 THEN ['MX'] ELSE []::VARCHAR[] END AS countries,
+    CASE WHEN p_size > 45 THEN true WHEN p_size % 3 = 0 THEN false WHEN p_size % 11 = 1 THEN NULL ELSE false END AS open, CASE WHEN p_size % 2 = 0 THEN p_size END AS min_years, CASE WHEN p_size % 5 = 0 THEN 'B' || p_size END AS english_level, p_retailprice, DATE '2024-01-01' + p_size AS published, p_name AS url FROM part)"""
+
+
+@query(
+    f"""WITH {POSTINGS_SQL} SELECT family_id, arg_min(company, p_partkey) AS company, arg_min(title, p_partkey) AS title, count(*) AS postings,
+    array_to_string(list_sort(list_distinct(flatten(list(countries)))), '|') AS countries, CASE WHEN bool_or(open) THEN true WHEN count(*) > count(open) THEN NULL ELSE false END AS open_to_colombia,
+    CAST(max(min_years) AS VARCHAR) AS min_years, arg_min(english_level, p_partkey) FILTER (WHERE english_level IS NOT NULL) AS english_level, max(p_retailprice) AS pay_usd_hour_max, CAST(NULL AS DOUBLE) AS pay_usd_year_max,
+    strftime(min(published), '%Y-%m-%d') AS first_published, strftime(max(published), '%Y-%m-%d') AS last_published, coalesce(arg_min(url, p_partkey) FILTER (WHERE open), arg_min(url, p_partkey)) AS url FROM p GROUP BY family_id"""
+)
+def family_rollup(spark, d):
+    size = c("p_size")
+    rows = table(spark, d, "part").select(
+        "p_partkey", text.family_id(c("p_brand"), c("p_type")).alias("family_id"), c("p_brand").alias("company"), c("p_type").alias("title"),
+        F.when(c("p_partkey") % 4 == 0, F.array(lit("CO"))).when(c("p_partkey") % 4 == 1, F.array(lit("US"), lit("CO"))).when(c("p_partkey") % 4 == 2, F.array(lit("MX"))).otherwise(F.array().cast("array<string>")).alias("countries"),
+        F.when(size > 45, True).when(size % 3 == 0, False).when(size % 11 == 1, None).otherwise(False).alias("open_to_colombia"), F.when(size % 2 == 0, size).alias("min_years"),
+        F.when(size % 5 == 0, F.concat(lit("B"), size.cast("string"))).alias("english_level"), c("p_retailprice").alias("pay_usd_hour_max"), lit(None).cast("double").alias("pay_usd_year_max"),
+        F.date_add(lit("2024-01-01").cast("date"), size).alias("published"), c("p_name").alias("url"),
+    )
+    return snapshots.families(rows, "p_partkey").withColumns({"countries": F.array_join("countries", "|")} | {n: c(n).cast("string") for n in ("min_years", "first_published", "last_published")})
+
+
+@query("SELECT l_orderkey, CASE WHEN bool_or(l_returnflag = 'R') THEN true WHEN bool_or(l_returnflag = 'N') THEN NULL ELSE false END AS returned FROM lineitem GROUP BY 1")
+def three_valued_or(spark, d):
+    flag = F.when(c("l_returnflag") == "R", True).when(c("l_returnflag") == "A", False)
+    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(snapshots.three_valued_or(flag).alias("returned"))
+
+
+@query("SELECT CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS flag, count(*) AS n FROM lineitem GROUP BY 1")
+def flag_histogram(spark, d):
+    return table(spark, d, "lineitem").groupBy(F.when(c("l_returnflag") == "R", True).when(c("l_returnflag") == "A", False).alias("flag")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), '|') AS tags FROM events GROUP BY 1")
+def tag_union(spark, d):
+    return table(spark, d, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), "|").alias("tags"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+def resume_anti_join(spark, d):
+    todo, done = table(spark, d, "orders").select("o_orderkey"), table(spark, d, "lineitem").select(c("l_orderkey").alias("o_orderkey"))
+    return ingest.remaining(todo, done, "o_orderkey")
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS key, arg_max(event_type, event_id) AS kind, arg_max(CAST(json_extract(props, '$.k') AS INTEGER), event_id) AS k FROM events WHERE event_id % 10 <> 3 GROUP BY 1")
+def checkpoint_last_wins(spark, d):
+    line = F.to_json(F.struct(c("user_id").cast("string").alias("key"), F.struct(c("event_type").alias("kind"), F.get_json_object("props", "$.k").cast("int").alias("k")).alias("value")))
+    torn = F.when(c("event_id") % 10 == 3, F.substring(line, lit(1), F.length(line) - 9)).otherwise(line)
+    lines = table(spark, d, "events").select(c("event_id").alias("line_no"), torn.alias("line"))
+    return ingest.checkpoint(lines, "struct<kind:string,k:int>").select("key", "value.kind", "value.k")
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_custkey % 4 = 1 THEN '' WHEN c_custkey % 6 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment,
+    CASE WHEN c_custkey % 4 = 1 THEN '' ELSE 'by hand' END AS note, CASE WHEN c_custkey % 3 = 0 THEN 'x' WHEN c_custkey % 4 = 1 THEN 'x' ELSE '' END AS extra,
+    CASE WHEN c_custkey % 4 = 1 THEN 'inserted' WHEN c_custkey % 3 = 0 THEN 'updated' ELSE 'kept' END AS _change FROM customer WHERE c_custkey % 4 <> 1 OR c_custkey % 3 = 0"""
+    .replace("WHEN c_custkey % 4 = 1 THEN '' WHEN c_custkey % 6 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment", "WHEN c_custkey % 6 = 0 THEN 'NEW' WHEN c_custkey % 4 = 1 THEN '' ELSE c_mktsegment END AS c_mktsegment")
+)
+def upsert_merge(spark, d):
+    rows = table(spark, d, "customer").withColumn("k", c("c_custkey")).withColumn("c_custkey", c("c_custkey").cast("string"))
+    target = rows.filter("k % 4 <> 1").select("c_custkey", "c_mktsegment", lit("by hand").alias("note"))
+    new = rows.filter("k % 3 = 0").select("c_custkey", F.when(c("k") % 6 == 0, "NEW").otherwise("").alias("c_mktsegment"), lit("x").alias("extra"))
+    return upserts.upsert(target, new, "c_custkey")
+
+
+# Extraction
+
+SENTENCES = """SELECT p_partkey, p_size || '+ years of experience in ' || p_type || '. We pay $' || (p_size + 10) || ' per hour! Salary $' || (p_size + 20) || 'k - $' || (p_size + 90) || 'k.' || chr(10)
+    || CASE WHEN p_size % 2 = 0 THEN 'Fluent English (B2) needed. ' ELSE 'Advanced english is a plus. ' END || 'About ' || (p_size % 40 + 1) || '-' || (p_size % 40 + 9) || ' hours per week, or 5 years of experience.' AS t FROM part"""
+
+
+def _sentences(spark, d):
+    s = lambda x: x.cast("string")
+    p = c("p_size")
+    t = F.concat(
+        s(p), lit("+ years of experience in "), c("p_type"), lit(". We pay $"), s(p + 10), lit(" per hour! Salary $"), s(p + 20), lit("k - $"), s(p + 90), lit("k.\n"),
+        F.when(p % 2 == 0, "Fluent English (B2) needed. ").otherwise("Advanced english is a plus. "), lit("About "), s(p % 40 + 1), lit("-"), s(p % 40 + 9), lit(" hours per week, or 5 years of experience."),
+    )
+    return table(spark, d, "part").select("p_partkey", "p_size", "p_type", t.alias("t"))
+
+
+@query(r"""SELECT doc_id, len(p) AS n, sha1(array_to_string(p, chr(10))) AS joined FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), '[\x01\n]'), lambda x: trim(x)), lambda x: x <> '') AS p FROM documents)""")
+def passages(spark, d):
+    return table(spark, d, "documents").select("doc_id", extraction.passages(c("text")).alias("p")).select("doc_id", F.size("p").alias("n"), F.sha1(F.array_join("p", "\n")).alias("joined"))
+
+
+@query(
+    f"""SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 30 THEN greatest(p_size, 5) ELSE 5 END AS min_years, CASE WHEN p_size BETWEEN 5 AND 30 THEN p_size || '+ years of experience in ' || p_type || '.'
+    ELSE 'About ' || (p_size % 40 + 1) || '-' || (p_size % 40 + 9) || ' hours per week, or 5 years of experience.' END AS min_years_evidence,
+    CAST(p_size + 10 AS DOUBLE) AS pay_usd_hour_max, CAST((p_size + 90) * 1000 AS DOUBLE) AS pay_usd_year_max, CASE WHEN p_size % 2 = 0 THEN 'B2' ELSE 'advanced' END AS english_level,
+    (p_size % 40 + 1) || '-' || (p_size % 40 + 9) AS hours_per_week FROM ({SENTENCES}) JOIN part USING (p_partkey)"""
+)
+def rules_extract(spark, d):
+    return extraction.rules(_sentences(spark, d), "p_partkey", "t").select("p_partkey", "min_years", "min_years_evidence", "pay_usd_hour_max", "pay_usd_year_max", "english_level", "hours_per_week")
+
+
+@query(f"SELECT p_partkey, true AS verbatim, p_size % 2 = 0 AS level, false AS short, true AS number, 'advanced' = p_type AS foreign_word FROM ({SENTENCES}) JOIN part USING (p_partkey)")
+def evidence_checks(spark, d):
+    t = c("t")
+    pay = F.concat(lit("we  PAY $"), (c("p_size") + 10).cast("string"))
+    return _sentences(spark, d).select(
+        "p_partkey", extraction.supported(t, pay).alias("verbatim"), extraction.supported(t, lit("fluent english (b2)")).alias("level"), extraction.supported(t, lit("We")).alias("short"),
+        extraction.readable(c("p_size") + 10, pay, True).alias("number"), extraction.readable(c("p_type"), pay, False).alias("foreign_word"),
+    )
+
+
+@query(
+    """WITH e AS (SELECT doc_id, sha1(text) AS digest FROM documents), r AS (SELECT digest, min(doc_id) AS first_at, count(*) AS copies FROM e GROUP BY 1)
+    SELECT doc_id, digest AS description_sha1, CAST(NULL AS INTEGER) AS min_years FROM e JOIN r USING (digest)"""
+)
+def enrich_distinct(spark, d):
+    rows = extraction.enriched(table(spark, d, "documents").select("doc_id", "text"), "text", "doc_id")
+    return rows.select("doc_id", "description_sha1", "min_years")
+
+
+@query(
+    f"""WITH s AS ({SENTENCES}), q AS (SELECT sha1(t) AS description_sha1, min(CASE WHEN p_size > 40 THEN 0 WHEN p_size < 10 THEN 2 ELSE 1 END) AS rank, min(p_partkey) AS first_at FROM s JOIN part USING (p_partkey) GROUP BY 1)
+    SELECT description_sha1, rank FROM q ORDER BY rank, first_at LIMIT 25"""
+)
+def budget_topk(spark, d):
+    rows = _sentences(spark, d).withColumn("description_sha1", F.sha1("t"))
+    texts = rows.groupBy("description_sha1").agg(F.min("t").alias("text"))
+    for f in extraction.FIELDS:
+        rows = rows.withColumn(f, lit(None).cast("string"))
+    rank = F.when(c("p_size") > 40, 0).when(c("p_size") < 10, 2).otherwise(1)
+    return extraction.wanted(rows, texts, rank, "p_partkey", 25).select("description_sha1", "rank")
+
+
+# Parsers
+
+
+@query(r"""SELECT page_id, trim(replace(regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;?', '&', 'g'), '&quot;', '"')) AS title FROM pages""")
+def page_title(spark, d):
+    return table(spark, d, "pages").select("page_id", F.trim(parsers.page_title("html", "url")).alias("title"))
+
+
+@query()
+def html_text(spark, d):
+    return table(spark, d, "pages").select("page_id", text.html_to_text(c("html")).alias("text"))
+
+
+@query()
+def links_resolved(spark, d):
+    return table(spark, d, "pages").select("page_id", F.posexplode(parsers.links("html", "url")).alias("pos", "link"))
+
+
+@query("SELECT doc_id, text, [lang, source] AS tags FROM documents")
+def embedded_json(spark, d):
+    rows = F.to_json(F.array(F.struct("text", F.struct(c("source").alias("name")).alias("author"), F.array("lang", "source").alias("tags"))))
+    page = F.concat(lit("<html><script>\n  var data = "), rows, lit(";\n for (var i in data) {}</script></html>"))
+    kind = "array<struct<text:string,author:struct<name:string>,tags:array<string>>>"
+    return table(spark, d, "documents").select("doc_id", F.inline(parsers.embedded(page, kind))).select("doc_id", "text", "tags")
+
+
+@query(r"""SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text, source AS author, array_to_string(list_sort(list_distinct([lang, source])), '|') AS tags, doc_id % 2 = 0 AS has_next FROM documents""")
+def json_flatten(spark, d):
+    quote = F.struct("text", F.struct(c("source").alias("name")).alias("author"), F.array("lang", "source", lit(" "), "lang").alias("tags"))
+    body = F.to_json(F.struct((c("doc_id") % 2 == 0).alias("has_next"), lit(1).alias("page"), F.array(quote).alias("quotes")))
+    rows = parsers.quotes_of_api(table(spark, d, "documents").select(c("doc_id").alias("url"), body.alias("body")))
+    return rows.select(c("url").alias("doc_id"), "text", "author", F.array_join("tags", "|").alias("tags"), "has_next")
+
+
+@query("SELECT 'greenhouse:' || p_brand || ':' || p_partkey AS key, p_name AS title, CASE p_partkey % 6 WHEN 0 THEN 'CO' WHEN 1 THEN 'FR|GB' WHEN 2 THEN 'US' ELSE '' END AS countries, CASE WHEN p_partkey % 6 = 4 THEN true END AS remote, strftime(DATE '2024-01-01' + p_size, '%Y-%m-%d') AS published, p_type || chr(10) || 'a & b' AS description FROM part")
+def board_postings(spark, d):
+    where = F.get(F.array(*map(lit, LOCATIONS)), (c("p_partkey") % 6).cast("int"))
+    day = F.concat(F.date_add(lit("2024-01-01").cast("date"), c("p_size")).cast("string"), lit("T10:00:00-05:00"))
+    job = F.struct(c("p_partkey").alias("id"), c("p_name").alias("title"), lit("http://x").alias("absolute_url"), F.struct(where.alias("name")).alias("location"), day.alias("first_published"), F.concat(lit("&lt;p&gt;"), c("p_type"), lit("&lt;/p&gt;&lt;b&gt;a &amp;amp; b&lt;/b&gt;")).alias("content"))
+    boards = table(spark, d, "part").select(lit("greenhouse").alias("source"), c("p_brand").alias("board"), c("p_brand").alias("company"), F.to_json(F.struct(F.array(job).alias("jobs"))).alias("body"))
+    return parsers.greenhouse(boards).select("key", "title", F.array_join("countries", "|").alias("countries"), "remote", c("published").cast("string").alias("published"), "description")
+
+
+@query("SELECT conv_id, turn, CAST(max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS VARCHAR) AS asked FROM conversations")
+def pair_turns(spark, d):
+    rows = table(spark, d, "conversations")
+    return snapshots.forward_filled(rows, F.when(c("role") == "user", c("turn")), ["conv_id"], "turn", "asked").select("conv_id", "turn", c("asked").cast("string").alias("asked"))
+
+
+@query("SELECT conv_id || ':' || turn AS url, CAST(turn AS INTEGER) AS step FROM conversations")
+def next_link_walk(spark, d):
+    name = lambda turn: F.concat(c("conv_id").cast("string"), lit(":"), turn.cast("string"))
+    rows = table(spark, d, "conversations").select("turn", name(c("turn")).alias("url"), name(c("turn") + 1).alias("next_url"))
+    return ingest.walk(rows, rows.filter("turn = 0").select("url")).withColumn("step", c("step").cast("int"))
+
+
+@query("SELECT DISTINCT user_id AS listing, CAST(3 AS INTEGER) AS page FROM events WHERE user_id % 4 = 0")
+def page_gaps(spark, d):
+    users = table(spark, d, "events").select(c("user_id").alias("listing")).distinct()
+    pages = users.select("listing", F.explode(F.array(*map(lit, (1, 2, 3, 4)))).alias("page")).filter("page <> 3 or listing % 4 <> 0")
+    return ingest.page_gaps(pages.withColumn("has_next", lit(False)))
+
+
+# The request log: users as hosts, kinds of events as status codes
+
+STATUS = {"click": 200, "view": 200, "purchase": 403, "signup": 404, "error": 503}
+STATUS_SQL = "CASE event_type WHEN 'purchase' THEN 403 WHEN 'signup' THEN 404 WHEN 'error' THEN 503 ELSE 200 END"
+
+
+def _log(spark, d):
+    known = F.create_map(*[lit(x) for pair in STATUS.items() for x in pair])
+    return table(spark, d, "events").withColumn("status", known[c("event_type")])
+
+
+@query(f"SELECT {STATUS_SQL} AS status, 2 * count(*) AS n FROM events GROUP BY 1")
+def fetch_stats(spark, d):
+    one = fetchlog.statistics(_log(spark, d), c("status"))
+    return fetchlog.merged(one, one)
+
+
+@query(
+    """WITH e AS (SELECT event_id, user_id, epoch_us(ts) // 1000000 AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM events)
+    SELECT event_id, CAST(i * 3600 + max(t - i * 3600) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS slot FROM e"""
+)
+def pacing_slots(spark, d):
+    arrival = F.unix_seconds(c("ts").cast("timestamp"))
+    return fetchlog.paced(table(spark, d, "events"), "user_id", "event_id", arrival, lit(3600)).select("event_id", c("slot").cast("bigint").alias("slot"))
+
+
+@query("SELECT event_id, coalesce(bool_or(event_type IN ('purchase', 'error') AND event_id % 3 = 0) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS fails_fast FROM events")
+def blocked_after(spark, d):
+    body = F.when(c("event_id") % 3 == 0, "<h1>Attention Required!</h1>").otherwise("ok")
+    return fetchlog.blocked_before(_log(spark, d), "user_id", "event_id", fetchlog.looks_blocked(c("status"), body)).select("event_id", "fails_fast")
+
+
+@query(
+    f"""WITH e AS (SELECT user_id, event_id // 10 AS req, event_id, {STATUS_SQL} AS status FROM events),
+    f AS (SELECT *, coalesce(bool_or(status <> 503) OVER (PARTITION BY req ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS over, row_number() OVER (PARTITION BY req ORDER BY event_id) AS n FROM e)
+    SELECT req, count(*) AS attempts, arg_max(status, n) AS last_status, arg_max(status, n) < 400 AS ok, arg_max(status, n) = 503 AND count(*) > 4 AS exhausted FROM f WHERE NOT over AND n <= 5 GROUP BY req"""
+)
+def retry_outcome(spark, d):
+    rows = _log(spark, d).withColumn("req", F.expr("event_id div 10"))
+    return fetchlog.outcomes(rows, "req", "event_id", c("status"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN least(60.0, event_id % 100) ELSE least(60.0, 0.5 * 2 ** (event_id % 9)) / 2 END AS least, CASE WHEN event_id % 3 = 0 THEN least(60.0, event_id % 100) ELSE least(60.0, 0.5 * 2 ** (event_id % 9)) END AS most FROM events")
+def retry_delay(spark, d):
+    header = F.when(c("event_id") % 3 == 0, (c("event_id") % 100).cast("string"))
+    low, high = fetchlog.retry_bounds(c("event_id") % 9, fetchlog.told_delay(header, c("ts").cast("timestamp")))
+    return table(spark, d, "events").select("event_id", low.alias("least"), high.alias("most"))
+
+
+@query()
+def robots_filter(spark, d):
+    pages = table(spark, d, "pages").select("page_id", "url")
+    body = "User-agent: *\nCrawl-delay: 3\nDisallow: /en/"
+    robots = pages.select(fetchlog.origin(c("url")).alias("origin")).distinct()
+    robots = robots.withColumn("n", F.crc32("origin") % 4).select("origin", F.when(c("n") == 0, 503).when(c("n") == 1, 404).otherwise(200).alias("status"), F.when(c("n") > 1, body).alias("body"))
+    return fetchlog.permitted(pages, "url", robots, "bot", 8.0).select("page_id", "allowed", "interval")
