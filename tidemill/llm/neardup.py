@@ -6,8 +6,9 @@ the threshold. Classes are the connected components of all links.
 
 No bucket is expanded into all its pairs, and none is capped. Each member is compared with the bucket's leader; members
 that this joins are one class and need no more comparing among themselves. Buckets that still hold several classes go
-on: a small one compares its members across classes, a large one takes the next leader, until each holds one class or
-all its pairs across classes have been compared. So the classes are those of all pairs that meet in a bucket; with 24
+on: a small one compares its members across classes; the members of large ones meet again by their rarest shingles, of
+which any link shares one, and what is still large there takes more leaders, until each bucket holds one class or all
+its pairs across classes have been compared. So the classes are those of all pairs that meet in a bucket; with 24
 bands of 5 a pair of similarity 0.8 misses all buckets with probability 7e-5, one of 0.85 with 8e-7.
 
 The driver sees counts only. Tables between steps are written to the shared folder, which cuts the lineage. What is
@@ -100,8 +101,9 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("p")), "step")
-        for name in ("jump", "jump"):
-            step = stored(step.join(step.select(F.col("v").alias("p"), F.col("p").alias("q")), "p", "left").select("v", F.coalesce("q", "p").alias("p")), name)
+        to = lambda of, name: step.select(F.col("v").alias(of), F.col("p").alias(name))
+        jumped = step.join(to("p", "q"), "p", "left").join(to("q", "r"), "q", "left")
+        step = stored(jumped.select("v", F.coalesce("r", "q", "p").alias("p")), "jump")
         if labels is None:
             labels = step.select(F.col("v").alias("rid"), F.col("p").alias("label"))
         else:
@@ -134,30 +136,57 @@ def classes(documents: DataFrame, least: float = LEAST, weighted: bool = False)
         sets = stored(sets.select("rid", "s", "w"), "sets")
         edges = stored(links(pruned(members.filter("rid != leader").select(F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("leader").alias("b"), F.col("leader_n").alias("n_b")), least), sets, least, weighted), "links")
         found = components(edges)
-        rest = members.select("bucket", "rid", "n")
+        rest, met = members.select("bucket", "rid", "n"), False
         while True:
             # what is in buckets that still hold several classes
             now = rest.join(found, "rid", "left").select("bucket", "rid", "n", F.coalesce("label", "rid").alias("label"))
-            apart = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.min(F.struct("rid", "n", "label")).alias("lead")).filter("low != high")
-            now = stored(now.join(apart.select("bucket", "size", "lead"), "bucket"), "rest")
+            apart = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.min("rid").alias("first")).filter("low != high")
+            now = stored(now.join(apart.select("bucket", "size", "first"), "bucket"), "rest")
             if now.isEmpty():
                 break
-            small = now.filter(F.col("size") <= SMALL).select("bucket", "rid", "n", "label")
-            a, b = small.toDF("bucket", "a", "n_a", "label_a"), small.toDF("bucket", "b", "n_b", "label_b")
-            pairs = a.join(b, "bucket").filter("a < b AND label_a != label_b").select("a", "n_a", "b", "n_b")
-            large = now.filter((F.col("size") > SMALL) & (F.col("label") != F.col("lead.label")))
-            pairs = pairs.unionByName(large.select(F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("lead.rid").alias("b"), F.col("lead.n").alias("n_b")))
+            pairs, large = across(now.filter(F.col("size") <= SMALL)), now.filter(F.col("size") > SMALL)
+            if met:
+                leads = F.pmod(F.xxhash64("rid", "bucket", "size"), F.col("size")) < SMALL // 2
+                leads = leads | (F.col("rid") == F.col("first"))
+                led = large.filter(leads).select("bucket", F.col("rid").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
+                pairs = pairs.unionByName(large.join(led, "bucket").filter("label != label_b").select(F.col("rid").alias("a"), F.col("n").alias("n_a"), "b", "n_b"))
+                rest = large.filter(~leads).select("bucket", "rid", "n")
+            else:
+                rest = by_rarest(large.select("rid", "n").distinct(), sets, least) if not weighted else large.select("bucket", "rid", "n")
+            met = True
             new = stored(links(pruned(pairs, least), sets, least, weighted), "links")
-            rest = now.filter((F.col("size") > SMALL) & (F.col("rid") != F.col("lead.rid"))).select("bucket", "rid", "n")
             if not new.isEmpty():
                 edges = edges.unionByName(new)
                 found = components(edges)
+            rest = stored(rest, "open")
     named = groups.join(found, "rid", "left").select("key", "doc", F.coalesce("label", "rid").alias("label"))
     heads = named.groupBy("label").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "key")).alias("rep"))
     named = named.join(heads, "label").select("key", F.col("rep.doc").alias("class_id"), F.col("rep.key").alias("rep_key"))
     return signs.select("doc_id", "key").join(named, "key").select("doc_id", "key", "class_id", F.col("class_id").alias("rep_id"), "rep_key")
 
 
+def across(buckets: DataFrame) -> DataFrame:
+    """All pairs of different classes within buckets of a bounded size."""
+    own = buckets.select("bucket", "rid", "n", "label")
+    a, b = own.toDF("bucket", "a", "n_a", "label_a"), own.toDF("bucket", "b", "n_b", "label_b")
+    return a.join(b, "bucket").filter("a < b AND label_a != label_b").select("a", "n_a", "b", "n_b")
+
+
+def by_rarest(rows: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Other buckets for the same rows (rid, n): the rarest shingles of each, one of which any two linked sets share.
+
+    Sets of similarity t have one of the first n - ceil(t * n) + 1 elements of either in common, in any one order of all
+    elements. By rarity, what many texts share comes last and hardly ever gathers them.
+    """
+    spread = rows.join(sets.select("rid", "s"), "rid").select("rid", "n", F.explode("s").alias("bucket"))
+    often = spread.groupBy("bucket").agg(F.count("*").alias("often")).filter("often > 1")
+    ranked = spread.join(often, "bucket").groupBy("rid", "n").agg(F.sort_array(F.collect_list(F.struct("often", "bucket"))).alias("e"))
+    # elements of one row alone stand before all others; those of the first that they leave room for
+    room = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("e"))
+    first = ranked.filter(room > 0).withColumn("e", F.slice("e", F.lit(1), room.cast("int")))
+    return first.select("rid", "n", F.explode("e").alias("e")).select(F.col("e.bucket").cast("long").alias("bucket"), "rid", "n")
+
+
 def pruned(pairs: DataFrame, least: float) -> DataFrame:
     """Distinct pairs whose sizes allow the similarity."""
     fits = F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b") - 1e-9
