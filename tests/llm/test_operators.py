@@ -339,8 +339,10 @@ def test_near_duplicates_equal_brute_force(spark, documents, odd):
     assert kept.columns == df.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter({i for _, i in got})
 
 
-def test_large_buckets_go_on_until_all_is_compared(spark, documents, monkeypatch):
+@pytest.mark.parametrize("most", [0, 8, neardup.MOST])
+def test_large_buckets_go_on_until_all_is_compared(spark, documents, monkeypatch, most):
     monkeypatch.setattr(neardup, "SMALL", 2)
+    monkeypatch.setattr(neardup, "MOST", most)
     monkeypatch.setattr(neardup, "ROWS", 1)
     monkeypatch.setattr(neardup, "BANDS", 6)
     df = documents.filter("doc_id < 60").select("doc_id", "text")

@@ -4,12 +4,13 @@ Texts are sets of five-word shingles (weights: how often each occurs, if asked f
 once. Groups whose signatures agree in a band meet in a bucket, and a pair is a link if its exact similarity is at least
 the threshold. Classes are the connected components of all links.
 
-No bucket is expanded into all its pairs, and none is capped. Each member is compared with the bucket's leader; members
-that this joins are one class and need no more comparing among themselves. Buckets that still hold several classes go
-on: a small one compares its members across classes; the members of large ones meet again by their rarest shingles, of
-which any link shares one, and what is still large there takes more leaders, until each bucket holds one class or all
-its pairs across classes have been compared. So the classes are those of all pairs that meet in a bucket; with 24
-bands of 5 a pair of similarity 0.8 misses all buckets with probability 7e-5, one of 0.85 with 8e-7.
+No bucket is capped. Each member is compared with the bucket's leader; members that this joins are one class and need no
+more comparing among themselves. Of buckets that still hold several classes, small ones compare members across classes;
+the members of large ones meet again by their rarest shingles, of which any link shares one, and compare those outside
+the largest class with all whose sizes and places in the order of rarity leave room for a link. A bucket for which even
+that takes more than MOST comparisons takes leaders, round by round, until it holds one class or all have been compared.
+So the classes are those of all pairs that meet in a bucket; with 24 bands of 5 a pair of similarity 0.8 misses all
+buckets with probability 7e-5, one of 0.85 with 8e-7.
 
 The driver sees counts only. Tables between steps are written to the shared folder, which cuts the lineage. What is
 broadcast is counted first: beyond BROADCAST rows the join shuffles.
@@ -33,7 +34,7 @@ from tidemill.llm.common import slices, stored
 
 BANDS, ROWS, WIDTH, LEAST = 24, 5, 5, 0.8
 BROADCAST = 2_000_000
-SMALL = 64
+SMALL, MOST = 64, 1 << 25
 
 
 def text_key(text: Column) -> Column:
@@ -136,55 +137,84 @@ def classes(documents: DataFrame, least: float = LEAST, weighted: bool = False)
         sets = stored(sets.select("rid", "s", "w"), "sets")
         edges = stored(links(pruned(members.filter("rid != leader").select(F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("leader").alias("b"), F.col("leader_n").alias("n_b")), least), sets, least, weighted), "links")
         found = components(edges)
-        rest, met = members.select("bucket", "rid", "n"), False
-        while True:
-            # what is in buckets that still hold several classes
-            now = rest.join(found, "rid", "left").select("bucket", "rid", "n", F.coalesce("label", "rid").alias("label"))
-            apart = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.min("rid").alias("first")).filter("low != high")
-            now = stored(now.join(apart.select("bucket", "size", "first"), "bucket"), "rest")
-            if now.isEmpty():
-                break
-            pairs, large = across(now.filter(F.col("size") <= SMALL)), now.filter(F.col("size") > SMALL)
-            if met:
-                leads = F.pmod(F.xxhash64("rid", "bucket", "size"), F.col("size")) < SMALL // 2
-                leads = leads | (F.col("rid") == F.col("first"))
-                led = large.filter(leads).select("bucket", F.col("rid").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-                pairs = pairs.unionByName(large.join(led, "bucket").filter("label != label_b").select(F.col("rid").alias("a"), F.col("n").alias("n_a"), "b", "n_b"))
-                rest = large.filter(~leads).select("bucket", "rid", "n")
+        rest, first = stored(apart(members.select("bucket", "rid", "n"), found), "rest"), True
+        while not rest.isEmpty():
+            # buckets that still hold several classes: in full if that takes few comparisons, else by rarest shingles, then by leaders
+            small = rest.filter(F.col("size") <= SMALL) if first else rest.filter(F.col("size") * (F.col("size") - F.col("top")) <= MOST)
+            large = rest.filter(F.col("size") > SMALL) if first else rest.filter(F.col("size") * (F.col("size") - F.col("top")) > MOST)
+            pairs = across(small, least)
+            if first and not weighted:
+                met = stored(apart(by_rarest(large.select("rid", "n").distinct(), sets, least), found, least), "rarest")
+                few = F.col("size") * (F.col("size") - F.col("top")) <= MOST
+                pairs, after = pairs.unionByName(across(met.filter(few), least)), met.filter(~few)
+            elif first:
+                after = large
             else:
-                rest = by_rarest(large.select("rid", "n").distinct(), sets, least) if not weighted else large.select("bucket", "rid", "n")
-            met = True
-            new = stored(links(pruned(pairs, least), sets, least, weighted), "links")
+                leads = (F.pmod(F.xxhash64("rid", "bucket", "size"), F.col("size")) < SMALL // 2) | (F.col("rid") == F.col("head"))
+                pairs = pairs.unionByName(across(large, least, leads))
+                after = large.filter(~leads)
+            new = stored(links(pairs.select("a", "b").distinct(), sets, least, weighted), "links")
             if not new.isEmpty():
                 edges = edges.unionByName(new)
                 found = components(edges)
-            rest = stored(rest, "open")
+            rest, first = after if after.isEmpty() else stored(apart(after.select("bucket", "rid", "n", "at"), found, least), "rest"), False
     named = groups.join(found, "rid", "left").select("key", "doc", F.coalesce("label", "rid").alias("label"))
     heads = named.groupBy("label").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "key")).alias("rep"))
     named = named.join(heads, "label").select("key", F.col("rep.doc").alias("class_id"), F.col("rep.key").alias("rep_key"))
     return signs.select("doc_id", "key").join(named, "key").select("doc_id", "key", "class_id", F.col("class_id").alias("rep_id"), "rep_key")
 
 
-def across(buckets: DataFrame) -> DataFrame:
-    """All pairs of different classes within buckets of a bounded size."""
-    own = buckets.select("bucket", "rid", "n", "label")
-    a, b = own.toDF("bucket", "a", "n_a", "label_a"), own.toDF("bucket", "b", "n_b", "label_b")
-    return a.join(b, "bucket").filter("a < b AND label_a != label_b").select("a", "n_a", "b", "n_b")
+def apart(rows: DataFrame, found: DataFrame, least: float = LEAST) -> DataFrame:
+    """Those of rows (bucket, rid, n, at) whose bucket holds several classes, with label, size and top (rows of the bucket and of
+    its largest class), lead (that class) and head (the smallest rid).
+
+    at, the number of elements before the bucket's own in the order that made the buckets, is 0 where there is none. A
+    row that can't reach the similarity even with the bucket's smallest set goes.
+    """
+    rows = rows.withColumn("at", rows["at"] if "at" in rows.columns else F.lit(0)).join(found, "rid", "left").select("bucket", "rid", "n", "at", F.coalesce("label", "rid").alias("label"))
+    tally = rows.groupBy("bucket", "label").agg(F.count("*").alias("c"), F.min("n").alias("low"), F.min("rid").alias("head"))
+    several = tally.groupBy("bucket").agg(
+        F.sum("c").alias("size"), F.max("c").alias("top"), F.max(F.struct("c", "label")).alias("lead"), F.count("*").alias("kinds"), F.min("low").alias("low"), F.min("head").alias("head")
+    )
+    several = several.filter("kinds > 1").select("bucket", "size", "top", F.col("lead.label").alias("lead"), "low", "head")
+    return rows.join(several, "bucket").filter(F.col("n") - F.col("at") >= shared_at_least("n", F.greatest(F.col("low"), least * F.col("n")), least)).drop("low")
+
+
+def shared_at_least(n: Column | str, m: Column | str, least: float) -> Column:
+    """How many elements sets of these sizes share at such a similarity."""
+    n, m = (F.col(x) if isinstance(x, str) else x for x in (n, m))
+    return F.lit(least / (1 + least)) * (n + m) - 1e-6
+
+
+def across(buckets: DataFrame, least: float, leads: Column | None = None) -> DataFrame:
+    """Pairs of different classes within buckets, of rows outside the largest class (or that `leads` marks) with all others.
+
+    Sizes must allow the similarity, and so must places: if the bucket's element is the first that two sets share, no
+    more than what follows it can be shared; if it is not, they meet in the bucket of the first.
+    """
+    one = (buckets.filter("label != lead") if leads is None else buckets.filter(leads)).select("bucket", F.col("rid").alias("r"), F.col("n").alias("n_r"), F.col("at").alias("at_r"), F.col("label").alias("label_r"))
+    need = shared_at_least("n", "n_r", least)
+    meet = (F.col("label") != F.col("label_r")) & (F.least("n", "n_r") >= least * F.greatest("n", "n_r") - 1e-6) & (F.least(F.col("n") - F.col("at"), F.col("n_r") - F.col("at_r")) >= need)
+    if leads is None:
+        meet &= (F.col("label") == F.col("lead")) | (F.col("rid") < F.col("r"))
+    one = one.withColumnRenamed("bucket", "bucket_r")
+    return buckets.join(one, (buckets["bucket"] == one["bucket_r"]) & meet).select(F.least("rid", "r").alias("a"), F.greatest("rid", "r").alias("b"))
 
 
 def by_rarest(rows: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Other buckets for the same rows (rid, n): the rarest shingles of each, one of which any two linked sets share.
 
     Sets of similarity t have one of the first n - ceil(t * n) + 1 elements of either in common, in any one order of all
-    elements. By rarity, what many texts share comes last and hardly ever gathers them.
+    elements. By rarity, what many texts share comes last and hardly ever gathers them. `at` is an element's place.
     """
     spread = rows.join(sets.select("rid", "s"), "rid").select("rid", "n", F.explode("s").alias("bucket"))
     often = spread.groupBy("bucket").agg(F.count("*").alias("often")).filter("often > 1")
     ranked = spread.join(often, "bucket").groupBy("rid", "n").agg(F.sort_array(F.collect_list(F.struct("often", "bucket"))).alias("e"))
     # elements of one row alone stand before all others; those of the first that they leave room for
-    room = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("e"))
-    first = ranked.filter(room > 0).withColumn("e", F.slice("e", F.lit(1), room.cast("int")))
-    return first.select("rid", "n", F.explode("e").alias("e")).select(F.col("e.bucket").cast("long").alias("bucket"), "rid", "n")
+    alone = F.col("n") - F.size("e")
+    room = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1 - alone
+    first = ranked.withColumn("alone", alone).filter(room > 0).withColumn("e", F.slice("e", F.lit(1), room.cast("int")))
+    return first.select("rid", "n", "alone", F.posexplode("e").alias("i", "e")).select(F.col("e.bucket").cast("long").alias("bucket"), "rid", "n", (F.col("alone") + F.col("i")).alias("at"))
 
 
 def pruned(pairs: DataFrame, least: float) -> DataFrame:
