@@ -6,9 +6,10 @@ the threshold. Classes are the connected components of all links.
 
 No bucket is capped. Each member is compared with the bucket's leader; members that this joins are one class and need no
 more comparing among themselves. Of buckets that still hold several classes, small ones compare members across classes;
-the members of large ones meet again by their rarest shingles, of which any link shares one, and compare those outside
-the largest class with all whose sizes and places in the order of rarity leave room for a link. A bucket for which even
-that takes more than MOST comparisons takes leaders, round by round, until it holds one class or all have been compared.
+the members of large ones meet again by their rarest shingles, of which any link shares one. There the row with the
+fewest elements of its own leads first, as others most likely differ from it alone; then those outside the largest class
+are compared with all whose sizes and places in the order of rarity leave room for a link. A bucket for which even that
+takes more than MOST comparisons takes leaders, round by round, until it holds one class or all have been compared.
 So the classes are those of all pairs that meet in a bucket; with 24 bands of 5 a pair of similarity 0.8 misses all
 buckets with probability 7e-5, one of 0.85 with 8e-7.
 
@@ -139,20 +140,17 @@ def classes(documents: DataFrame, least: float = LEAST, weighted: bool = False)
         found = components(edges)
         rest, first = stored(apart(members.select("bucket", "rid", "n"), found), "rest"), True
         while not rest.isEmpty():
-            # buckets that still hold several classes: in full if that takes few comparisons, else by rarest shingles, then by leaders
-            small = rest.filter(F.col("size") <= SMALL) if first else rest.filter(F.col("size") * (F.col("size") - F.col("top")) <= MOST)
-            large = rest.filter(F.col("size") > SMALL) if first else rest.filter(F.col("size") * (F.col("size") - F.col("top")) > MOST)
-            pairs = across(small, least)
-            if first and not weighted:
-                met = stored(apart(by_rarest(large.select("rid", "n").distinct(), sets, least), found, least), "rarest")
-                few = F.col("size") * (F.col("size") - F.col("top")) <= MOST
-                pairs, after = pairs.unionByName(across(met.filter(few), least)), met.filter(~few)
-            elif first:
-                after = large
+            # buckets that still hold several classes: in full if that takes few comparisons, else by leaders, first those of the rarest shingles
+            if first:
+                few = F.col("size") <= SMALL
+                small, large, leads = rest.filter(few), rest.filter(~few), F.col("rid") == F.col("head")
+                if not weighted:
+                    large = stored(apart(by_rarest(large.select("rid", "n").distinct(), sets, least), found, least), "rarest")
             else:
+                few = F.col("size") * (F.col("size") - F.col("top")) <= MOST
+                small, large = rest.filter(few), rest.filter(~few)
                 leads = (F.pmod(F.xxhash64("rid", "bucket", "size"), F.col("size")) < SMALL // 2) | (F.col("rid") == F.col("head"))
-                pairs = pairs.unionByName(across(large, least, leads))
-                after = large.filter(~leads)
+            pairs, after = across(small, least).unionByName(across(large, least, leads)), large.filter(~leads)
             new = stored(links(pairs.select("a", "b").distinct(), sets, least, weighted), "links")
             if not new.isEmpty():
                 edges = edges.unionByName(new)
@@ -166,17 +164,17 @@ def classes(documents: DataFrame, least: float = LEAST, weighted: bool = False)
 
 def apart(rows: DataFrame, found: DataFrame, least: float = LEAST) -> DataFrame:
     """Those of rows (bucket, rid, n, at) whose bucket holds several classes, with label, size and top (rows of the bucket and of
-    its largest class), lead (that class) and head (the smallest rid).
+    its largest class), lead (that class) and head (the row with the fewest elements before the bucket's).
 
     at, the number of elements before the bucket's own in the order that made the buckets, is 0 where there is none. A
     row that can't reach the similarity even with the bucket's smallest set goes.
     """
     rows = rows.withColumn("at", rows["at"] if "at" in rows.columns else F.lit(0)).join(found, "rid", "left").select("bucket", "rid", "n", "at", F.coalesce("label", "rid").alias("label"))
-    tally = rows.groupBy("bucket", "label").agg(F.count("*").alias("c"), F.min("n").alias("low"), F.min("rid").alias("head"))
+    tally = rows.groupBy("bucket", "label").agg(F.count("*").alias("c"), F.min("n").alias("low"), F.min(F.struct("at", "rid")).alias("head"))
     several = tally.groupBy("bucket").agg(
         F.sum("c").alias("size"), F.max("c").alias("top"), F.max(F.struct("c", "label")).alias("lead"), F.count("*").alias("kinds"), F.min("low").alias("low"), F.min("head").alias("head")
     )
-    several = several.filter("kinds > 1").select("bucket", "size", "top", F.col("lead.label").alias("lead"), "low", "head")
+    several = several.filter("kinds > 1").select("bucket", "size", "top", F.col("lead.label").alias("lead"), "low", F.col("head.rid").alias("head"))
     return rows.join(several, "bucket").filter(F.col("n") - F.col("at") >= shared_at_least("n", F.greatest(F.col("low"), least * F.col("n")), least)).drop("low")
 
 
