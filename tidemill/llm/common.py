@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -44,7 +45,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def release() -> None:
+    """Gives free memory back to the system: Python workers are used again, and the driver's process stays.
+
+    Where the C library has no such call, nothing happens.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of the batches with about `chars` bytes of text each (one row at least), and their texts; null is empty.
 
     Bounds a task's memory by this size and the longest single text, whatever the batch size.
@@ -61,6 +73,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = 1 << 20)
         if start < len(sizes):
             part = batch.slice(start)
             yield part, [x or "" for x in part.column(column).to_pylist()]
+    release()
 
 
 def salted(column: str, buckets: int) -> Column:

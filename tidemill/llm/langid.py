@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.codes import LETTER, kinds, pack
-from tidemill.llm.common import held_out, slices
+from tidemill.llm.common import held_out, release, slices
 from tidemill.llm.samples import pick
 from tidemill.llm.subword import Bags, Embedder, by_text, softmax
 
@@ -113,7 +113,9 @@ def learn(documents: DataFrame, p: Parameters = Parameters()) -> Model:
     """A model of lang, from text and non-null lang of documents that are not held out."""
     rows = documents.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col("lang").alias("label"), "text")
     chosen, _ = pick(rows, p.per_class)
-    return fit(sorted((r["text"], r["label"]) for r in chosen.collect()), p)
+    model = fit(sorted((r["text"], r["label"]) for r in chosen.collect()), p)
+    release()
+    return model
 
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:

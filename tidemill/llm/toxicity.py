@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import held_out, slices
+from tidemill.llm.common import held_out, release, slices
 from tidemill.llm.samples import texts_of
 from tidemill.llm.subword import Bags, Embedder, by_text
 
@@ -99,8 +99,10 @@ def fit(sample: list[tuple[str, int]], counts: dict, p: Parameters = Parameters(
     types = np.repeat(np.arange(len(ids)), np.diff(bags.starts))  # a type that splits into more words counts as all of them
     pairs = list(bags.grams())
     bucket, of = np.concatenate([b.astype(np.int32) for b, _ in pairs]), types[np.concatenate([w for _, w in pairs])].astype(np.int32)
+    del pairs, bags, types
     order = np.argsort(of, kind="stable")
     bucket, of = bucket[order], of[order]
+    del order
     first = np.searchsorted(of, np.arange(len(ids) + 1))
     part = (1 / np.maximum(np.diff(first), 1))[of].astype(np.float32)
     docs = np.flatnonzero(~apart)
@@ -152,7 +154,9 @@ def fit(sample: list[tuple[str, int]], counts: dict, p: Parameters = Parameters(
 def learn(documents: DataFrame, labels: DataFrame, p: Parameters = Parameters()) -> Model:
     """A model of labels.toxic, from documents that are not held out."""
     own = labels.filter(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("label"))
-    return fit(*texts_of(documents, own, p.per_class), p)
+    model = fit(*texts_of(documents, own, p.per_class), p)
+    release()
+    return model
 
 
 def score(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
