@@ -25,7 +25,7 @@ from tidemill.llm.pretokens import pieces
 from tidemill.llm.vocabulary import Vocabulary, vocabulary
 
 #: Pieces that a worker keeps in each of two generations: what a full one holds and later texts don't use is let go.
-KEPT = 150_000
+KEPT = 100_000
 
 
 def walk(words: Iterable[bytes], v: Vocabulary) -> Iterator[tuple[int, ...]]:
@@ -154,6 +154,7 @@ def encode(documents: DataFrame, path: str, ids: bool = True) -> DataFrame:
             if ids:
                 arrays.append(pa.ListArray.from_arrays(pa.array([0, *accumulate(n)], pa.int32()), pa.concat_arrays(own)))
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        coder.before = {}
 
     return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 

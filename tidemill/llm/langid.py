@@ -126,7 +126,7 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", 1 << 18):
             names, s = shared.value.predict(texts)
             accepted = [name != UNDETERMINED and bool(x >= shared.value.least) for name, x in zip(names, s, strict=True)]
             arrays = [part.column(f.name) for f in kept]

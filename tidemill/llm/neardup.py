@@ -52,7 +52,7 @@ def signed(documents: DataFrame, weighted: bool = False) -> DataFrame:
     schema = T.StructType([documents.schema["doc_id"], T.StructField("key", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches):
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", 1 << 18):
             text, shingle, often = darts.shingles(texts, WIDTH)
             weights = often.astype(float) if weighted else np.ones(len(text))
             keys = darts.banded(darts.signatures(text, shingle, weights, len(texts), BANDS * ROWS), ROWS)
@@ -68,7 +68,7 @@ def shingled(documents: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("s", T.ArrayType(T.IntegerType())), T.StructField("w", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", 1 << 18):
             text, shingle, often = darts.shingles(texts, WIDTH)
             at = pa.array(np.searchsorted(text, np.arange(len(texts) + 1)), pa.int32())
             small = (shingle >> np.uint64(32)).astype(np.uint32).view(np.int32)

@@ -166,7 +166,7 @@ def score(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", 1 << 18):
             s = shared.value.score(texts)
             arrays = [part.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=schema.names)
