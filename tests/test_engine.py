@@ -179,3 +179,19 @@ def test_streaming(spark, tmp_path):
     incremental.snapshot_diffs(stream, f"{tmp_path}/snap", f"{tmp_path}/diff", ["k"], ["v"], f"{tmp_path}/cp").awaitTermination(120)
     got = {(r["batch"], r["k"], r["change"]) for r in spark.read.parquet(f"{tmp_path}/diff").collect()}
     assert got == {(0, 1, "new"), (0, 2, "new"), (1, 1, "closed"), (1, 2, "changed"), (1, 3, "new")}
+
+
+def test_walk_has_no_limit_and_cuts_cycles(spark):
+    chain = [(f"c{i}", f"c{i + 1}") for i in range(10_500)]
+    rows = [*chain, ("a", "b"), ("b", "c"), ("c", "b"), ("s", "s"), ("x", "c"), ("end", None), ("gone", "nowhere"), (None, "a"), ("far", "a"), ("d", "e"), ("d", "e"), ("e", "f"), ("f", "g"), ("m", "n"), ("m", "end")]
+    starts = ["c0", "a", "s", "x", "gone", "d", "m", "unknown", None, "a"]
+    got = ingest.walk(spark.createDataFrame(rows, "url string, next_url string"), spark.createDataFrame([(s,) for s in starts], "url string"))
+    want = []
+    for s in {s for s in starts if s is not None}:
+        step, now, seen = 0, [s], set()
+        while now:
+            pages = [r for r in rows if r[0] in now] if s != "c0" else chain[step : step + 1]
+            want += [(r[0], step) for r in pages]
+            seen |= {r[0] for r in pages}
+            now, step = [r[1] for r in pages if r[1] is not None and r[1] not in seen], step + 1
+    assert sorted(tuple(r) for r in got.select("url", "step").collect()) == sorted(want)

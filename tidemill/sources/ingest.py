@@ -58,21 +58,33 @@ def finished(todo: DataFrame, done: DataFrame, key: str, order: str) -> DataFram
     return todo.join(done, key).orderBy(order)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """df, computed once: in the checkpoint folder, or with the executors if none is set. Cuts the lineage."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
 def walk(pages: DataFrame, starts: DataFrame) -> DataFrame:
     """url, step: the pages that next links reach from each start (url), in order; a link back ends its walk.
 
-    pages: url, next_url. All starts go on together, one join a step.
+    pages: url, next_url. All starts go on together, by jumps of twice the length each round, until no start reaches a new
+    page: a walk of n pages takes about log2(n) rounds, and nothing is capped. A page that a start reaches again keeps its
+    first step, which cuts every cycle where it closes. Repeated rows of pages repeat in the result; of several next links
+    of one url, each is followed.
     """
-    pages.createOrReplaceTempView("_walk_pages")
-    starts.createOrReplaceTempView("_walk_starts")
-    return pages.sparkSession.sql(
-        """WITH RECURSIVE walk(url, next_url, step, seen) MAX RECURSION LEVEL 10000 AS (
-            SELECT url, next_url, 0, array(url) FROM _walk_pages WHERE url IN (SELECT url FROM _walk_starts)
-            UNION ALL
-            SELECT p.url, p.next_url, w.step + 1, array_append(w.seen, p.url) FROM walk w JOIN _walk_pages p ON p.url = w.next_url
-            WHERE NOT array_contains(w.seen, p.url)
-        ) SELECT url, step FROM walk"""
-    )
+    rows = pages.select("url", "next_url").filter("url is not null")
+    urls = rows.select("url").distinct()
+    jumps = rows.select(F.col("url").alias("at"), F.col("next_url").alias("to")).distinct().join(urls.withColumnRenamed("url", "to"), "to", "left_semi").select("at", "to")
+    reached = urls.join(starts.select("url"), "url", "left_semi").select(F.col("url").alias("start"), "url", F.lit(0).cast("long").alias("step"))
+    jumps, reached, length = _kept(jumps), _kept(reached), 1
+    n = reached.count()
+    while True:
+        far = reached.join(jumps, F.col("url") == F.col("at")).select("start", F.col("to").alias("url"), (F.col("step") + F.lit(length).cast("long")).alias("step"))
+        reached = _kept(reached.union(far).groupBy("start", "url").agg(F.min("step").alias("step")))
+        before, n = n, reached.count()
+        if n == before:
+            return rows.select("url").join(reached.select("url", "step"), "url")
+        jumps = _kept(jumps.join(jumps.select(F.col("at").alias("to"), F.col("to").alias("end")), "to").select("at", F.col("end").alias("to")).distinct())
+        length *= 2
 
 
 def page_gaps(pages: DataFrame) -> DataFrame:
