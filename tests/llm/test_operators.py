@@ -397,6 +397,30 @@ def test_extraction_of_odd_pages(spark):
     assert Counter(got) == Counter([(1, ""), (2, ""), (3, want), (3, want), (4, "just words"), (None, "a <b> c d"), (5, "cut"), (6, "")])
 
 
+ARTICLE = "<article><h1>Title</h1><p>Some prose of the first kind here.</p>{}<p>More prose of another kind.</p></article><footer>c 2020</footer>"
+PROSE = "Title\n\nSome prose of the first kind here.{}\n\nMore prose of another kind."
+OPEN = ['<svg viewBox="0 0 9 9"/>', "<math/>", '<svg class="menu"><path d="M0 0">', "<svg><title>Icon</svg>", "<svg><style/><path/></svg>", '<button class="share menu">', "<button>Share", "<select><option>One<option>Two", '<object data="x">', "<template>"]
+
+
+@pytest.mark.parametrize("tag", OPEN)
+def test_unclosed_elements_take_no_article(tag):
+    name = re.match(r"<(\w+)", tag)[1]
+    for later in ("", f"<div><{name}>no</{name}></div>"):
+        assert pages.main_text(tag + ARTICLE.format("") + later) == PROSE.format("")
+        assert pages.main_text(f"<body><div>{tag}</div>" + ARTICLE.format("") + later) == PROSE.format("")
+        assert pages.main_text(ARTICLE.format(tag) + later) == PROSE.format("")
+        assert pages.main_text(ARTICLE.format(f"<p>Then this.{tag}</p>") + later) == PROSE.format("\n\nThen this.")
+
+
+def test_closed_elements_in_paragraphs():
+    countries = "".join(f"<option>Land {i}</option>" for i in range(200))
+    for inside in ("<svg><g><text>no</text></g></svg>", "<button><div>no</div></button>", f"<select>{countries}</select>", "<object><p>no</p></object>", "<template><p>no</p></template>", "<svg><style>a{}</style></svg>"):
+        assert pages.main_text(ARTICLE.format(f"<p>Left {inside} right.</p>")) == PROSE.format("\n\nLeft right."), inside
+    formula = "<math><mrow><mi>x</mi><mo>+</mo><mn>1</mn></mrow></math>"
+    assert pages.main_text(ARTICLE.format(f"<p>Let {formula} be odd.</p>")) == PROSE.format("\n\nLet x+1 be odd.")
+    assert pages.main_text(ARTICLE.format("<p>Then this.</p><script>var a = '<svg>';")) == "Title\n\nSome prose of the first kind here.\n\nThen this."
+
+
 # the pipeline
 
 

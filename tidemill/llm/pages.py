@@ -10,7 +10,10 @@ to known; the weights are fitted by logistic regression in numpy on the names of
 around a word. Pages of any layout get scores from the same names.
 
 Broken markup is read as far as it goes: unclosed elements end where their parents do, a stray end tag is ignored, a
-cut tag is dropped, and what looks like a tag inside a script is script. Character references are decoded, white space inside
+cut tag is dropped, and what looks like a tag inside a script is script. As in HTML, only raw text (scripts, styles,
+titles, text areas, inline frames, noscript) runs on to its own end tag, or to the page's end without one. Buttons, selects, objects,
+templates and drawings aren't content as a whole; one that never closes counts only up to the first block in it, so that
+it takes no article with it. Formulas (math) are text of their paragraph. Character references are decoded, white space inside
 a block becomes one space, blocks are joined by an empty line. Nothing is capped. Defined results: null html is empty
 and, like a page without prose, gives the empty text; null page_id and url pass through; repeated rows repeat.
 """
@@ -21,6 +24,7 @@ import functools
 import html
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,11 +35,19 @@ from pyspark.sql import types as T
 
 from tidemill.llm.common import slices
 
-# HTML's void elements, raw text elements, and elements that stand on a line with others.
+# HTML's void elements, raw text elements, elements that are read but aren't content, those in which tags follow
+# XML, elements within these that hold HTML, elements that another start of the same name closes, and elements that stand on
+# a line with others; then those that end a paragraph, that start a block, and that can't stand in a drawing or formula.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math select button".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
+RAW = frozenset("script style noscript textarea title iframe".split())
+ASIDE = frozenset("svg object template select button".split())
+FOREIGN = frozenset("svg math".split())
+HOLDS_HTML = ("foreignobject", "desc", "mi", "mo", "mn", "ms", "mtext", "annotation-xml")
+ONE_AT_A_TIME = frozenset("select button".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br math svg object template select button".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+BLOCKS = CLOSES_P | frozenset("body caption center dd dt figcaption html li summary tbody td tfoot th thead tr".split())
+NOT_FOREIGN = BLOCKS | frozenset("b big code em embed i img nobr ruby s small span strike strong sub sup tt u var".split())
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z", re.S)
 NAME = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z]+")
@@ -57,6 +69,16 @@ class Page:
     items: list = field(default_factory=list)
 
 
+@dataclass
+class Aside:
+    """An open element of ASIDE: where its items start, its place in the stack, the block around it, where a block in it starts."""
+
+    start: int
+    at: int
+    block: int
+    cut: int | None = None
+
+
 @functools.lru_cache(maxsize=50_000)
 def names_of(tag: str, attributes: str) -> frozenset[str]:
     """What an element is called: its tag, and the words of its class, id and role."""
@@ -71,6 +93,9 @@ def read(source: str) -> Page:
     page, stack, block, at = Page(), [], 0, 0
     items = page.items
     around: list[frozenset[str]] = [frozenset()]
+    opened: list[Aside] = []
+    spans: list[tuple[int, int]] = []
+    depth, ends = Counter(), {}
 
     def text(piece: str) -> None:
         if piece and not piece.isspace():
@@ -78,46 +103,103 @@ def read(source: str) -> Page:
         elif piece and items and isinstance(items[-1], Text):
             items.append(Text(block, around[-1], " "))
 
+    def close(by_own_tag: bool = False) -> str:
+        nonlocal block
+        around.pop()
+        tag = stack.pop()
+        depth[tag] -= 1
+        if tag in ASIDE:
+            aside = opened.pop()
+            whole = by_own_tag or aside.cut is None
+            spans.append((aside.start, len(items) if whole else aside.cut))
+            block = aside.block if whole else block
+        return tag
+
+    def close_to(tags: frozenset[str]) -> None:
+        while close() not in tags:
+            pass
+
+    def paragraph() -> bool:
+        return next((x for x in reversed(stack) if x == "p" or x in ASIDE), None) == "p"
+
     while True:
         m = TAG.search(source, at)
         if m is None:
             text(source[at:])
-            return page
+            break
         text(source[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
+        ended = m[3].rstrip().endswith("/")
+        foreign = bool(depth["svg"] or depth["math"]) and not any(depth[x] for x in HOLDS_HTML)
         if tag in RAW and not m[1]:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-            at = end.end() if end else len(source)
-            items.append("tag")
-            continue
+            key = (tag, foreign)
+            if key not in ends or (ends[key] and ends[key].start() < at):
+                ends[key] = re.compile(rf"</({re.escape(tag)}{'|svg|math' * foreign})\s*>", re.I).search(source, at)
+            end = ends[key]
+            if not foreign or (not ended and end and end[1].lower() == tag):
+                at = end.end() if end else len(source)
+                items.append("tag")
+                continue
         if tag == "br":
             if items and isinstance(items[-1], Text):
                 items.append(Text(block, around[-1], " "))
             continue
-        if tag not in INLINE:
+        if not m[1]:
+            if foreign and tag in NOT_FOREIGN:
+                # what it stands in was never closed
+                close_to(FOREIGN)
+            if tag in ONE_AT_A_TIME and depth[tag]:
+                close_to(frozenset((tag,)))
+        if tag not in INLINE and (tag in BLOCKS or not depth["math"]):
             block += 1
             items.append("tag")
         if m[1]:
-            if tag in stack:
-                while stack:
-                    around.pop()
-                    if stack.pop() == tag:
-                        break
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            if tag in CLOSES_P and "p" in stack:
+            if depth[tag]:
+                while stack[-1] != tag:
+                    close()
+                close(True)
+        elif tag not in VOID and not ended:
+            if tag in CLOSES_P and depth["p"] and paragraph():
                 # a paragraph ends here, and with it what it left open
-                while stack:
-                    around.pop()
-                    if stack.pop() == "p":
-                        break
+                close_to(frozenset(("p",)))
             elif tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1] == tag:
-                stack.pop()
-                around.pop()
+                close()
+            if tag in BLOCKS and opened and opened[-1].cut is None:
+                # if these never close, their names don't hold for what follows
+                for x in reversed(opened):
+                    if x.cut is not None:
+                        break
+                    x.cut, first = len(items), x.at
+                around[first:] = [around[first]] * (len(around) - first)
+            if tag in ASIDE:
+                opened.append(Aside(len(items), len(stack), block))
             stack.append(tag)
+            depth[tag] += 1
             around.append(around[-1] | names_of(tag, m[3]))
+    while stack:
+        close()
+    if spans:
+        page.items = without(items, spans)
+    return page
+
+
+def without(items: list, spans: list[tuple[int, int]]) -> list:
+    """items with one tag for each stretch of them that spans (start, stop) cover."""
+    edges, inside, out = Counter(), 0, []
+    for start, stop in spans:
+        edges[start] += 1
+        edges[stop] -= 1
+    for i, x in enumerate(items):
+        before = inside
+        inside += edges[i]
+        if not inside:
+            out.append(x)
+        elif not before:
+            out.append("tag")
+    return out
 
 
 # Words that pages use in classes, ids and roles for what isn't the article, and for the article.
