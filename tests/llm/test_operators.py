@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, chat, darts, langid, media, mixing, neardup, pages, pretokens, queries, spots, tokencount, toxicity
+from tidemill.llm import bpe, chat, darts, langid, media, mixing, neardup, pages, pretokens, queries, samples, spots, tokencount, toxicity
 from tidemill.llm.vocabulary import vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -119,6 +119,18 @@ def test_classifiers_on_odd_rows(spark, odd):
     assert langid.identify(empty, langid.learn(empty)).count() == 0 and toxicity.score(empty, toxicity.learn(empty, labels)).count() == 0
 
 
+def test_samples_keep_frequent_labels_and_as_many_labels_as_asked(spark):
+    frequent = spark.range(3_000_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("label"))
+    assert 1 <= samples.pick(frequent, 2)[0].count() <= 2
+    many = spark.range(600).select(F.col("id").alias("doc_id"), (F.col("id") % 300).cast("string").alias("label"))
+    chosen, counts = samples.pick(many, 10, most_classes=300)
+    assert chosen.count() == 600 and len(counts) == 300
+    with pytest.warns(UserWarning, match="more than 256 labels"):
+        assert len(samples.pick(many, 10)[1]) == 256
+    words = many.select("doc_id", F.concat(F.lit("w"), "label").alias("text"), F.col("label").alias("lang"))
+    assert len(langid.learn(words, langid.Parameters(per_class=10, most_classes=300, epochs=1)).languages) > 256
+
+
 # 3
 
 

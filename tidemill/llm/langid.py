@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tidemill.llm.codes import LETTER, kinds, pack
 from tidemill.llm.common import held_out, release, slices
-from tidemill.llm.samples import pick
+from tidemill.llm.samples import MOST_CLASSES, pick
 from tidemill.llm.subword import Bags, Embedder, by_text, softmax
 
 UNDETERMINED = "und"
@@ -31,6 +31,8 @@ UNDETERMINED = "und"
 class Parameters:
     #: The bound of the sample: about so many documents of each language.
     per_class: int = 700
+    #: Languages that it learns: the most frequent; there is a warning if there are more.
+    most_classes: int = MOST_CLASSES
     orders: tuple[int, ...] = (3, 4)
     bits: int = 16
     dims: int = 16
@@ -112,7 +114,7 @@ def fit(sample: list[tuple[str, str]], p: Parameters = Parameters()) -> Model:
 def learn(documents: DataFrame, p: Parameters = Parameters()) -> Model:
     """A model of lang, from text and non-null lang of documents that are not held out."""
     rows = documents.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col("lang").alias("label"), "text")
-    chosen, _ = pick(rows, p.per_class)
+    chosen, _ = pick(rows, p.per_class, p.most_classes)
     model = fit(sorted((r["text"], r["label"]) for r in chosen.collect()), p)
     release()
     return model

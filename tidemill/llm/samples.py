@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STEPS = 1 << 20
-#: Distinct labels that a classifier may have.
+STEPS = 1 << 62
+#: Distinct labels that a classifier may have, unless a caller says otherwise.
 MOST_CLASSES = 256
 
 
-def pick(labels: DataFrame, per_class: int) -> tuple[DataFrame, dict]:
+def pick(labels: DataFrame, per_class: int, most_classes: int = MOST_CLASSES) -> tuple[DataFrame, dict]:
     """Of each label about `per_class` rows, chosen by a hash of doc_id, and how many rows each label has.
 
-    labels: doc_id, label. At most 1.25 * per_class * number of labels rows come back.
+    labels: doc_id, label. At most 1.25 * per_class * number of labels rows come back. Of more than `most_classes` labels
+    the most frequent count, with a warning.
     """
-    counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(MOST_CLASSES).collect()}
+    by_label = labels.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label")
+    counts = {r["label"]: r["n"] for r in by_label.limit(most_classes + 1).collect()}
+    if len(counts) > most_classes:
+        counts.popitem()
+        warnings.warn(f"more than {most_classes} labels: the rarer ones can't be learned or predicted; raise most_classes to have them", stacklevel=2)
     if not counts:
         return labels.limit(0), counts
-    rank = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(STEPS))
+    # 62 bits, so that some rows of a label stay however many it has
+    hashed = F.xxhash64("doc_id", F.lit(11))
+    rank = F.pmod(hashed, F.lit(1 << 20)) * F.lit(1 << 42) + F.pmod(F.shiftright(hashed, 20), F.lit(1 << 42))
     keep: Column = F.lit(False)
     for label, n in counts.items():
-        keep = keep | ((F.col("label") == F.lit(label)) & (rank < int(STEPS * min(1.0, per_class / n))))
+        keep = keep | ((F.col("label") == F.lit(label)) & (rank < F.lit(STEPS if n <= per_class else STEPS * per_class // n)))
     chosen = labels.filter(keep).orderBy(rank, "doc_id").limit(int(1.25 * per_class * len(counts)))
     return chosen, counts
 
