@@ -143,6 +143,36 @@ def test_jobs_end_to_end(spark):
     assert not silent.ready
 
 
+def test_jobs_with_an_extractor(spark, tmp_path):
+    texts = ["At least four (4) years in the field. Good English needed.", "Good English needed, we say. 3+ years of experience.", "Nothing at all", "Years: 7.5, ask us. Per hour we pay 31 dollars", "At least four (4) years in the field. Good English needed."]
+    places = ["London", "Remote, Colombia", "London", "London", "London"]
+    gh = json.dumps({"jobs": [{"id": i, "title": f"Dev {i}", "absolute_url": f"http://g/{i}", "location": {"name": p}, "first_published": "2026-01-02T00:00:00Z", "content": t} for i, (t, p) in enumerate(zip(texts, places))]})
+    configured = spark.createDataFrame([("G", "greenhouse", "g"), ("X", "lever", "x"), ("Y", "lever", "y")], ingest.BOARDS)
+    answers = spark.createDataFrame([("greenhouse", "g", 200, gh), ("lever", "x", 500, None), ("lever", "y", 200, "<html>")], "source string, board string, status int, body string")
+    none, log = spark.createDataFrame([], jobs.POSTING), str(tmp_path / "asked")
+
+    def extractor(text, fields):
+        with open(log, "a") as f:
+            f.write(text[:12] + "\n")
+        every = {"min_years": ("4" if "four" in text else "7.5", "four (4) years" if "four" in text else "Years: 7.5"), "english_level": ("Good", "Good  English"), "pay_usd_hour_max": (31, "we pay 31 dollars"), "hours_per_week": ("40", "made up")}
+        return every
+
+    run = jobs.run(configured, answers, none, extractor)
+    got = {r["posting_id"]: r for r in run.delivered.collect()}
+    assert len(got) == 5 and run.ready
+    for i in "04":
+        assert got[i]["min_years"] == 4 and got[i]["english_level"] == "Good" and got[i]["pay_usd_hour_max"] is None
+        assert got[i]["extracted_by"] == {"min_years": "llm", "english_level": "llm"} and got[i]["evidence"] == {"min_years": "four (4) years", "english_level": "Good English"}
+    assert got["1"]["min_years"] == 3 and got["1"]["extracted_by"] == {"min_years": "rules", "english_level": "llm"}
+    assert got["2"]["extracted_by"] == {} and got["3"]["min_years"] is None and got["3"]["pay_usd_hour_max"] == 31.0
+    assert len(open(log).read().splitlines()) == 3
+    checks = {r["name"]: r for r in run.checks.collect()}
+    assert checks["fetch failures"]["status"] == "WARN" and "1 request(s)" in checks["fetch failures"]["detail"]
+    few = {r["posting_id"]: r["extracted_by"] for r in jobs.run(configured, answers, none, extractor, calls=1).delivered.collect()}
+    assert [i for i, by in few.items() if "llm" in by.values()] == ["1"]
+    assert all("llm" not in r["extracted_by"].values() for r in jobs.run(configured, answers, none).delivered.collect())
+
+
 def test_checkpoint_and_sinks(spark, tmp_path):
     lines = spark.createDataFrame([(1, '{"key":"a","value":{"n":1}}'), (2, '{"key":"a","value":{"n":2}}'), (3, '{"key":"b","val')], "line_no int, line string")
     assert [(r["key"], r["value"]["n"]) for r in ingest.checkpoint(lines, "struct<n:int>").collect()] == [("a", 2)]

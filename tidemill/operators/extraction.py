@@ -120,10 +120,46 @@ def extracted(requests: DataFrame, extractor: Callable[[str, list[str]], dict[st
             out = []
             for digest, text, fields in zip(b["description_sha1"], b["text"], b["fields"]):
                 for f, (value, evidence) in extractor(text[:prompt], list(fields)).items():
-                    out.append((digest, f, value, evidence, text))
+                    if f in fields and value not in (None, ""):
+                        out.append((digest, f, str(value), evidence, text))
             yield pd.DataFrame(out, columns=["description_sha1", "field", "value", "evidence", "text"])
 
     told = requests.select("description_sha1", "text", "fields").mapInPandas(ask, "description_sha1 string, field string, value string, evidence string, text string")
     number = F.col("field").isin("min_years", "pay_usd_hour_max", "pay_usd_year_max")
     borne = F.when(number, readable(F.col("value").try_cast("double"), F.col("evidence"), True)).otherwise(readable(F.col("value"), F.col("evidence"), False))
     return told.withColumn("accepted", supported(F.col("text"), F.col("evidence")) & F.coalesce(borne, F.lit(False))).drop("text")
+
+
+def asked(rows: DataFrame, text: str, priority: Column, order: str, extractor: Callable[[str, list[str]], dict[str, tuple[str, str]]], calls: int) -> DataFrame:
+    """description_sha1, field, value, evidence: what the extractor says of rows (with description_sha1, fields and text) and its evidence bears.
+
+    Each description is asked about once: the answers, bounded by the budget, are fetched here and now.
+    """
+    texts = rows.groupBy("description_sha1").agg(F.min(text).alias("text"))
+    told = extracted(wanted(rows, texts, priority, order, calls), extractor)
+    kept = told.filter("accepted").select("description_sha1", "field", "value", "evidence")
+    return rows.sparkSession.createDataFrame(kept.collect(), kept.schema)
+
+
+def merged(rows: DataFrame, answers: DataFrame | None, by: str = "llm") -> DataFrame:
+    """rows (description_sha1, fields, evidence) with answers in the fields that the rules left empty, and who read each field (_by).
+
+    An answer that isn't of its field's type counts for nothing.
+    """
+    if answers is None:
+        return rows.withColumns({f"{f}_by": F.when(F.col(f).isNotNull(), F.lit("rules")) for f in FIELDS})
+    picks = [F.max(F.when(F.col("field") == f, F.struct("value", "evidence"))).alias(f"_{f}") for f in FIELDS]
+    both = rows.join(answers.groupBy("description_sha1").agg(*picks), "description_sha1", "left")
+    new = {}
+    for f in FIELDS:
+        said, kind = F.col(f"_{f}.value"), rows.schema[f].dataType
+        if f == "min_years":
+            number = said.try_cast("double")
+            said = F.when(number == F.floor(number), number).try_cast("int")
+        else:
+            said = said.try_cast(kind)
+        use = F.col(f).isNull() & said.isNotNull()
+        new[f] = F.coalesce(F.col(f), said)
+        new[f"{f}_evidence"] = F.when(use, clean(F.col(f"_{f}.evidence"))).otherwise(F.col(f"{f}_evidence"))
+        new[f"{f}_by"] = F.when(use, F.lit(by)).when(F.col(f).isNotNull(), F.lit("rules"))
+    return both.withColumns(new).drop(*(f"_{f}" for f in FIELDS))

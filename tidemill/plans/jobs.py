@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -17,6 +18,9 @@ POSTING = (
     " employment_type string, published date, family_id string, description_sha1 string, min_years int, english_level string, pay_usd_hour_max double, pay_usd_year_max double,"
     " hours_per_week string, evidence map<string,string>, extracted_by map<string,string>"
 )
+Extractor = Callable[[str, list[str]], dict[str, tuple[str, str]]]
+#: Descriptions that one run asks an extractor about, unless a caller says otherwise.
+CALLS = 40
 COLUMNS = tuple(c.split()[0] for c in POSTING.split(", "))
 
 
@@ -53,36 +57,52 @@ class Run:
         return snapshots.changelog_entry(day, self.delivered, own, "key", first_run)
 
 
-def fresh(boards: DataFrame) -> DataFrame:
-    """Postings of all answered boards (with bodies), enriched once for each distinct description, evidence checked."""
+def fresh(boards: DataFrame, extractor: Extractor | None = None, calls: int = CALLS) -> DataFrame:
+    """Postings of all answered boards (with bodies), enriched once for each distinct description, evidence checked.
+
+    An extractor, if given, is asked about fields that the rules left empty and the text hints at, for so many
+    descriptions at most: first those open to Colombia, then the unclear ones.
+    """
     raw = parsers.postings(boards).withColumn("family_id", text.family_id(F.col("company"), F.col("title")))
     rows = extraction.enriched(raw.withColumn("_body", F.col("description")), "description", "key")
+    answers = None
+    if extractor is not None:
+        open_to = F.col("open_to_colombia")
+        rows = rows.cache()
+        rank = F.when(open_to, 0).when(open_to.isNull(), 1).otherwise(2)
+        answers = extraction.asked(rows, "_body", rank, "key", extractor, calls)
+    rows = extraction.merged(rows, answers)
     bad = F.lit(False)
     for f in extraction.FIELDS:
         bad = bad | (F.col(f"{f}_evidence").isNotNull() & ~extraction.supported(F.col("_body"), F.col(f"{f}_evidence")))
     pairs = lambda value: F.map_filter(F.create_map(*[x for f in extraction.FIELDS for x in (F.lit(f), value(f))]), lambda k, v: v.isNotNull())
     evidence = pairs(lambda f: F.col(f"{f}_evidence"))
-    by = pairs(lambda f: F.when(F.col(f).isNotNull(), F.lit("rules")))
+    by = pairs(lambda f: F.col(f"{f}_by"))
     return rows.withColumn("unsupported", bad).withColumns({"evidence": evidence, "extracted_by": by}).select(*COLUMNS, "unsupported")
 
 
-def run(configured: DataFrame, responses: DataFrame, previous: DataFrame) -> Run:
-    """configured: company, source, board; responses: source, board, status, body; previous: the last snapshot."""
+def run(configured: DataFrame, responses: DataFrame, previous: DataFrame, extractor: Extractor | None = None, calls: int = CALLS) -> Run:
+    """configured: company, source, board; responses: source, board, status, body; previous: the last snapshot.
+
+    extractor, calls: as in fresh().
+    """
     ok, failed = ingest.answered(configured, responses)
     board = lambda df: df.withColumn("board", text.board_of(F.col("key")))
     name = F.concat_ws(":", "source", "board").alias("board")
-    now = fresh(ok).cache()
+    now = fresh(ok, extractor, calls).cache()
     before, gone = board(previous), failed.select(name)
     current = snapshots.carried(before, board(now.drop("unsupported")), gone, "board")
     quiet = snapshots.silent(before, board(now), gone, configured.select(name), "board")
+    unfetched = failed.filter("reason != 'body is not JSON'").count()
     facts = {
-        "every board answered": (failed.count() == 0, False),
-        "no board went silent": (quiet.count() == 0, True),
-        "evidence is verbatim": (now.filter("unsupported").count() == 0, True),
+        "fetch failures": (unfetched == 0, False, f"{unfetched} request(s) failed after retries"),
+        "every board answered": (failed.count() == 0, False, ""),
+        "no board went silent": (quiet.count() == 0, True, ""),
+        "evidence is verbatim": (now.filter("unsupported").count() == 0, True, ""),
     }
     rate = current.agg(F.coalesce(F.avg((F.size("countries") > 0).cast("double")), F.lit(1.0))).first()[0]
-    facts["location resolved"] = (rate >= 0.9, False)
-    extra = now.sparkSession.createDataFrame([(k, bool(v), "", b) for k, (v, b) in facts.items()], "name string, passed boolean, detail string, blocking boolean")
+    facts["location resolved"] = (rate >= 0.9, False, "")
+    extra = now.sparkSession.createDataFrame([(k, bool(v), detail, b) for k, (v, b, detail) in facts.items()], "name string, passed boolean, detail string, blocking boolean")
     rules, order = spec(), [F.col("source"), F.col("posting_id")]
     rows = current.drop("board")
     checks = contracts.gate(rows, rules, order, extra)
