@@ -366,6 +366,30 @@ def test_large_buckets_go_on_until_all_is_compared(spark, documents, monkeypatch
     assert {(r["doc_id"], r["class_id"]) for r in neardup.classes(df).collect()} == set(brute_classes(rows)) and rng
 
 
+@pytest.mark.parametrize("least", [0.3, 0.5])
+def test_lower_thresholds_have_their_classes(spark, least):
+    rows = []
+    for i in range(120):
+        # of n shingles, two texts with n - k in common are (n - k) / (n + k) similar, here just above the threshold
+        words, shared = [f"a{i}x{j}" for j in range(104)], 4 + int(np.ceil(200 * least / (1 + least))) + 1
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:shared] + [f"b{i}x{j}" for j in range(104 - shared)]))]
+    # and a cluster of texts of different lengths
+    rows += [(1000 + i, " ".join(f"c{j}" for j in range(30 + i))) for i in range(0, 70, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["class_id"]) for r in neardup.classes(df, least).collect()]
+    assert Counter(got) == Counter(brute_classes(rows, least))
+
+
+def test_banding_serves_the_threshold():
+    assert neardup.banding(0.8) == neardup.banding(0.95) == (24, 5)
+    for least in (0.05, 0.3, 0.5, 0.7, 0.79):
+        bands, rows = neardup.banding(least)
+        assert (1 - least**rows) ** bands <= neardup.MISS
+    for wrong in (0, -1, 1.01):
+        with pytest.raises(ValueError):
+            neardup.banding(wrong)
+
+
 def test_near_duplicates_of_an_empty_table(odd):
     assert neardup.classes(odd.limit(0)).count() == 0 and neardup.one_of_each(odd.limit(0)).count() == 0
 

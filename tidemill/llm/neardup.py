@@ -11,7 +11,8 @@ fewest elements of its own leads first, as others most likely differ from it alo
 are compared with all whose sizes and places in the order of rarity leave room for a link. A bucket for which even that
 takes more than MOST comparisons takes leaders, round by round, until it holds one class or all have been compared.
 So the classes are those of all pairs that meet in a bucket; with 24 bands of 5 a pair of similarity 0.8 misses all
-buckets with probability 7e-5, one of 0.85 with 8e-7.
+buckets with probability 7e-5, one of 0.85 with 8e-7. Lower thresholds take bands for which a pair at the threshold misses
+all buckets with probability MISS at most.
 
 The driver sees counts only. Tables between steps are written to the shared folder, which cuts the lineage. What is
 broadcast is counted first: beyond BROADCAST rows the join shuffles.
@@ -23,6 +24,8 @@ doc_id with another text, are rows of their own. Further columns don't matter to
 
 from __future__ import annotations
 
+import math
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +37,8 @@ from tidemill.llm import darts
 from tidemill.llm.common import slices, stored
 
 BANDS, ROWS, WIDTH, LEAST = 24, 5, 5, 0.8
+#: For thresholds below LEAST: the probability that a pair at the threshold shares no band, and about how long a signature may get for longer rows.
+MISS, LONGEST = 1e-4, 512
 BROADCAST = 2_000_000
 SMALL, MOST = 64, 1 << 25
 
@@ -47,16 +52,29 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST else df
 
 
-def signed(documents: DataFrame, weighted: bool = False) -> DataFrame:
+def banding(least: float) -> tuple[int, int]:
+    """Bands, and rows of each, that serve this threshold; rows are fewer where many would take too many bands."""
+    if not 0 < least <= 1:
+        raise ValueError(f"a threshold of similarity is above 0 and at most 1, not {least}")
+    if least >= LEAST:
+        return BANDS, ROWS
+    for rows in range(ROWS, 0, -1):
+        bands = math.ceil(math.log(MISS) / math.log1p(-(least**rows)))
+        if bands * rows <= LONGEST or rows == 1:
+            return bands, rows
+
+
+def signed(documents: DataFrame, weighted: bool = False, least: float = LEAST) -> DataFrame:
     """doc_id, key (of the text), n (shingles), bands: one narrow pass over whole texts."""
     schema = T.StructType([documents.schema["doc_id"], T.StructField("key", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    n_bands, n_rows = banding(least)
 
     def run(batches):
         for part, texts in slices(batches, "text", 1 << 18):
             text, shingle, often = darts.shingles(texts, WIDTH)
             weights = often.astype(float) if weighted else np.ones(len(text))
-            keys = darts.banded(darts.signatures(text, shingle, weights, len(texts), BANDS * ROWS), ROWS)
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
+            keys = darts.banded(darts.signatures(text, shingle, weights, len(texts), n_bands * n_rows), n_rows)
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * n_bands, pa.int32()), pa.array(keys.ravel()))
             n = np.bincount(text, weights=weights, minlength=len(texts)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key").cast(pa.binary()), pa.array(n), bands], names=schema.names)
 
@@ -119,7 +137,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def classes(documents: DataFrame, least: float = LEAST, weighted: bool = False) -> DataFrame:
     """doc_id, key, class_id, rep_id and rep_key (doc_id and key of the row that stands for the class): a row for each of documents."""
-    signs = stored(signed(documents, weighted), "signatures")
+    signs = stored(signed(documents, weighted, least), "signatures")
     groups = signs.groupBy("key").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     groups = stored(groups.withColumn("rid", F.monotonically_increasing_id()), "groups")
     spread = groups.select("rid", "n", F.explode("bands").alias("bucket"))
@@ -138,7 +156,7 @@ def classes(documents: DataFrame, least: float = LEAST, weighted: bool = False)
         sets = stored(sets.select("rid", "s", "w"), "sets")
         edges = stored(links(pruned(members.filter("rid != leader").select(F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("leader").alias("b"), F.col("leader_n").alias("n_b")), least), sets, least, weighted), "links")
         found = components(edges)
-        rest, first = stored(apart(members.select("bucket", "rid", "n"), found), "rest"), True
+        rest, first = stored(apart(members.select("bucket", "rid", "n"), found, least), "rest"), True
         while not rest.isEmpty():
             # buckets that still hold several classes: in full if that takes few comparisons, else by leaders, first those of the rarest shingles
             if first:
