@@ -3,13 +3,24 @@
 from __future__ import annotations
 
 import ctypes
+import re
+import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+#: Bytes that a broadcast side of a join may take.
+BROADCAST = 32 << 20
+#: Bytes of a batch that goes to Python.
+BATCH = 4 << 20
+#: Code points of a very long text that numpy reads at a time.
+PIECE = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,17 +35,32 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir, which driver and executors share.
 
-    Only where that setting is absent (tests on one machine) is a temporary folder made for it.
+    All folders of one application lie in one, which goes when the application ends. Only in local mode, where driver and
+    executors are one process (tests, benchmarks), may the setting be absent: then a temporary folder is made for it.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        import tempfile
-
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidemill-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        context.setCheckpointDir(base)
+    root = f"{base.rstrip('/')}/tidemill-{context.applicationId}"
+    if root not in _ROOTS:
+        files, path = _hadoop(spark, root)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _ROOTS.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+_ROOTS: set[str] = set()
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path, as Hadoop has them."""
+    told = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return told.getFileSystem(spark._jsc.hadoopConfiguration()), told
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -42,7 +68,47 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that stored() gave and that nothing still to be computed reads."""
+    for df in tables:
+        files, path = _hadoop(df.sparkSession, df._stored_at)
+        files.delete(path, True)
+
+
+def bounded(df: DataFrame, rows: int, row_bytes: int, most: int = BROADCAST) -> DataFrame:
+    """df, to be broadcast if so many rows of about so many bytes (as a hash table holds them) are few; else the join shuffles."""
+    return F.broadcast(df) if rows * row_bytes <= most else df
+
+
+def unused(columns: Iterable[str], name: str) -> str:
+    """name, with as many underscores before it as it takes to differ from all columns (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def in_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """df.mapInArrow(run, schema), with batches of BATCH bytes at most, unless the session has a setting of its own.
+
+    Both ends of the pipe hold whole batches, so their size counts several times in an executor's memory.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name) == f"{64 << 20}b":
+        conf.set(name, str(BATCH))
+    return df.mapInArrow(run, schema)
+
+
+def local(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str) -> DataFrame:
+    """A few rows from the driver, without the Python workers that createDataFrame takes for a list."""
+    kind = to_arrow_schema(T._parse_datatype_string(schema) if isinstance(schema, str) else schema)
+    columns = list(zip(*rows, strict=True)) or [()] * len(kind)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind))
 
 
 def release() -> None:
@@ -76,6 +142,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = 1 << 20)
     release()
 
 
-def salted(column: str, buckets: int) -> Column:
-    """0 .. buckets - 1 from a hash of the column; the same on every run."""
-    return F.pmod(F.xxhash64(F.col(column)), F.lit(buckets))
+def pieces_of(text: str, most: int = PIECE) -> Iterator[str]:
+    """A very long text in parts of at most so many code points, cut after a blank or line break.
+
+    Only a run of more than `most` code points without either is cut where it is full, so that no word can take more
+    memory than that.
+    """
+    start = 0
+    while len(text) - start > most:
+        cut = max(text.rfind(" ", start, start + most), text.rfind("\n", start, start + most), start - 1) + 1
+        stop = cut if cut > start else start + most
+        yield text[start:stop]
+        start = stop
+    yield text[start:]

@@ -15,13 +15,24 @@ import functools
 import numpy as np
 
 from tidemill.llm.codes import mix, pack, wordlike
+from tidemill.llm.common import PIECE, pieces_of
 
 FIRST = 1 / 2
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
 
 
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word (run of letters, numbers and marks, in lower case), and where each text's words start."""
+    """A hash of each word (run of letters, numbers and marks, in lower case), and where each text's words start.
+
+    Very long texts are read in parts: besides the hashes a part takes memory, not the text.
+    """
+    if all(len(t) <= PIECE for t in texts):
+        return hashed(texts)
+    parts = [[hashed([p])[0] for p in pieces_of(t)] for t in texts]
+    return np.concatenate([h for own in parts for h in own]), np.concatenate([[0], np.cumsum([sum(map(len, own)) for own in parts])])
+
+
+def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes, ends = pack([t.lower() for t in texts])
     inside = wordlike()[codes]
     inside[ends] = False
@@ -71,6 +82,14 @@ def shingles(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.ndarray,
     return text[first], whole[first], np.diff(np.append(first, len(text)))
 
 
+def occurrences(text: np.ndarray, shingle: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hash of each occurrence: the Jaccard similarity of these sets is the weighted one of the shingles. Sorted by text."""
+    at = np.repeat(np.arange(len(text)), often)
+    nth = np.arange(len(at)) - np.repeat(np.cumsum(often) - often, often)
+    with np.errstate(over="ignore"):
+        return text[at], mix(shingle[at] + _C * nth.astype(np.uint64))
+
+
 @functools.lru_cache(maxsize=64)
 def poisson(mean: float) -> np.ndarray:
     """Its distribution function at 0, 1, 2, ..."""
