@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 
 def upsert(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Both as string cells. The merged table, with _change (inserted, updated, unchanged or kept).
+    """Both as string cells. The merged table, one row for each key, with _change (inserted, updated, unchanged or kept).
 
-    Columns of target stay, in order; new ones follow. Of target rows that share a key the last counts (_order).
+    Columns of target stay, in order; new ones follow. Of target rows that share a key the last one counts; incoming rows
+    that share a key are merged one after another, so that the last filled cell of each column counts. What is last, a
+    column _order says; without one, the greatest row by all its cells.
     """
-    columns = [c for c in target.columns if c != "_order"] + [c for c in rows.columns if c not in target.columns]
-    old = target.groupBy(key).agg(*(F.max_by(c, "_order").alias(f"_old_{i}") for i, c in enumerate(columns) if c in target.columns and c != key)) if "_order" in target.columns else target.select(key, *(F.col(c).alias(f"_old_{i}") for i, c in enumerate(columns) if c in target.columns and c != key))
-    new = rows.select(key, *(F.col(c).alias(f"_new_{i}") for i, c in enumerate(columns) if c in rows.columns and c != key))
-    both = old.withColumn("_a", F.lit(True)).join(new.withColumn("_b", F.lit(True)), key, "full_outer")
-    was, now = {}, {}
-    for i, c in enumerate(columns):
-        if c == key:
-            continue
-        was[c] = F.coalesce(F.col(f"_old_{i}"), F.lit("")) if c in target.columns else F.lit("")
-        now[c] = F.coalesce(F.nullif(F.col(f"_new_{i}"), F.lit("")), was[c]) if c in rows.columns else was[c]
+    mine, theirs = ([c for c in df.columns if c not in ("_order", key)] for df in (target, rows))
+    columns = [c for c in target.columns if c != "_order"] + [c for c in rows.columns if c not in target.columns and c != "_order"]
+    at = lambda df: F.col("_order") if "_order" in df.columns else F.struct(*df.columns)
+    old = target.groupBy(key).agg(F.lit(True).alias("_a"), *(F.max_by(c, at(target)).alias(f"_old_{columns.index(c)}") for c in mine))
+    new = rows.groupBy(key).agg(F.lit(True).alias("_b"), *(F.max_by(c, F.when(F.col(c) != "", at(rows))).alias(f"_new_{columns.index(c)}") for c in theirs))
+    both = old.join(new, key, "full_outer")
+    was = {c: F.coalesce(F.col(f"_old_{i}"), F.lit("")) if c in mine else F.lit("") for i, c in enumerate(columns) if c != key}
+    now = {c: F.coalesce(F.col(f"_new_{columns.index(c)}"), was[c]) if c in theirs else was[c] for c in was}
     same = F.lit(True)
     for c in now:
         same = same & (was[c] == now[c])
