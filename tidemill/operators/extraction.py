@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.text import WHITE, casefold, clean, scaled
+from tidemill.functions.text import WHITE, clean, clean_folded, scaled
+from tidemill.sources.files import kept
 
 # The patterns by which requirements are read, and English levels in order of precedence.
 YEARS_RANGE = r"(?iu)\b(\d{1,2})\s*(?:-|–|to)\s*\d{1,2}\s*years?\b[^.\n]{0,80}?\bexperience"
@@ -72,14 +74,14 @@ def rules(texts: DataFrame, key: str, text: str) -> DataFrame:
 
 def supported(source: Column, evidence: Column) -> Column:
     """The evidence, clean and case folded, is 3 characters or more of the source."""
-    said = casefold(clean(evidence))
-    return (F.length(said) >= 3) & F.contains(casefold(clean(source)), said)
+    said = clean_folded(evidence)
+    return (F.length(said) >= 3) & F.contains(clean_folded(source), said)
 
 
 def readable(value: Column, evidence: Column, number: bool) -> Column:
     """The value can be read in the evidence: as one of its numbers (to six digits), or as a part of its text."""
     if not number:
-        return F.contains(casefold(clean(evidence)), casefold(clean(value)))
+        return F.contains(clean_folded(evidence), clean_folded(value))
     six = lambda c: F.format_string("%.5e", c)
     told = F.transform(F.regexp_extract_all(evidence, F.lit(r"(\d[\d,]*(?:\.\d+)?)"), 1), lambda n: F.replace(n, F.lit(","), F.lit("")).try_cast("double"))
     return F.exists(told, lambda n: six(n) == six(value.cast("double")))
@@ -95,23 +97,60 @@ def enriched(postings: DataFrame, text: str, order: str) -> DataFrame:
     return marked.drop(text).join(rules(distinct, "description_sha1", "_text"), "description_sha1", "left")
 
 
-def wanted(enriched_rows: DataFrame, texts: DataFrame, priority: Column, order: str, calls: int) -> DataFrame:
-    """Digests worth an external call: a field is missing and hinted at; by priority, then first seen, up to the budget.
+def rule_hits(found: DataFrame) -> DataFrame:
+    """field, n: for how many distinct descriptions (description_sha1) of found a field was read."""
+    by_text = found.groupBy("description_sha1").agg(*(F.max(F.col(f).isNotNull()).alias(f) for f in FIELDS))
+    counts = by_text.agg(*(F.count_if(f).alias(f) for f in FIELDS))
+    return counts.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("n")) for f in FIELDS))).alias("x")).select("x.*")
 
-    texts: description_sha1, text. The budget is the feature here.
-    """
+
+def open_fields(enriched_rows: DataFrame, texts: DataFrame, priority: Column, order: str) -> DataFrame:
+    """description_sha1, rank, first_at, fields, text: what the rules left empty although the text (of texts) hints at it."""
     ranked = enriched_rows.groupBy("description_sha1").agg(F.min(priority).alias("rank"), F.min(order).alias("first_at"), *(F.max(F.col(f).isNull()).alias(f"no_{f}") for f in FIELDS))
     ranked = ranked.join(texts, "description_sha1")
     open_ = F.array(*(F.when(F.col(f"no_{f}") & F.col("text").rlike(HINTS[f]), F.lit(f)) for f in FIELDS))
     ranked = ranked.withColumn("fields", F.filter(open_, lambda x: x.isNotNull())).filter(F.size("fields") > 0)
-    return ranked.orderBy("rank", "first_at").limit(calls).select("description_sha1", "rank", "fields", "text")
+    return ranked.select("description_sha1", "rank", "first_at", "fields", "text")
+
+
+def wanted(enriched_rows: DataFrame, texts: DataFrame, priority: Column, order: str, calls: int) -> DataFrame:
+    """Digests worth an external call, by priority, then first seen, up to the budget. The budget is the feature here."""
+    return open_fields(enriched_rows, texts, priority, order).orderBy("rank", "first_at").limit(calls).select("description_sha1", "rank", "fields", "text")
+
+
+OVER_BUDGET = "no calls left"
+
+
+def unasked(open_: DataFrame, asked_: DataFrame) -> DataFrame:
+    """description_sha1, field, reason: fields that the budget left open (open_ as open_fields() gives them)."""
+    rest = open_.join(asked_.select("description_sha1"), "description_sha1", "left_anti")
+    return rest.select("description_sha1", F.explode("fields").alias("field"), F.lit(OVER_BUDGET).alias("reason"))
+
+
+def answer_schema(fields: tuple[str, ...] = FIELDS) -> dict:
+    """The JSON schema that an extractor's answer has to meet: of each field a value and its evidence, both text or null."""
+    told = {"type": ["string", "null"]}
+    own = {"type": "object", "properties": {"value": told, "evidence": told}, "required": ["value", "evidence"], "additionalProperties": False}
+    return {"type": "object", "properties": dict.fromkeys(fields, own), "required": list(fields), "additionalProperties": False}
+
+
+def from_environment() -> tuple[Callable[[str, list[str]], dict[str, tuple[str, str]]], int] | None:
+    """The extractor that TIDEMILL_EXTRACTOR names (module:function) and its budget (TIDEMILL_CALLS, 40 without one); None if none is named."""
+    import importlib
+    import os
+
+    named = os.environ.get("TIDEMILL_EXTRACTOR")
+    if not named:
+        return None
+    module, _, function = named.partition(":")
+    return getattr(importlib.import_module(module), function), int(os.environ.get("TIDEMILL_CALLS", "40"))
 
 
 def extracted(requests: DataFrame, extractor: Callable[[str, list[str]], dict[str, tuple[str, str]]], prompt: int = 12_000) -> DataFrame:
-    """description_sha1, field, value, evidence, accepted: answers of an extractor, kept only with evidence that bears them.
+    """description_sha1, field, value, evidence, accepted, reason: answers of an extractor, accepted only with evidence that bears them.
 
     extractor: (text, fields) to field: (value, evidence); a client of some service, or a table in tests. The prompt's
-    length is the service's limit.
+    length is the service's limit. reason says why an answer is rejected.
     """
     import pandas as pd
 
@@ -126,19 +165,36 @@ def extracted(requests: DataFrame, extractor: Callable[[str, list[str]], dict[st
 
     told = requests.select("description_sha1", "text", "fields").mapInPandas(ask, "description_sha1 string, field string, value string, evidence string, text string")
     number = F.col("field").isin("min_years", "pay_usd_hour_max", "pay_usd_year_max")
-    borne = F.when(number, readable(F.col("value").try_cast("double"), F.col("evidence"), True)).otherwise(readable(F.col("value"), F.col("evidence"), False))
-    return told.withColumn("accepted", supported(F.col("text"), F.col("evidence")) & F.coalesce(borne, F.lit(False))).drop("text")
+    amount = F.col("value").try_cast("double")
+    borne = F.when(number, readable(amount, F.col("evidence"), True)).otherwise(readable(F.col("value"), F.col("evidence"), False))
+    reason = (
+        F.when(number & amount.isNull(), "the value is no number")
+        .when(~F.coalesce(supported(F.col("text"), F.col("evidence")), F.lit(False)), "the text has no such passage")
+        .when(~F.coalesce(borne, F.lit(False)), "the passage does not say so")
+    )
+    return told.withColumn("reason", reason).withColumn("accepted", F.col("reason").isNull()).drop("text")
+
+
+@dataclass
+class Answers:
+    """What an extractor said: accepted values, and what became of the other fields (description_sha1, field, reason)."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    calls: int
 
 
-def asked(rows: DataFrame, text: str, priority: Column, order: str, extractor: Callable[[str, list[str]], dict[str, tuple[str, str]]], calls: int) -> DataFrame:
-    """description_sha1, field, value, evidence: what the extractor says of rows (with description_sha1, fields and text) and its evidence bears.
+def asked(rows: DataFrame, text: str, priority: Column, order: str, extractor: Callable[[str, list[str]], dict[str, tuple[str, str]]], calls: int) -> Answers:
+    """What the extractor says of rows (with description_sha1, fields and text) and its evidence bears.
 
     Each description is asked about once: the answers, bounded by the budget, are fetched here and now.
     """
     texts = rows.groupBy("description_sha1").agg(F.min(text).alias("text"))
-    told = extracted(wanted(rows, texts, priority, order, calls), extractor)
-    kept = told.filter("accepted").select("description_sha1", "field", "value", "evidence")
-    return rows.sparkSession.createDataFrame(kept.collect(), kept.schema)
+    open_ = open_fields(rows, texts, priority, order)
+    chosen = kept(open_.orderBy("rank", "first_at").limit(calls))
+    told = kept(extracted(chosen, extractor))
+    rejected = told.filter("not accepted").select("description_sha1", "field", "reason").unionByName(unasked(open_, chosen))
+    return Answers(told.filter("accepted").select("description_sha1", "field", "value", "evidence"), rejected, chosen.count())
 
 
 def merged(rows: DataFrame, answers: DataFrame | None, by: str = "llm") -> DataFrame:

@@ -18,20 +18,43 @@ def looks_blocked(status: Column, body: Column) -> Column:
     return status.isin(*BLOCKING) & F.lower(F.substring(F.coalesce(body, F.lit("")), 1, 8000)).rlike("|".join(MARKERS))
 
 
+#: Ranges of order that a host's requests are cut into, so that a host with most of the log is read by many tasks.
+RANGES = 64
+
+
+def _in_ranges(requests: DataFrame, order: str) -> DataFrame:
+    """requests with _range: which of RANGES stretches of order (a number or a time) a request falls in, all of about one size."""
+    at = F.col(order).cast("double")
+    cuts = requests.agg(F.percentile_approx(at, F.array(*(F.lit(i / RANGES) for i in range(1, RANGES))), 10 * RANGES).alias("c")).first()["c"] or []
+    return requests.withColumn("_range", F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))).cast("array<double>"), lambda c: c <= at)))
+
+
 def paced(requests: DataFrame, host: str, order: str, arrival: Column, interval: Column) -> DataFrame:
     """requests with slot: each host's requests at least its interval apart, in order.
 
-    slot_i = max(arrival_i, slot_(i-1) + d) in closed form: i * d + the running maximum of arrival_j - j * d.
+    slot_i = max(arrival_i, slot_(i-1) + d) in closed form: i * d + the running maximum of arrival_j - j * d. Count and
+    maximum are carried from range to range (a prefix scan over a few rows for each host), so no task has to sort all of
+    a host's requests.
     """
-    w = Window.partitionBy(host).orderBy(order)
-    rows = requests.withColumn("_i", F.row_number().over(w) - 1)
-    return rows.withColumn("slot", F.col("_i") * interval + F.max(arrival - F.col("_i") * interval).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_i")
+    rows = _in_ranges(requests, order).withColumn("_d", interval).withColumn("_arrival", arrival)
+    own = Window.partitionBy(host, "_range").orderBy(order)
+    rows = rows.withColumn("_i", F.row_number().over(own) - 1)
+    free = F.col("_arrival") - F.col("_i") * F.col("_d")
+    rows = rows.withColumn("_top", F.max(free).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = rows.groupBy(host, "_range").agg(F.count("*").alias("_n"), F.max(free).alias("_m"), F.first("_d").alias("_d"))
+    before = Window.partitionBy(host).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = whole.withColumn("_count", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    whole = whole.withColumn("_most", F.max(F.col("_m") - F.col("_count") * F.col("_d")).over(before))
+    both = rows.join(whole.select(F.col(host).alias("_host"), F.col("_range").alias("_r"), "_count", "_most"), F.col(host).eqNullSafe(F.col("_host")) & (F.col("_range") == F.col("_r")))
+    slot = (F.col("_count") + F.col("_i")) * F.col("_d") + F.greatest(F.col("_most"), F.col("_top") - F.col("_count") * F.col("_d"))
+    return both.withColumn("slot", slot).select(*requests.columns, "slot")
 
 
 def blocked_before(requests: DataFrame, host: str, order: str, blocked: Column) -> DataFrame:
-    """requests with fails_fast: an earlier request of the host was blocked."""
-    w = Window.partitionBy(host).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return requests.withColumn("fails_fast", F.coalesce(F.max(blocked).over(w), F.lit(False)))
+    """requests with fails_fast: an earlier request of the host was blocked. Only each host's first block matters."""
+    first = requests.filter(blocked).groupBy(F.col(host).alias("_host")).agg(F.min(order).alias("_first"))
+    both = requests.join(first, F.col(host).eqNullSafe(F.col("_host")), "left")
+    return both.withColumn("fails_fast", F.coalesce(F.col(order) > F.col("_first"), F.lit(False))).select(*requests.columns, "fails_fast")
 
 
 def retry_bounds(attempt: Column, told: Column, base: float = 0.5, cap: float = 60.0) -> tuple[Column, Column]:
@@ -41,6 +64,12 @@ def retry_bounds(attempt: Column, told: Column, base: float = 0.5, cap: float =
     return F.coalesce(kept, most / 2), F.coalesce(kept, most)
 
 
+def retry_delay(attempt: Column, told: Column, draw: Column, base: float = 0.5, cap: float = 60.0) -> Column:
+    """Seconds to wait before a retry: between the bounds, as a draw from 0 to 1 says (a hash of the request keeps reruns equal)."""
+    least, most = retry_bounds(attempt, told, base, cap)
+    return least + (most - least) * draw
+
+
 def told_delay(header: Column, now: Column) -> Column:
     """Seconds that a Retry-After header asks for, as a number or as an HTTP date."""
     date = F.try_to_timestamp(F.regexp_extract(header, r"(\d{1,2} \w{3} \d{4} \d{2}:\d{2}:\d{2})", 1), F.lit("d MMM yyyy HH:mm:ss"))
@@ -62,10 +91,32 @@ def outcomes(attempts: DataFrame, request: str, attempt: str, status: Column, mo
 
 
 def statistics(log: DataFrame, status: Column) -> DataFrame:
-    """status, n: the histogram; sums over it give the counters."""
+    """status, n: the histogram of answers."""
     return log.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
 
 
+COUNTERS = ("requests", "robots_requests", "retries", "failures", "bytes_received")
+
+
+def totals(attempts: DataFrame, request: str, attempt: str, status: Column, robots: Column, size: Column) -> DataFrame:
+    """One row: COUNTERS over all attempts, and statuses (an array of status and n, sorted by status).
+
+    A request fails if its last attempt has no answer, or one that is worth a retry or an error.
+    """
+    rows = attempts.select(F.col(request).alias("_request"), F.col(attempt).alias("_attempt"), status.alias("status"), robots.alias("_robots"), size.alias("_size"))
+    last = rows.groupBy("_request").agg(F.max_by(F.struct("status", "_robots"), "_attempt").alias("last"), F.count("*").alias("n"), F.sum("_size").alias("size"))
+    bad = F.coalesce(F.col("last.status") >= 400, F.lit(True))
+    one = last.agg(
+        F.coalesce(F.sum(F.when(~F.col("last._robots"), F.col("n"))), F.lit(0)).alias("requests"),
+        F.coalesce(F.sum(F.when(F.col("last._robots"), F.col("n"))), F.lit(0)).alias("robots_requests"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("retries"),
+        F.count_if(bad & ~F.col("last._robots")).alias("failures"),
+        F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("bytes_received"),
+    )
+    counted = rows.filter("status is not null").groupBy("status").agg(F.count("*").alias("n")).agg(F.sort_array(F.collect_list(F.struct("status", "n"))).alias("statuses"))
+    return one.crossJoin(F.broadcast(counted))  # one row on either side
+
+
 def merged(*counters: DataFrame) -> DataFrame:
     out = counters[0]
     for c in counters[1:]:
@@ -73,33 +124,57 @@ def merged(*counters: DataFrame) -> DataFrame:
     return out.groupBy("status").agg(F.sum("n").alias("n"))
 
 
+def merged_totals(*counters: DataFrame) -> DataFrame:
+    """Totals of several logs as one."""
+    out = counters[0]
+    for c in counters[1:]:
+        out = out.unionByName(c)
+    whole = out.agg(*(F.sum(c).alias(c) for c in COUNTERS), F.flatten(F.collect_list("statuses")).alias("_all"))
+    codes = F.array_sort(F.array_distinct(F.transform("_all", lambda x: x["status"])))
+    add = lambda code: F.aggregate(F.filter("_all", lambda x: x["status"] == code), F.lit(0).cast("long"), lambda t, x: t + x["n"])
+    return whole.select(*COUNTERS, F.transform(codes, lambda code: F.struct(code.alias("status"), add(code).alias("n"))).alias("statuses"))
+
+
 def origin(url: Column) -> Column:
     return F.concat(F.try_parse_url(url, F.lit("PROTOCOL")), F.lit("://"), F.try_parse_url(url, F.lit("AUTHORITY")))
 
 
-@pandas("struct<allowed:boolean,delay:double>")
-def _rules(url: pd.Series, status: pd.Series, body: pd.Series, agent: pd.Series) -> pd.DataFrame:
+@pandas("struct<rules:array<struct<path:string,allowed:boolean>>,delay:double>")
+def _rules(body: pd.Series, agent: pd.Series) -> pd.DataFrame:
+    """Of each robots file the rules that hold for an agent, in order (paths decoded), and its delay."""
+    from urllib.parse import unquote
     from urllib.robotparser import RobotFileParser
 
-    known: dict = {}
+    def read(text, who):
+        parser = RobotFileParser()
+        parser.parse((text or "").splitlines())
+        parser.modified()
+        entry = next((e for e in [*parser.entries, parser.default_entry] if e is not None and e.applies_to(who)), None)
+        delay = parser.crawl_delay(who)
+        lines = [] if entry is None else entry.rulelines
+        return [{"path": unquote(x.path), "allowed": bool(x.allowance)} for x in lines], None if delay is None else float(delay)
+
+    return pd.DataFrame([read(*x) for x in zip(body, agent)], columns=["rules", "delay"])
 
-    def judge(u, s, b, a):
-        if s is None or s != s or s >= 500:
-            return False, None
-        if s >= 400:
-            return True, None
-        if b not in known:
-            known[b] = RobotFileParser()
-            known[b].parse((b or "").splitlines())
-        delay = known[b].crawl_delay(a)
-        return known[b].can_fetch(a, u), None if delay is None else float(delay)
 
-    return pd.DataFrame([judge(*x) for x in zip(url, status, body, agent)], columns=["allowed", "delay"])
+def loaded(robots: DataFrame, agent: str) -> DataFrame:
+    """origin, rules, delay: each robots file (origin, status, body) read once. No answer or an error of the server forbids
+    everything, any other error nothing."""
+    read = robots.withColumn("_r", _rules(F.col("body"), F.lit(agent)))
+    every = lambda allowed: F.array(F.struct(F.lit("/").alias("path"), F.lit(allowed).alias("allowed")))
+    status = F.col("status")
+    rules = F.when(status.isNull() | (status >= 500), every(False)).when(status >= 400, every(True)).otherwise(F.col("_r.rules"))
+    return read.select("origin", rules.alias("rules"), F.when(status < 400, F.col("_r.delay")).alias("delay"))
 
 
 def permitted(urls: DataFrame, url: str, robots: DataFrame, agent: str, rate: float) -> DataFrame:
-    """urls with allowed and interval (seconds). robots: origin, status (null: unreachable), body; none at all counts as 404."""
-    found = F.when(F.col("body").isNull() & F.col("_known").isNull(), 404).otherwise(F.col("status"))
-    rows = urls.withColumn("origin", origin(F.col(url))).join(robots.withColumn("_known", F.lit(True)), "origin", "left")
-    rows = rows.withColumn("_r", _rules(F.col(url), found.cast("double"), F.col("body"), F.lit(agent)))
-    return rows.withColumn("allowed", F.col("_r.allowed")).withColumn("interval", F.greatest(F.lit(1 / rate), F.coalesce("_r.delay", F.lit(0.0)))).drop("_r", "_known", "status", "body")
+    """urls with allowed and interval (seconds). robots: origin, status (null: unreachable), body; none at all counts as 404.
+
+    The first rule whose path begins the URL's path (both decoded) decides; without one it is allowed.
+    """
+    rows = urls.withColumn("origin", origin(F.col(url))).join(loaded(robots, agent), "origin", "left")
+    path = F.regexp_replace(F.col(url), r"^[^:/?#]+://[^/?#]*", "")
+    path = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    path = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+    hit = F.get(F.filter(F.col("rules"), lambda r: (r["path"] == "*") | F.startswith(path, r["path"])), 0)
+    return rows.withColumn("allowed", F.coalesce(hit["allowed"], F.lit(True))).withColumn("interval", F.greatest(F.lit(1 / rate), F.coalesce("delay", F.lit(0.0)))).drop("rules", "delay")

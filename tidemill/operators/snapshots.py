@@ -14,8 +14,18 @@ def three_valued_or(flag: Column) -> Column:
     return F.when(top == 2, True).when(top == 0, False)
 
 
+def histogram(rows: DataFrame, flag: Column, name: str = "flag") -> DataFrame:
+    """How many rows have each value of a flag, null (not stated) included."""
+    return rows.groupBy(flag.alias(name)).agg(F.count("*").alias("n"))
+
+
+def union_of(rows: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
+    """The sorted distinct values of each group."""
+    return rows.groupBy(*group).agg(F.array_sort(F.collect_set(value)).alias(name))
+
+
 def diff(previous: DataFrame, current: DataFrame, key: list[str], signature: list[str]) -> DataFrame:
-    """key and change (new, closed or changed) of all keys that differ."""
+    """key and change (new, closed or changed) of all keys that differ; in_order() sorts them for a report."""
     sign = F.struct(*signature)
     a = previous.select(*key, sign.alias("_was"), F.lit(True).alias("_a"))
     b = current.select(*key, sign.alias("_is"), F.lit(True).alias("_b"))
@@ -24,6 +34,11 @@ def diff(previous: DataFrame, current: DataFrame, key: list[str], signature: lis
     return both.withColumn("change", change).filter("change is not null").select(*key, "change")
 
 
+def in_order(changes: DataFrame, key: list[str]) -> DataFrame:
+    """Changes as a report lists them: new, closed, changed, each by key."""
+    return changes.orderBy(F.array_position(F.array(F.lit("new"), F.lit("closed"), F.lit("changed")), F.col("change")), *key)
+
+
 def carried(previous: DataFrame, current: DataFrame, failed: DataFrame, group: str) -> DataFrame:
     """current, and previous rows of groups that failed this time (failed: group)."""
     return current.unionByName(previous.join(failed.select(group).distinct(), group, "left_semi").select(*current.columns))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions import text
 from tidemill.operators import contracts
-from tidemill.sources import ingest, parsers
+from tidemill.sources import ingest, parsers, sinks
+from tidemill.sources.files import kept
 
 PAGE = 20
 
@@ -35,19 +38,62 @@ def spec(expected: int | None) -> contracts.Spec:
     )
 
 
-def run(home: DataFrame, listings: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(books, checks). home: url, html; listings: category, page, url, html; pages: url, html."""
+@dataclass
+class Run:
+    delivered: DataFrame
+    checks: DataFrame
+    errors: DataFrame
+    rows_in: int
+    ready: bool
+
+
+def run(home: DataFrame, listings: DataFrame, pages: DataFrame, done: DataFrame | None = None, categories: int | None = None) -> Run:
+    """home: url, html; listings: category, page, url, html; pages: url, html.
+
+    done: books of an earlier run (a checkpoint); their pages are not read again. categories: a partial run over the first
+    ones of the home page; coverage is then not checked.
+    """
     total = home.select(text.first_int(parsers.declared_count("html", "url"))).first()[0]
+    named = home.select(F.posexplode(parsers.home_categories("html", "url")).alias("pos", "c")).select("pos", "c.category")
+    if categories is not None:
+        total = None
+        listings = listings.join(F.broadcast(ingest.first_categories(named, categories).select("category")), "category", "left_semi")
     listed = listings.withColumn("links", parsers.listing_links("html", "url")).withColumn("declared", text.first_int(parsers.declared_count("html", "url")))
     links = listed.select("category", F.col("page").alias("listing_no"), F.posexplode("links").alias("pos", "url"))
     firsts = ingest.first_listing(links)
-    rows = parsers.books(pages.join(firsts.select("url"), "url", "left_semi"))
+    todo = firsts if done is None else ingest.remaining(firsts, done, "url")
+    rows = parsers.books(pages.join(todo.select("url"), "url", "left_semi"))
+    if done is not None:
+        rows = rows.unionByName(done.join(firsts.select("url"), "url", "left_semi").select(*rows.columns))
+    rows = kept(rows)
     declared = listed.groupBy("category").agg(F.max("declared").alias("declared"))
     short = contracts.group_coverage(links, declared, "category").filter("not complete").count()
+    missing = 0 if categories is not None else named.join(listed.select("category"), "category", "left_anti").count()
+    gaps = ingest.page_gaps(listed.select(F.col("category").alias("listing"), "page", parsers.next_link("html", "url").isNotNull().alias("has_next"))).count()
     odd = contracts.page_yield(listed.select(F.col("category").alias("listing"), "page", F.size("links").alias("n")), PAGE).count()
-    strayed = rows.join(firsts.select("url", F.col("category").alias("listed_as")), "url").filter("category != '' and category != listed_as").count()
-    unread = firsts.join(pages.select("url"), "url", "left_anti").count()
-    facts = (("category coverage", short == 0), ("listing page yield", odd == 0), ("category agrees with breadcrumb", strayed == 0), ("book pages read", unread == 0))
-    extra = rows.sparkSession.createDataFrame([(n, ok, "", True) for n, ok in facts], "name string, passed boolean, detail string, blocking boolean")
+    told = firsts.join(rows.select("url", F.nullif("category", F.lit("")).alias("told")), "url")
+    strayed = contracts.conflicts(told, F.col("category"), F.col("told")).first()["conflicts"]
+    unread = firsts.join(rows.select("url"), "url", "left_anti").count()
+    facts = (
+        ("category coverage", short == 0 and missing == 0, f"{short} short, {missing} without a listing"),
+        ("listing pages fetched", gaps == 0, f"{gaps} missing"),
+        ("listing page yield", odd == 0, f"{odd} odd"),
+        ("category agrees with breadcrumb", strayed == 0, f"{strayed} differ"),
+        ("book pages read", unread == 0, f"{unread} unread"),
+    )
+    extra = rows.sparkSession.createDataFrame([(n, ok, detail, True) for n, ok, detail in facts], "name string, passed boolean, detail string, blocking boolean")
     rules, order = spec(total), [F.col("url")]
-    return contracts.numbered(contracts.validated(rows, rules), rules, order).filter("_n = 1").drop("_n", "_errors"), contracts.gate(rows, rules, order, extra)
+    checked = contracts.validated(rows, rules)
+    checks = kept(contracts.gate(rows, rules, order, extra))
+    delivered = contracts.numbered(checked, rules, order).filter("_n = 1").drop("_n", "_errors")
+    return Run(delivered, checks, contracts.row_errors(checked, F.col("url"), ("upc",)), rows.count(), checks.filter("status = 'FAIL'").isEmpty())
+
+
+def publish(run_: Run, final: str, elapsed: float | None = None) -> str | None:
+    """Books as Parquet, CSV and JSON lines, and the report; nothing is replaced unless the gate lets the run through."""
+    spark, rows = run_.delivered.sparkSession, run_.delivered.orderBy("category", "title", "upc")
+    outputs = {"books": lambda p: rows.write.parquet(p), "books_csv": lambda p: sinks.write_csv(rows, p), "books_jsonl": lambda p: sinks.write_jsonl(rows, p)}
+    version = sinks.publish(spark, run_.ready, outputs, final)
+    fills = contracts.fill_rates(run_.delivered, run_.delivered.columns)
+    sinks.write_report(spark, sinks.report("books", run_.checks, run_.errors, fills, run_.rows_in, run_.delivered.count(), elapsed=elapsed), final)
+    return version

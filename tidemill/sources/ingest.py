@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.sources.files import kept
 from tidemill.sources.parsers import ENDPOINTS
 
 BOARDS = "company string, source string, board string"
@@ -58,11 +59,6 @@ def finished(todo: DataFrame, done: DataFrame, key: str, order: str) -> DataFram
     return todo.join(done, key).orderBy(order)
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """df, computed once: in the checkpoint folder, or with the executors if none is set. Cuts the lineage."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
-
-
 def walk(pages: DataFrame, starts: DataFrame) -> DataFrame:
     """url, step: the pages that next links reach from each start (url), in order; a link back ends its walk.
 
@@ -75,15 +71,15 @@ def walk(pages: DataFrame, starts: DataFrame) -> DataFrame:
     urls = rows.select("url").distinct()
     jumps = rows.select(F.col("url").alias("at"), F.col("next_url").alias("to")).distinct().join(urls.withColumnRenamed("url", "to"), "to", "left_semi").select("at", "to")
     reached = urls.join(starts.select("url"), "url", "left_semi").select(F.col("url").alias("start"), "url", F.lit(0).cast("long").alias("step"))
-    jumps, reached, length = _kept(jumps), _kept(reached), 1
+    jumps, reached, length = kept(jumps), kept(reached), 1
     n = reached.count()
     while True:
         far = reached.join(jumps, F.col("url") == F.col("at")).select("start", F.col("to").alias("url"), (F.col("step") + F.lit(length).cast("long")).alias("step"))
-        reached = _kept(reached.union(far).groupBy("start", "url").agg(F.min("step").alias("step")))
+        reached = kept(reached.union(far).groupBy("start", "url").agg(F.min("step").alias("step")))
         before, n = n, reached.count()
         if n == before:
             return rows.select("url").join(reached.select("url", "step"), "url")
-        jumps = _kept(jumps.join(jumps.select(F.col("at").alias("to"), F.col("to").alias("end")), "to").select("at", F.col("end").alias("to")).distinct())
+        jumps = kept(jumps.join(jumps.select(F.col("at").alias("to"), F.col("to").alias("end")), "to").select("at", F.col("end").alias("to")).distinct())
         length *= 2
 
 

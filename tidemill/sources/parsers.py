@@ -15,14 +15,17 @@ from tidemill.sources.dom import Node, parse
 QUOTE = "struct<text:string,author:string,tags:array<string>>"
 
 
-def _udf(kind: str):
-    """A pandas UDF of (html, url) from a function of (tree, url); null html gives null."""
+def _udf(kind: str, *fields: str):
+    """A pandas UDF of (html, url) from a function of (tree, url); null html gives null (in each of a struct's fields)."""
 
     def wrap(f):
-        def run(html: pd.Series, url: pd.Series) -> pd.Series:
-            return pd.Series([None if h is None else f(parse(h), u or "") for h, u in zip(html, url)], dtype=object)
+        def run(html: pd.Series, url: pd.Series):
+            rows = [None if h is None else f(parse(h), u or "") for h, u in zip(html, url)]
+            if fields:
+                return pd.DataFrame({n: pd.Series([None if r is None else r[n] for r in rows], dtype=object) for n in fields})
+            return pd.Series(rows, dtype=object)
 
-        run.__annotations__ = {"html": pd.Series, "url": pd.Series, "return": pd.Series}
+        run.__annotations__ = {"html": pd.Series, "url": pd.Series, "return": pd.DataFrame if fields else pd.Series}
         return pandas(kind)(run)
 
     return wrap
@@ -68,7 +71,7 @@ def listing_links(tree, url):
     return [urljoin(url, a.attrs.get("href", "")) for a in tree.select("article.product_pod h3 a")]
 
 
-@_udf("struct<title:string,stars:string,facts:map<string,string>,crumbs:array<string>,description:string,image:string>")
+@_udf("struct<title:string,stars:string,facts:map<string,string>,crumbs:array<string>,description:string,image:string>", "title", "stars", "facts", "crumbs", "description", "image")
 def book_page(tree, url):
     main = tree.first("div.product_main")
     stars = main.first("p.star-rating") if main else None
@@ -115,7 +118,7 @@ def search_results(tree, url):
     return [{"text": _text(q.first("span.content")), "author": _text(q.first("span.author")), "tag": _text(q.first("span.tag"))} for q in tree.select("div.quote")]
 
 
-@_udf("struct<viewstate:string,authors:array<string>,tags:array<string>>")
+@_udf("struct<viewstate:string,authors:array<string>,tags:array<string>>", "viewstate", "authors", "tags")
 def search_form(tree, url):
     state = tree.first("input[name=__VIEWSTATE]")
     values = lambda name: [o.attrs["value"] for o in tree.select(f"select#{name} option") if o.attrs.get("value")]
@@ -137,6 +140,7 @@ def quotes_of_blocks(pages: DataFrame) -> DataFrame:
     return pages.select("url", F.posexplode(quote_blocks("html", "url")).alias("pos", "q")).select("url", "pos", *quote_row(F.col("q.text"), F.col("q.author"), F.col("q.tags")))
 
 
+# How pages assign data in scripts, and how a table row tells a quote and its author.
 EMBEDDED = r"(?s)var\s+data\s*=\s*(\[.*?\]);"
 
 
@@ -158,6 +162,7 @@ def quotes_of_api(pages: DataFrame) -> DataFrame:
     return rows.select("url", "has_next", "pos", *quote_row(F.col("q.text"), F.col("q.author.name"), F.col("q.tags")))
 
 
+# (fixed value)
 TABLE_QUOTE = r"(?s)^(.+)\s+Author:\s+(.+?)$"
 
 
@@ -179,7 +184,7 @@ def quotes_of_searches(pages: DataFrame) -> DataFrame:
     return rows.groupBy("text", "author").agg(F.array_sort(F.collect_set("tag")).alias("tags"))
 
 
-# Job boards
+# Job boards. The fields of their answers, and where each source answers.
 
 
 WORKABLE = "struct<jobs:array<struct<shortcode:string,title:string,url:string,country:string,city:string,telecommuting:boolean,employment_type:string,published_on:string,description:string,locations:array<struct<country:string,countryCode:string,city:string>>>>>"

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from pathlib import Path
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import csv_cell, sheet_cell
+from tidemill.sources import files
 
-CHANGELOG = "# Changelog\n\nOne entry per scheduled run: postings that appeared, closed or changed.\n\n"
+CHANGELOG = "# What changed\n\nThe latest run comes first.\n\n"
+#: Errors that a report shows.
+SHOWN = 25
 
 
 def cells(rows: DataFrame, columns: list[str] | None = None, sheet: bool = False) -> DataFrame:
@@ -33,23 +35,34 @@ def write_jsonl(rows: DataFrame, path: str) -> None:
     json_safe(rows).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_json(data, path: str) -> None:
-    Path(path).write_text(json.dumps(data, ensure_ascii=False, indent=2, default=str) + "\n", encoding="utf-8")
+def write_json(spark: SparkSession, data, path: str) -> None:
+    files.write_text(spark, path, json.dumps(data, ensure_ascii=False, indent=2, default=str) + "\n")
 
 
-def report(name: str, checks: list[Row], errors: list[Row], fills: dict[str, float], stats: dict, notes: list[str]) -> dict:
-    """Of a run: verdict, checks, the first errors (25 at most are shown), fill rates, statistics."""
-    ready = all(c["passed"] or not c["blocking"] for c in checks)
-    return {"dataset": name, "verdict": "READY" if ready else "NOT READY", "checks": [c.asDict() for c in checks], "errors": [e.asDict() for e in errors[:25]], "fill_rates": fills, "fetch": stats, "notes": notes}
+def report(name: str, checks: DataFrame, errors: DataFrame, fills: DataFrame, rows_in: int, delivered: int, stats: dict | None = None, notes: tuple[str, ...] = (), elapsed: float | None = None) -> dict:
+    """Of a run: verdict, rows in and delivered, checks, the first errors by row, fill rates, fetch statistics, seconds, notes.
+
+    checks and fills are small tables (a row for each check or field); of errors (row_order, key, errors) SHOWN rows are read.
+    """
+    told = [c.asDict() for c in checks.collect()]
+    ready = all(c["passed"] or not c["blocking"] for c in told)
+    first = [e.asDict() for e in errors.orderBy("row_order").limit(SHOWN).collect()]
+    return {
+        "dataset": name, "verdict": "READY" if ready else "NOT READY", "rows_in": rows_in, "rows_delivered": delivered,
+        "checks": [{k: c[k] for k in ("name", "passed", "detail", "blocking")} for c in told], "errors": first,
+        "fill_rates": {f["field"]: f["fill_rate"] for f in fills.collect()}, "fetch": stats, "elapsed_s": None if elapsed is None else round(elapsed, 2), "notes": list(notes),
+    }
 
 
 def markdown(told: dict) -> str:
-    lines = [f"# {told['dataset']}: {told['verdict']}", "", "| check | status | detail |", "|---|---|---|"]
+    lines = [f"# {told['dataset']}: {told['verdict']}", "", f"{told['rows_delivered']} of {told['rows_in']} rows delivered" + (f" in {told['elapsed_s']} s" if told["elapsed_s"] is not None else ""), "", "| check | status | detail |", "|---|---|---|"]
     lines += [f"| {c['name']} | {'PASS' if c['passed'] else 'FAIL' if c['blocking'] else 'WARN'} | {c['detail']} |" for c in told["checks"]]
     if told["fill_rates"]:
         lines += ["", "| field | filled |", "|---|---|", *(f"| {k} | {v * 100:.1f} % |" for k, v in told["fill_rates"].items())]
     if told["errors"]:
         lines += ["", "## Errors", "", *(f"- {e['key']}: {e['errors']}" for e in told["errors"])]
+    if told["fetch"]:
+        lines += ["", "## Requests", "", *(f"- {k}: {v}" for k, v in told["fetch"].items())]
     lines += ["", *(f"- {n}" for n in told["notes"])] if told["notes"] else []
     return "\n".join(lines) + "\n"
 
@@ -60,31 +73,49 @@ def strategies(results: list[dict]) -> str:
     return "\n".join([*lines, *(f"| {r['name']} | {r['rows']} | {r['seconds']:.1f} | {r['requests']} | {r['status']} |" for r in results)]) + "\n"
 
 
-def prepend_changelog(path: str, entry: str) -> None:
-    file = Path(path)
-    old = file.read_text(encoding="utf-8") if file.exists() else CHANGELOG
-    file.write_text(CHANGELOG + entry + "\n" + old.removeprefix(CHANGELOG), encoding="utf-8")
+def write_report(spark: SparkSession, told: dict, folder: str) -> None:
+    write_json(spark, told, f"{folder}/qa_report.json")
+    files.write_text(spark, f"{folder}/qa_report.md", markdown(told))
 
 
-def publish(ready: bool, outputs: dict[str, Callable[[str], None]], staging: str, final: str) -> bool:
-    """Writes all outputs to staging and moves them to final only if the gate is passed; else final stays as it is.
+def prepend_changelog(spark: SparkSession, path: str, entry: str) -> None:
+    old = files.read_text(spark, path) or CHANGELOG
+    files.write_text(spark, path, CHANGELOG + entry + "\n" + old.removeprefix(CHANGELOG))
 
-    outputs: name to a function that writes to a path. The move is a rename for each output, on one file system.
-    """
-    import shutil
 
+CURRENT = "CURRENT"
+
+
+def current(spark: SparkSession, final: str) -> str | None:
+    """The folder of the version that is published, if any."""
+    name = files.read_text(spark, f"{final}/{CURRENT}")
+    return f"{final}/{name.strip()}" if name else None
+
+
+def publish(spark: SparkSession, ready: bool, outputs: dict[str, Callable[[str], None]], final: str, keep: int = 2) -> str | None:
+    """Writes all outputs (name to a function that writes to a path) as a new version below final, if the gate is passed.
+
+    A version's folder is written whole before the file CURRENT names it; that file is replaced by one rename, so readers
+    see the old version or the new one on any file system that Spark writes to. The last `keep` versions stay.
+    """
     if not ready:
-        return False
-    for name, write in outputs.items():
-        write(f"{staging}/{name}")
-    for name in outputs:
-        target = Path(final) / name
-        if target.is_dir():
-            shutil.rmtree(target)
-        target.parent.mkdir(parents=True, exist_ok=True)
-        Path(staging, name).rename(target)
-    return True
+        return None
+    known = [n for n in files.names(spark, final) if n.startswith("v")]
+    name = f"v{max([int(n[1:]) for n in known], default=0) + 1:06d}"
+    files.delete(spark, f"{final}/{name}")
+    for output, write in outputs.items():
+        write(f"{final}/{name}/{output}")
+    files.write_text(spark, f"{final}/{CURRENT}", name)
+    for old in sorted(known)[: max(0, len(known) + 1 - keep)]:
+        files.delete(spark, f"{final}/{old}")
+    return f"{final}/{name}"
 
 
 def add_checkpoint(rows: DataFrame, path: str) -> None:
+    """Appends done rows (key, value) to a checkpoint; ingest.remaining() skips them in a run that resumes."""
     rows.write.mode("append").parquet(path)
+
+
+def remove_checkpoint(spark: SparkSession, path: str) -> None:
+    """After a run that went through."""
+    files.delete(spark, path)
