@@ -10,10 +10,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill import registry
+from tidemill import cli, registry
 from tidemill.functions import places, text
 from tidemill.operators import contracts, extraction, fetchlog, snapshots, upserts
-from tidemill.plans import jobs, quotes
+from tidemill.plans import books, jobs, quotes
 from tidemill.sources import ingest, parsers, sinks
 from tidemill.streaming import incremental
 
@@ -59,7 +59,7 @@ def test_normalizers(spark):
     assert unicodedata.normalize("NFC", "á") == "á"
     assert [str(x) for x in values(spark, "string", ["£51.77", "$1,234.50", "free", "10-20"], text.money(F.col("x")))] == ["51.770000", "1234.500000", "None", "None"]
     assert [str(x) for x in values(spark, "string", ["$ 1.234.567,89", "COP 25.000"], text.money(F.col("x"), ","))] == ["1234567.890000", "25000.000000"]
-    assert [text.column_letter(i) for i in (1, 26, 27, 703)] == ["A", "Z", "AA", "AAA"]
+    assert [text.column_letter(i) for i in (0, 25, 26, 702)] == ["A", "Z", "AA", "AAA"]
     assert values(spark, "string", ["<p>a <b>b</b></p><script>x</script>c<br>d &amp;"], text.html_to_text(F.col("x"))) == ["a\nb\nc\nd &"]
     assert values(spark, "string", ["Campus (U.S.)", "Medellín / São Paulo", "australia", None], places.codes(text.fold(F.col("x")))) == [["US"], ["BR", "CO"], ["AU"], []]
 
@@ -110,7 +110,9 @@ def test_rules_and_evidence(spark):
     assert values(spark, "double", [1234567.0, 1234571.0, 99.0], extraction.readable(F.col("x"), F.lit("up to 1,234,567"), True)) == [True, True, False]
     asked = spark.createDataFrame([("d", "We pay $40 per hour", ["pay_usd_hour_max", "english_level"])], "description_sha1 string, text string, fields array<string>")
     told = extraction.extracted(asked, lambda text, fields: {"pay_usd_hour_max": ("40", "pay $40 per hour"), "english_level": ("B2", "not there")})
-    assert {r["field"]: r["accepted"] for r in told.collect()} == {"pay_usd_hour_max": True, "english_level": False}
+    assert {r["field"]: (r["accepted"], r["reason"]) for r in told.collect()} == {"pay_usd_hour_max": (True, None), "english_level": (False, "the text has no such passage")}
+    schema = extraction.answer_schema(("min_years",))
+    assert schema["required"] == ["min_years"] and schema["properties"]["min_years"]["required"] == ["value", "evidence"]
 
 
 def test_quotes_by_several_routes_agree(spark):
@@ -121,8 +123,17 @@ def test_quotes_by_several_routes_agree(spark):
     routes = {"blocks": parsers.quotes_of_blocks(page(blocks)), "script": parsers.quotes_of_scripts(page(script)), "table": parsers.quotes_of_tables(page(rows))}
     routes = {n: r.select("text", "author", "tags") for n, r in routes.items()}
     assert {tuple(map(str, r)) for df in routes.values() for r in df.collect()} == {("Be kind.", "A B", "['x', 'y']")}
-    delivered, checks = quotes.run(routes | {"browser": None})
-    assert delivered.count() == 1 and {(r["name"], r["status"]) for r in checks.collect()} >= {("table matches blocks", "PASS"), ("browser matches blocks", "WARN")}
+
+    def broken():
+        raise ValueError("the page has no data")
+
+    run = quotes.run(routes | {"browser": None, "late": broken})
+    told = {r["name"]: (r["status"], r["detail"]) for r in run.checks.collect()}
+    assert run.delivered.count() == 1 and told["table matches blocks"][0] == "PASS" and told["browser matches blocks"] == ("WARN", "skipped")
+    assert told["late matches blocks"] == ("FAIL", "ValueError: the page has no data") and not run.ready
+    assert quotes.run(routes).ready
+    with pytest.raises(ValueError, match="baseline"):
+        quotes.run({"late": broken})
     assert page(blocks).select(parsers.next_link("html", "url")).first()[0] == "http://q/page/2/"
 
 
@@ -168,6 +179,7 @@ def test_jobs_with_an_extractor(spark, tmp_path):
     assert len(open(log).read().splitlines()) == 3
     checks = {r["name"]: r for r in run.checks.collect()}
     assert checks["fetch failures"]["status"] == "WARN" and "1 request(s)" in checks["fetch failures"]["detail"]
+    assert any(n.startswith("extractor: 3 calls") for n in run.notes) and any("min_years 1" in n for n in run.notes)
     few = {r["posting_id"]: r["extracted_by"] for r in jobs.run(configured, answers, none, extractor, calls=1).delivered.collect()}
     assert [i for i, by in few.items() if "llm" in by.values()] == ["1"]
     assert all("llm" not in r["extracted_by"].values() for r in jobs.run(configured, answers, none).delivered.collect())
@@ -180,12 +192,145 @@ def test_checkpoint_and_sinks(spark, tmp_path):
     sinks.write_csv(rows, str(tmp_path / "csv"))
     assert 'i,l,m,n,b\n1,a|b,"{""k"":""v""}",,true' in open(glob.glob(f"{tmp_path}/csv/part*")[0]).read()
     assert tuple(sinks.cells(rows, sheet=True).first()) == ("1", "a|b", '{"k":"v"}', "", "TRUE")
-    write = {"rows": lambda p: sinks.write_jsonl(rows, p)}
-    assert not sinks.publish(False, write, f"{tmp_path}/s", f"{tmp_path}/f") and not os.path.exists(f"{tmp_path}/f")
-    assert sinks.publish(True, write, f"{tmp_path}/s", f"{tmp_path}/f") and spark.read.json(f"{tmp_path}/f/rows").count() == 1
     for entry in ("## one\n", "## two\n"):
-        sinks.prepend_changelog(f"{tmp_path}/log.md", entry)
+        sinks.prepend_changelog(spark, f"{tmp_path}/log.md", entry)
     assert open(f"{tmp_path}/log.md").read().index("two") < open(f"{tmp_path}/log.md").read().index("one")
+    sinks.add_checkpoint(rows.select("i"), f"{tmp_path}/done")
+    sinks.add_checkpoint(rows.select("i"), f"{tmp_path}/done")
+    assert spark.read.parquet(f"{tmp_path}/done").count() == 2
+    sinks.remove_checkpoint(spark, f"{tmp_path}/done")
+    assert not os.path.exists(f"{tmp_path}/done")
+
+
+def test_publishing_keeps_what_is_there_until_the_new_is_whole(spark, tmp_path):
+    rows = lambda n: {"rows": lambda p: spark.range(n).write.parquet(p)}
+    final = f"file://{tmp_path}/f"
+    assert sinks.publish(spark, False, rows(1), final) is None and sinks.current(spark, final) is None
+    first = sinks.publish(spark, True, rows(1), final)
+
+    def breaks(path):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        sinks.publish(spark, True, rows(2) | {"more": breaks}, final)
+    assert sinks.current(spark, final) == first and spark.read.parquet(f"{first}/rows").count() == 1
+    for n in (3, 4):
+        sinks.publish(spark, True, rows(n), final)
+    assert spark.read.parquet(sinks.current(spark, final) + "/rows").count() == 4
+    assert len([n for n in os.listdir(f"{tmp_path}/f") if n.startswith("v")]) == 2 and not [n for n in os.listdir(f"{tmp_path}/f") if n.endswith(".tmp")]
+
+
+def test_report_lists_errors_by_row(spark):
+    checks = contracts.verdict(spark.createDataFrame([("a", True, "x", True), ("b", False, "y", False)], "name string, passed boolean, detail string, blocking boolean"))
+    errors = spark.createDataFrame([(i, str(i), "bad") for i in range(40, 0, -1)], "row_order int, key string, errors string")
+    told = sinks.report("t", checks, errors, spark.createDataFrame([("f", 0.5)], "field string, fill_rate double"), 50, 10, {"requests": 3}, ("note",), 1.234)
+    assert told["verdict"] == "READY" and [e["row_order"] for e in told["errors"]] == list(range(1, 26)) and told["elapsed_s"] == 1.23
+    page = sinks.markdown(told)
+    assert all(x in page for x in ("# t: READY", "10 of 50 rows", "| b | WARN | y |", "| f | 50.0 % |", "- 1: bad", "- requests: 3", "- note"))
+    assert "| one | 3 | 0.5 | 2 | PASS |" in sinks.strategies([{"name": "one", "rows": 3, "seconds": 0.5, "requests": 2, "status": "PASS"}])
+
+
+def _book(upc, title, category, price="51.77", crumbs=True, stars="Three"):
+    trail = f'<ul class="breadcrumb"><li>Home</li><li>Books</li><li>{category}</li><li>{title}</li></ul>' if crumbs else ""
+    table = "".join(f"<tr><th>{k}</th><td>{v}</td></tr>" for k, v in (("UPC", upc), ("Price (excl. tax)", f"£{price}"), ("Price (incl. tax)", f"£{price}"), ("Tax", "£0.00"), ("Availability", "In stock (22 available)"), ("Number of reviews", "0")))
+    return f'{trail}<div class="product_main"><h1>{title}</h1><p class="star-rating {stars}"></p></div><div id="product_description"></div><p>About {title}.</p><table class="table table-striped">{table}</table>'
+
+
+@pytest.fixture(scope="module")
+def shop(spark):
+    base = "http://b/"
+    books_ = {f"{base}book/{i}/index.html": _book(f"{i:016x}", f"Book {i}", "Travel" if i < 25 else "Poetry") for i in range(30)}
+    home = '<div class="side_categories"><ul><li><a href="all">Books</a><ul><li><a href="c/travel/index.html"> Travel </a></li><li><a href="c/poetry/index.html">Poetry</a></li></ul></li></ul></div><form class="form-horizontal"><strong>30</strong> results</form>'
+    pod = lambda i: f'<article class="product_pod"><h3><a href="../../book/{i}/index.html">b</a></h3></article>'
+    count = lambda n: f'<form class="form-horizontal"><strong>{n}</strong></form>'
+    more = '<li class="next"><a href="page-2.html">next</a></li>'
+    listings = [
+        ("Travel", 1, f"{base}c/travel/index.html", count(25) + "".join(map(pod, range(20))) + more),
+        ("Travel", 2, f"{base}c/travel/page-2.html", count(25) + "".join(map(pod, range(20, 25)))),
+        ("Poetry", 1, f"{base}c/poetry/index.html", count(5) + "".join(map(pod, range(25, 30)))),
+    ]
+    return (
+        spark.createDataFrame([(base, home)], "url string, html string"),
+        spark.createDataFrame(listings, "category string, page int, url string, html string"),
+        spark.createDataFrame(list(books_.items()), "url string, html string"),
+    )
+
+
+def test_books_end_to_end(spark, shop, tmp_path):
+    home, listings, pages = shop
+    run = books.run(home, listings, pages)
+    assert run.ready and run.delivered.count() == 30
+    one = run.delivered.filter("title = 'Book 3'").first()
+    assert (one["upc"], str(one["price_gbp"]), one["in_stock"], one["rating"], one["reviews"], one["category"], one["description"]) == (f"{3:016x}", "51.77", 22, 3, 0, "Travel", "About Book 3.")
+    assert books.publish(run, f"file://{tmp_path}/out", 1.0) and "# books: READY" in open(f"{tmp_path}/out/qa_report.md").read()
+    # a page unread, a listing missing, a book that strayed, a price that doesn't read
+    status = lambda r: {x["name"]: x["status"] for x in r.checks.collect()}
+    some = books.run(home, listings, pages.filter("not url like '%/7/%'"))
+    assert not some.ready and status(some)["book pages read"] == "FAIL" and status(some)["coverage"] == "FAIL"
+    gone = status(books.run(home, listings.filter("category != 'Travel' or page = 1"), pages))
+    assert gone["listing pages fetched"] == "FAIL" and gone["category coverage"] == "FAIL"
+    odd = pages.filter("not url like '%/28/%'").unionByName(spark.createDataFrame([("http://b/book/28/index.html", _book(f"{28:016x}", "Book 28", "Travel", "free"))], pages.schema))
+    wrong = books.run(home, listings, odd)
+    assert status(wrong)["category agrees with breadcrumb"] == "FAIL" and status(wrong)["schema"] == "FAIL" and wrong.errors.count() == 1
+    assert not books.publish(wrong, f"file://{tmp_path}/out") and "NOT READY" in open(f"{tmp_path}/out/qa_report.md").read()
+    # a run that resumes reads only what is left; a partial run doesn't check coverage
+    again = books.run(home, listings, pages.filter("url like '%/7/%'"), some.delivered)
+    assert again.ready and again.delivered.count() == 30
+    part = books.run(home, listings, pages, categories=1)
+    assert part.ready and part.delivered.count() == 25 and "coverage" not in status(part)
+
+
+def test_command_line(spark, shop, tmp_path, monkeypatch):
+    folder, out = f"{tmp_path}/saved", f"file://{tmp_path}/out"
+    for name, df in zip(("home", "listings", "pages"), shop):
+        df.write.parquet(f"{folder}/{name}")
+    assert cli.main(["books", "--saved", folder, "--out", out]) == 0
+    assert spark.read.parquet(sinks.current(spark, out) + "/books").count() == 30
+    shop[2].filter("not url like '%/7/%'").write.mode("overwrite").parquet(f"{folder}/pages")
+    assert cli.main(["books", "--saved", folder, "--out", out]) == 2 and os.path.exists(f"{tmp_path}/out/checkpoint")
+    shop[2].filter("url like '%/7/%'").write.mode("overwrite").parquet(f"{folder}/pages")
+    assert cli.main(["books", "--saved", folder, "--out", out, "--resume"]) == 0 and not os.path.exists(f"{tmp_path}/out/checkpoint")
+    block = '<div class="quote"><span class="text">“Be kind.”</span><small class="author">A B</small><a class="tag">y</a></div>'
+    spark.createDataFrame([("http://q/", 200, block)], "url string, status int, html string").write.parquet(f"{folder}/blocks")
+    assert cli.main(["quotes", "--saved", folder, "--out", f"{out}q", "--no-browser"]) == 0
+    assert "| blocks | 1 |" in open(f"{tmp_path}/outq/strategies.md").read()
+    spark.createDataFrame([("http://q/", 403, "<title>Attention Required!</title>")], "url string, status int, html string").write.mode("overwrite").parquet(f"{folder}/blocks")
+    assert cli.main(["quotes", "--saved", folder, "--out", f"{out}q"]) == 3
+    jobs_ = json.dumps({"jobs": [{"id": i, "title": f"Dev {i}", "absolute_url": "http://g", "location": {"name": "Lima, Peru"}, "first_published": "2026-01-02T00:00:00Z", "content": "3+ years of experience."} for i in range(3)]})
+    open(f"{folder}/boards.json", "w").write(json.dumps([{"company": "G", "source": "greenhouse", "board": "g"}]))
+    spark.createDataFrame([("greenhouse", "g", 200, jobs_)], "source string, board string, status int, body string").write.parquet(f"{folder}/responses")
+    monkeypatch.delenv("TIDEMILL_EXTRACTOR", raising=False)
+    run = ["jobs", "--saved", folder, "--out", f"{out}j", "--day", "2026-01-03"]
+    assert cli.main(run) == 0 and cli.main(run) == 0
+    log = open(f"{tmp_path}/outj/CHANGELOG.md").read()
+    assert "first snapshot: 3 postings" in log and "+0 new" in log
+    told = json.load(open(f"{tmp_path}/outj/qa_report.json"))
+    assert told["verdict"] == "READY" and told["rows_delivered"] == 3 and any("min_years 1" in n for n in told["notes"])
+    assert cli.main(["query", "qa_gate", SF, f"{tmp_path}/gate"]) == (0 if spark.read.parquet(f"{tmp_path}/gate").first()["verdict"] == "READY" else 2)
+
+
+def test_upsert_merges_repeated_incoming_keys(spark):
+    target = spark.createDataFrame([("1", "a", "x"), ("2", "b", "")], "k string, v string, note string")
+    rows = spark.createDataFrame([("1", "c", "", 1), ("1", "d", "n", 2), ("1", "", "", 3), ("4", "e", "", 1), ("4", "", "m", 2)], "k string, v string, note string, _order int")
+    got = {r["k"]: (r["v"], r["note"], r["_change"]) for r in upserts.upsert(target, rows, "k").collect()}
+    assert got == {"1": ("d", "n", "updated"), "2": ("b", "", "kept"), "4": ("e", "m", "inserted")} and upserts.upsert(target, rows, "k").count() == 3
+
+
+def test_host_scans_equal_a_loop(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, "hot" if rng.random() < 0.7 else f"h{rng.randint(0, 5)}", rng.randint(0, 400), rng.random() < 0.01) for i in range(900)]
+    df = spark.createDataFrame(rows, "i int, host string, at int, bad boolean").repartition(5)
+    last, blocked, want = {}, set(), {}
+    for i, h, at, bad in rows:
+        slot = at if h not in last else max(at, last[h] + 3)
+        want[i] = (slot, h in blocked)
+        last[h] = slot
+        if bad:
+            blocked.add(h)
+    got = {r["i"]: (r["slot"], r["fails_fast"]) for r in fetchlog.blocked_before(fetchlog.paced(df, "host", "i", F.col("at"), F.lit(3)), "host", "i", F.col("bad")).collect()}
+    assert got == want and fetchlog.paced(df.limit(0), "host", "i", F.col("at"), F.lit(3)).count() == 0
 
 
 def test_robots_and_retry_after(spark):

@@ -256,7 +256,7 @@ def page_yield_guard(spark, d):
 @query("SELECT count(*) AS compared, count(*) FILTER (WHERE (quality = 1) <> (n_chars >= 500)) AS conflicts FROM documents JOIN labels USING (doc_id)")
 def label_conflict(spark, d):
     both = table(spark, d, "documents").select("doc_id", "n_chars").join(table(spark, d, "labels"), "doc_id")
-    return both.agg(F.count("*").alias("compared"), F.count_if((c("quality") == 1) != (c("n_chars") >= 500)).alias("conflicts"))
+    return contracts.conflicts(both, c("quality") == 1, c("n_chars") >= 500)
 
 
 @query(
@@ -345,12 +345,12 @@ def three_valued_or(spark, d):
 
 @query("SELECT CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS flag, count(*) AS n FROM lineitem GROUP BY 1")
 def flag_histogram(spark, d):
-    return table(spark, d, "lineitem").groupBy(F.when(c("l_returnflag") == "R", True).when(c("l_returnflag") == "A", False).alias("flag")).agg(F.count("*").alias("n"))
+    return snapshots.histogram(table(spark, d, "lineitem"), F.when(c("l_returnflag") == "R", True).when(c("l_returnflag") == "A", False))
 
 
 @query("SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), '|') AS tags FROM events GROUP BY 1")
 def tag_union(spark, d):
-    return table(spark, d, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), "|").alias("tags"))
+    return snapshots.union_of(table(spark, d, "events"), ["user_id"], "event_type", "tags").withColumn("tags", F.array_join("tags", "|"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -421,13 +421,33 @@ def evidence_checks(spark, d):
     )
 
 
+YEARS_SQL = "CASE WHEN p_size BETWEEN 1 AND 30 THEN greatest(p_size, 5) ELSE 5 END"
+
+
+@query(f"SELECT p_partkey, sha1(t) AS description_sha1, {YEARS_SQL} AS min_years, (p_size % 40 + 1) || '-' || (p_size % 40 + 9) AS hours_per_week FROM ({SENTENCES}) JOIN part USING (p_partkey)")
+def enrich_distinct(spark, d):
+    rows = extraction.enriched(_sentences(spark, d).select("p_partkey", "t"), "t", "p_partkey")
+    return rows.select("p_partkey", "description_sha1", "min_years", "hours_per_week")
+
+
+@query(f"SELECT unnest(['min_years', 'english_level', 'pay_usd_hour_max', 'pay_usd_year_max', 'hours_per_week']) AS field, (SELECT count(DISTINCT t) FROM ({SENTENCES}) JOIN part USING (p_partkey) WHERE p_size % 5 <> 0) AS n")
+def rule_hits(spark, d):
+    some = _sentences(spark, d).withColumn("t", F.when(c("p_size") % 5 == 0, "Nothing to be read here.").otherwise(c("t")))
+    return extraction.rule_hits(extraction.enriched(some.select("p_partkey", "t"), "t", "p_partkey"))
+
+
 @query(
-    """WITH e AS (SELECT doc_id, sha1(text) AS digest FROM documents), r AS (SELECT digest, min(doc_id) AS first_at, count(*) AS copies FROM e GROUP BY 1)
-    SELECT doc_id, digest AS description_sha1, CAST(NULL AS INTEGER) AS min_years FROM e JOIN r USING (digest)"""
+    f"""WITH s AS ({SENTENCES}), q AS (SELECT sha1(t) AS description_sha1, min(CASE WHEN p_size > 40 THEN 0 WHEN p_size < 10 THEN 2 ELSE 1 END) AS rank, min(p_partkey) AS first_at FROM s JOIN part USING (p_partkey) GROUP BY 1),
+    a AS (SELECT description_sha1 FROM q ORDER BY rank, first_at LIMIT 25)
+    SELECT description_sha1, unnest(['min_years', 'english_level', 'pay_usd_hour_max', 'pay_usd_year_max', 'hours_per_week']) AS field, 'no calls left' AS reason FROM q WHERE description_sha1 NOT IN (SELECT description_sha1 FROM a)"""
 )
-def enrich_distinct(spark, d):
-    rows = extraction.enriched(table(spark, d, "documents").select("doc_id", "text"), "text", "doc_id")
-    return rows.select("doc_id", "description_sha1", "min_years")
+def budget_rest(spark, d):
+    rows = _sentences(spark, d).withColumn("description_sha1", F.sha1("t"))
+    texts = rows.groupBy("description_sha1").agg(F.min("t").alias("text"))
+    for f in extraction.FIELDS:
+        rows = rows.withColumn(f, lit(None).cast("string"))
+    rank = F.when(c("p_size") > 40, 0).when(c("p_size") < 10, 2).otherwise(1)
+    return extraction.unasked(extraction.open_fields(rows, texts, rank, "p_partkey"), extraction.wanted(rows, texts, rank, "p_partkey", 25))
 
 
 @query(
@@ -451,12 +471,19 @@ def page_title(spark, d):
     return table(spark, d, "pages").select("page_id", F.trim(parsers.page_title("html", "url")).alias("title"))
 
 
-@query()
+@query(
+    r"""WITH t AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', chr(10), 'g'), '<[^>]*>', chr(10), 'g') AS raw FROM pages),
+    u AS (SELECT page_id, replace(replace(replace(replace(raw, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS plain FROM t)
+    SELECT page_id, array_to_string(list_filter(list_transform(string_split(plain, chr(10)), lambda x: trim(regexp_replace(nfc_normalize(x), '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM u"""
+)
 def html_text(spark, d):
     return table(spark, d, "pages").select("page_id", text.html_to_text(c("html")).alias("text"))
 
 
-@query()
+@query(
+    """WITH l AS (SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://[^/?#]+') AS origin, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS links FROM pages)
+    SELECT page_id, CAST(unnest(range(len(links))) AS INTEGER) AS pos, origin || unnest(links) AS link FROM l"""
+)
 def links_resolved(spark, d):
     return table(spark, d, "pages").select("page_id", F.posexplode(parsers.links("html", "url")).alias("pos", "link"))
 
@@ -555,10 +582,190 @@ def retry_delay(spark, d):
     return table(spark, d, "events").select("event_id", low.alias("least"), high.alias("most"))
 
 
-@query()
+@query(
+    """WITH o AS (SELECT page_id, url, regexp_extract(url, '^[a-zA-Z]+://[^/?#]+') AS origin FROM pages), h AS (SELECT *, substr(md5(origin), 1, 1) AS digit, substr(url, length(origin) + 1) AS path FROM o)
+    SELECT page_id, CASE WHEN digit < '4' THEN false WHEN digit < '8' THEN true ELSE NOT starts_with(path, '/en/') END AS allowed, CASE WHEN digit < '8' THEN 0.125 ELSE 3.0 END AS interval FROM h"""
+)
 def robots_filter(spark, d):
     pages = table(spark, d, "pages").select("page_id", "url")
     body = "User-agent: *\nCrawl-delay: 3\nDisallow: /en/"
-    robots = pages.select(fetchlog.origin(c("url")).alias("origin")).distinct()
-    robots = robots.withColumn("n", F.crc32("origin") % 4).select("origin", F.when(c("n") == 0, 503).when(c("n") == 1, 404).otherwise(200).alias("status"), F.when(c("n") > 1, body).alias("body"))
+    robots = pages.select(fetchlog.origin(c("url")).alias("origin")).distinct().withColumn("digit", F.substring(F.md5("origin"), 1, 1))
+    robots = robots.select("origin", F.when(c("digit") < "4", 503).when(c("digit") < "8", 404).otherwise(200).alias("status"), F.when(c("digit") >= "8", body).alias("body"))
     return fetchlog.permitted(pages, "url", robots, "bot", 8.0).select("page_id", "allowed", "interval")
+
+
+TOTALS_SQL = f"""WITH e AS (SELECT event_id // 10 AS req, event_id, {STATUS_SQL} AS status FROM events),
+    l AS (SELECT req, req % 5 = 0 AS robots, count(*) AS n, arg_max(status, event_id) AS last, sum(event_id % 1000) AS size FROM e GROUP BY req), h AS (SELECT status, {{times}} * count(*) AS n FROM e GROUP BY status)
+    SELECT CAST({{times}} * sum(n) FILTER (WHERE NOT robots) AS BIGINT) AS requests, CAST({{times}} * sum(n) FILTER (WHERE robots) AS BIGINT) AS robots_requests, CAST({{times}} * sum(n - 1) AS BIGINT) AS retries,
+      CAST({{times}} * count(*) FILTER (WHERE last >= 400 AND NOT robots) AS BIGINT) AS failures, CAST({{times}} * sum(size) AS BIGINT) AS bytes_received,
+      (SELECT string_agg(status || ':' || n, ' ' ORDER BY status) FROM h) AS statuses FROM l"""
+
+
+def _totals(spark, d):
+    rows = _log(spark, d).withColumn("req", F.expr("event_id div 10"))
+    return fetchlog.totals(rows, "req", "event_id", c("status"), c("req") % 5 == 0, c("event_id") % 1000)
+
+
+def _told(totals):
+    return totals.withColumn("statuses", F.array_join(F.transform("statuses", lambda x: F.concat_ws(":", x["status"], x["n"])), " "))
+
+
+@query(TOTALS_SQL.format(times=1))
+def fetch_totals(spark, d):
+    return _told(_totals(spark, d))
+
+
+@query(TOTALS_SQL.format(times=2))
+def fetch_totals_merged(spark, d):
+    one = _totals(spark, d)
+    return _told(fetchlog.merged_totals(one, one))
+
+
+@query("SELECT event_id, least(60.0, 0.5 * 2 ** (event_id % 9)) * (0.5 + (event_id % 4) / 8.0) AS wait FROM events")
+def retry_wait(spark, d):
+    none = lit(None).cast("double")
+    return table(spark, d, "events").select("event_id", fetchlog.retry_delay(c("event_id") % 9, none, (c("event_id") % 4) / 4).alias("wait"))
+
+
+# Contracts of other tables, ordered results
+
+
+@query(
+    """WITH t AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS even FROM orders), k AS (SELECT 'schema' AS name, true AS passed, '0 invalid rows' AS detail, true AS blocking
+      UNION ALL SELECT 'unique key', true, '0 duplicated keys', true UNION ALL SELECT 'coverage', even >= 9000, CAST(even AS VARCHAR) || ' of 9000', true FROM t)
+    SELECT *, CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status, CASE WHEN (SELECT bool_and(passed) FROM k) THEN 'READY' ELSE 'NOT READY' END AS verdict FROM k"""
+)
+def coverage_gate(spark, d):
+    spec = contracts.Spec("orders", ("o_orderkey",), {"o_orderkey: below 0": c("o_orderkey") >= 0}, expected=9000)
+    return contracts.gate(table(spark, d, "orders").filter("o_orderkey % 2 = 0").dropDuplicates(["o_orderkey"]), spec, [c("o_custkey")])
+
+
+@query("SELECT o_custkey AS url, arg_min(o_orderpriority, o_orderkey) AS category FROM orders GROUP BY 1")
+def first_listing_wins(spark, d):
+    rows = table(spark, d, "orders").select(c("o_custkey").alias("url"), c("o_orderpriority").alias("category"), lit(1).alias("listing_no"), c("o_orderkey").alias("pos"))
+    return ingest.first_listing(rows).select("url", "category")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+def finished_in_order(spark, d):
+    done = table(spark, d, "orders").select(c("o_custkey").alias("c_custkey")).distinct()
+    return ingest.finished(table(spark, d, "customer").select("c_custkey", "c_name"), done, "c_custkey", "c_custkey")
+
+
+@query("SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price, o_orderstatus FROM orders")
+def json_safe_rows(spark, d):
+    return sinks.json_safe(table(spark, d, "orders").select("o_orderkey", c("o_totalprice").cast(DEC).alias("price"), "o_orderstatus"))
+
+
+# Pages and boards of every kind, made from tables
+
+STARS = ("One", "Two", "Three", "Four", "Five")
+
+
+@query(
+    """SELECT printf('%016x', p_partkey) AS upc, p_name AS title, p_brand AS category, CAST(p_size * 10 + 12 AS VARCHAR) || '.50' AS price_gbp, CAST(p_size * 10 AS VARCHAR) || '.00' AS price_excl_tax_gbp, '12.50' AS tax_gbp,
+    CAST(p_size * 1000 AS INTEGER) AS in_stock, CAST(p_size % 5 + 1 AS BIGINT) AS rating, 0 AS reviews, CASE WHEN p_size % 4 > 0 THEN p_type END AS description, 'http://b/media/' || p_partkey || '.jpg' AS image_url FROM part"""
+)
+def book_pages(spark, d):
+    p, s = c("p_size"), lambda x: x.cast("string")
+    row = lambda name, value: F.concat(lit(f"<tr><th>{name}</th><td>"), value, lit("</td></tr>"))
+    html = F.concat(
+        lit('<ul class="breadcrumb"><li>Home</li><li>Books</li><li> '), c("p_brand"), lit('</li><li>x</li></ul><div id="product_gallery"><img src="../../media/'), s(c("p_partkey")), lit('.jpg"/></div><div class="product_main"><h1> '), c("p_name"),
+        lit('</h1><p class="star-rating '), F.get(F.array(*map(lit, STARS)), p % 5), lit('"></p></div>'), F.when(p % 4 > 0, F.concat(lit('<div id="product_description"><h2>d</h2></div><p>'), c("p_type"), lit("</p>"))).otherwise(""),
+        lit('<table class="table table-striped">'), row("UPC", F.lpad(F.lower(F.hex("p_partkey")), 16, "0")), row("Price (excl. tax)", F.concat(lit("£"), F.format_number((p * 10).cast(DEC), 2))), row("Price (incl. tax)", F.concat(lit("£"), F.format_number((p * 10 + 12.5).cast(DEC), 2))),
+        row("Tax", lit("£12.50")), row("Availability", F.concat(lit("In stock ("), F.format_number(p * 1000, 0), lit(" available)"))), row("Number of reviews", lit("0")), lit("</table>"),
+    )
+    pages = table(spark, d, "part").select(html.alias("html"), F.concat(lit("http://b/catalogue/"), s(c("p_partkey")), lit("/index.html")).alias("url"))
+    money = {n: c(n).cast("string") for n in ("price_gbp", "price_excl_tax_gbp", "tax_gbp")}
+    return parsers.books(pages).withColumns(money).drop("url")
+
+
+@query("SELECT r_name AS home, CAST(row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) - 1 AS INTEGER) AS pos, n_name AS category, 'http://b/c/' || n_nationkey || '/' AS url, 1000 + r_regionkey AS declared FROM nation JOIN region ON n_regionkey = r_regionkey")
+def home_pages(spark, d):
+    link = F.concat(lit('<li><a href="c/'), c("n_nationkey").cast("string"), lit('/"> '), c("n_name"), lit(" </a></li>"))
+    inner = table(spark, d, "nation").groupBy(c("n_regionkey").alias("r_regionkey")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", link.alias("l")))), lambda x: x["l"]), "").alias("links"))
+    home = table(spark, d, "region").join(inner, "r_regionkey").select(
+        c("r_name").alias("home"),
+        F.concat(lit('<div class="side_categories"><ul><li><a href="all">All</a><ul>'), c("links"), lit('</ul></li></ul></div><form class="form-horizontal"><strong>'), F.format_number(c("r_regionkey") + 1000, 0), lit("</strong> results</form>")).alias("html"),
+        lit("http://b/").alias("url"),
+    )
+    rows = home.withColumn("declared", text.first_int(parsers.declared_count("html", "url")))
+    return rows.select("home", F.posexplode(parsers.home_categories("html", "url")).alias("pos", "x"), "declared").select("home", "pos", "x.category", "x.url", "declared")
+
+
+@query(
+    """SELECT s_nationkey AS listing, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS INTEGER) AS pos, 'http://b/c/' || s_suppkey || '/index.html' AS link,
+    CASE WHEN s_nationkey % 2 = 0 THEN 'http://b/c/page-' || (s_nationkey + 2) || '.html' END AS next FROM supplier"""
+)
+def listing_pages(spark, d):
+    pod = F.concat(lit('<article class="product_pod"><h3><a href="../c/'), c("s_suppkey").cast("string"), lit('/index.html">b</a></h3></article>'))
+    inner = table(spark, d, "supplier").groupBy(c("s_nationkey").alias("listing")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("s_suppkey", pod.alias("p")))), lambda x: x["p"]), "").alias("pods"))
+    more = F.when(c("listing") % 2 == 0, F.concat(lit('<ul class="pager"><li class="next"><a href="page-'), (c("listing") + 2).cast("string"), lit('.html">next</a></li></ul>'))).otherwise("")
+    pages = inner.select("listing", F.concat("pods", more).alias("html"), lit("http://b/c/page-1.html").alias("url"))
+    return pages.select("listing", F.posexplode(parsers.listing_links("html", "url")).alias("pos", "link"), parsers.next_link("html", "url").alias("next"))
+
+
+def _quote_pages(spark, d, html) -> DataFrame:
+    return table(spark, d, "supplier").select(c("s_suppkey").cast("string").alias("url"), html.alias("html"))
+
+
+QUOTES_SQL = "SELECT CAST(s_suppkey AS VARCHAR) AS url, s_name AS text, 'A ' || s_nationkey AS author, 'x|y' AS tags FROM supplier"
+
+
+@query(QUOTES_SQL)
+def block_quotes(spark, d):
+    html = F.concat(lit('<div class="quote"><span class="text">“'), c("s_name"), lit('”</span><small class="author"> A  '), c("s_nationkey").cast("string"), lit('</small><a class="tag">y</a> <a class="tag">x</a><a class="tag">y</a></div>'))
+    return parsers.quotes_of_blocks(_quote_pages(spark, d, html)).select("url", "text", "author", F.array_join("tags", "|").alias("tags"))
+
+
+@query(QUOTES_SQL)
+def table_quotes(spark, d):
+    html = F.concat(lit("<table><tr><th>all</th></tr><tr><td> “"), c("s_name"), lit("” Author: A  "), c("s_nationkey").cast("string"), lit("</td></tr><tr><td>Tags: <a>y</a> <a>x</a></td></tr><tr><td>more</td></tr></table>"))
+    return parsers.quotes_of_tables(_quote_pages(spark, d, html)).select("url", "text", "author", F.array_join("tags", "|").alias("tags"))
+
+
+@query("SELECT s_name AS text, 'A' AS author, CASE WHEN s_suppkey % 2 = 0 THEN 't1|t2' ELSE 't1' END AS tags FROM supplier")
+def search_quotes(spark, d):
+    result = lambda tag: F.concat(lit('<div class="quote"><span class="content">“'), c("s_name"), lit(f'”</span><span class="author">A</span><span class="tag"> {tag}</span></div>'))
+    html = F.concat(result("t1"), F.when(c("s_suppkey") % 2 == 0, F.concat(result("t2"), result("t1"))).otherwise(""))
+    return parsers.quotes_of_searches(_quote_pages(spark, d, html)).withColumn("tags", F.array_join("tags", "|"))
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS url, s_name AS viewstate, 'A1|A' || s_nationkey AS authors, 'love' AS tags FROM supplier")
+def search_forms(spark, d):
+    options = F.concat(lit('<select id="author"><option value="">-</option><option value="A1">A1</option><option value="A'), c("s_nationkey").cast("string"), lit('">B</option></select><select id="tag"><option value="love">l</option></select>'))
+    html = F.concat(lit('<form><input type="hidden" name="__VIEWSTATE" value="'), c("s_name"), lit('"/>'), options, lit("</form>"))
+    rows = _quote_pages(spark, d, html).withColumn("f", parsers.search_form("html", "url"))
+    return rows.select("url", "f.viewstate", F.array_join("f.authors", "|").alias("authors"), F.array_join("f.tags", "|").alias("tags"))
+
+
+@query(
+    """SELECT 'workable:' || p_brand || ':' || p_partkey AS key, p_name AS title, CASE WHEN p_partkey % 2 = 0 THEN 'Lima, Peru; Chile' ELSE 'Lima, Peru' END AS location, CASE WHEN p_partkey % 2 = 0 THEN 'CL|PE' ELSE 'PE' END AS countries,
+    p_size % 2 = 0 AS remote, 'Full-time' AS employment_type, strftime(DATE '2024-01-01' + p_size, '%Y-%m-%d') AS published, p_type AS description FROM part"""
+)
+def workable_postings(spark, d):
+    day, places_of = F.date_add(lit("2024-01-01").cast("date"), c("p_size")).cast("string"), F.array(F.struct(lit("Peru").alias("country"), lit("pe").alias("countryCode"), lit("Lima").alias("city")))
+    job = lambda title, country, city, own: F.struct(
+        c("p_partkey").cast("string").alias("shortcode"), title.alias("title"), lit("http://w").alias("url"), lit(country).alias("country"), lit(city).alias("city"), (c("p_size") % 2 == 0).alias("telecommuting"), lit("Full-time").alias("employment_type"),
+        day.alias("published_on"), F.concat(lit("<p>"), c("p_type"), lit("</p>")).alias("description"), own.alias("locations"),
+    )
+    entries = F.array(job(c("p_name"), "Peru", "Lima", places_of), job(lit("a copy"), "Chile", "", F.slice(places_of, 1, 0)))
+    rows = table(spark, d, "part").withColumn("entries", F.when(c("p_partkey") % 2 == 0, entries).otherwise(F.slice(entries, 1, 1)))
+    jobs = rows.groupBy("p_brand").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", "entries"))), lambda x: x["entries"])).alias("jobs"))
+    boards = jobs.select(lit("workable").alias("source"), c("p_brand").alias("board"), c("p_brand").alias("company"), F.to_json(F.struct("jobs")).alias("body"))
+    return parsers.workable(boards).select("key", "title", "location", F.array_join("countries", "|").alias("countries"), "remote", "employment_type", c("published").cast("string").alias("published"), "description")
+
+
+@query(
+    """SELECT 'lever:' || p_brand || ':' || p_partkey AS key, p_name AS title, 'London; Paris' AS location, CASE WHEN p_size % 2 = 0 THEN 'CO|FR|GB' ELSE 'FR|GB' END AS countries, CASE p_size % 3 WHEN 0 THEN true WHEN 1 THEN false END AS remote,
+    p_size % 2 = 0 AS open, 'Full-time' AS employment_type, strftime(DATE '2024-01-01' + p_size, '%Y-%m-%d') AS published, p_type || chr(10) || 'You bring' || chr(10) || 'a' || chr(10) || 'b' || chr(10) || 'more' AS description FROM part"""
+)
+def lever_postings(spark, d):
+    job = F.struct(
+        c("p_partkey").cast("string").alias("id"), c("p_name").alias("text"), lit("http://l").alias("hostedUrl"), (lit(1704067200000) + c("p_size").cast("long") * 86400000).alias("createdAt"), F.when(c("p_size") % 2 == 0, "co").otherwise("").alias("country"),
+        F.get(F.array(lit("remote"), lit("on-site"), lit("hybrid")), c("p_size") % 3).alias("workplaceType"), F.struct(lit("Full-time").alias("commitment"), lit("London").alias("location"), F.array(lit("London"), lit("Paris")).alias("allLocations")).alias("categories"),
+        c("p_type").alias("descriptionPlain"), F.array(F.struct(lit(" You  bring").alias("text"), lit("<li>a</li><li>b</li>").alias("content"))).alias("lists"), lit("more").alias("additionalPlain"),
+    )
+    boards = table(spark, d, "part").select(lit("lever").alias("source"), c("p_brand").alias("board"), c("p_brand").alias("company"), F.to_json(F.array(job)).alias("body"))
+    rows = parsers.postings(boards)
+    return rows.select("key", "title", "location", F.array_join("countries", "|").alias("countries"), "remote", F.coalesce("open_to_colombia", lit(False)).alias("open"), "employment_type", c("published").cast("string").alias("published"), "description")
