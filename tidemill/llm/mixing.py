@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import stored
+from tidemill.llm.common import local, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -88,7 +88,7 @@ class Source:
 def _with(rows: DataFrame, sources: dict, values: dict) -> DataFrame:
     """rows with the columns of values (name: function of a Source) by their source, null included."""
     spark = rows.sparkSession
-    table = spark.createDataFrame([(s, *(float(f(x)) for f in values.values())) for s, x in sources.items()], "_source string, " + ", ".join(f"{n} double" for n in values))
+    table = local(spark, [(s, *(float(f(x)) for f in values.values())) for s, x in sources.items()], "_source string, " + ", ".join(f"{n} double" for n in values))
     if len(sources) <= BROADCAST:
         table = F.broadcast(table)
     return rows.join(table, rows["source"].eqNullSafe(table["_source"])).drop("_source")
@@ -127,7 +127,7 @@ def balance(sizes: DataFrame, sources: dict) -> None:
         if not state:
             return
         rows = copies_of(sizes, {s: sources[s] for s in state})
-        cuts = sizes.sparkSession.createDataFrame([(s, a, w) for s, (a, w, _) in state.items()], "_source string, low double, wide double")
+        cuts = local(sizes.sparkSession, [(s, a, w) for s, (a, w, _) in state.items()], "_source string, low double, wide double")
         if len(state) <= BROADCAST:
             cuts = F.broadcast(cuts)
         rows = rows.join(cuts, rows["source"].eqNullSafe(cuts["_source"]))

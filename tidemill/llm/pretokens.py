@@ -1,9 +1,10 @@
 """Where a byte-level tokenizer cuts a text before it merges: a finite-state transducer, run in chunks side by side.
 
 The transducer reads one symbol for each code point (its kind, with what few code points of context settle) and marks
-those that start a piece. Each chunk is read from all states at once, which gives a map from states to states; a
-parallel prefix scan composes the maps and so finds the state in which each chunk really starts. Thus long texts cost
-the same as many short ones, and numpy runs all chunks in step.
+those that start a piece. Each chunk is read from all states at once, which gives a map from states to states, and (see
+tokencount.py) to the tokens emitted; a parallel prefix scan composes the maps. Thus long texts cost the same as many
+short ones, and numpy runs all chunks in step. States that have become one are read as one: this machine forgets the
+state that a chunk was entered in after a few symbols.
 """
 
 from __future__ import annotations
@@ -65,44 +66,106 @@ def symbols(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def compose(maps: np.ndarray) -> np.ndarray:
-    """maps[i] of all i so far, one after another (a parallel prefix scan with log2 steps)."""
-    maps, shift = maps.copy(), 1
+def settled() -> int:
+    """How many symbols of a chunk can pass until its state no longer depends on the one that it was entered in."""
+    open_, n = {tuple(range(8))}, 0
+    while any(len(set(m)) > 1 for m in open_):
+        open_, n = {tuple(int(GO[symbol * 8 + s]) for s in m) for m in open_ if len(set(m)) > 1 for symbol in range(9)}, n + 1
+    return n
+
+
+#: With this machine, chunks longer than so many symbols have maps that are constant.
+SETTLED = settled()
+
+
+def compose(maps: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """States and counts of all chunks so far, one after another, by the state before the first (a parallel prefix scan with
+    log2 steps): maps[i][s] is where chunk i leads from s, counts[i][s] what it emits on that way."""
+    shift = 1
     while shift < len(maps):
-        maps[shift:] = np.take_along_axis(maps[shift:], maps[:-shift].astype(np.int64), axis=1)
+        before = maps[:-shift].astype(np.int64)
+        after = np.take_along_axis(maps[shift:], before, axis=1)
+        told = counts[:-shift] + np.take_along_axis(counts[shift:], before, axis=1)
+        maps, counts = np.concatenate([maps[:shift], after]), np.concatenate([counts[:shift], told])
         shift *= 2
-    return maps
-
-
-def starts(symbol: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
-    """The positions at which pieces start (the end of a text counts as a piece)."""
-    n = len(symbol)
-    rows = -(-n // chunk)
-    grid = np.full(rows * chunk, END, np.uint8)
-    grid[:n] = symbol
-    grid = np.ascontiguousarray(grid.reshape(rows, chunk).T).astype(np.int16) * 8
-    maps = np.tile(np.arange(8, dtype=np.uint8), (rows, 1))
-    for column in grid:
-        maps = GO[column[:, None] + maps]
-    state = np.zeros(rows, np.uint8)
-    state[1:] = compose(maps)[:-1, FRESH]
-    marks = np.empty((chunk, rows), bool)
-    for j, column in enumerate(grid):
-        at = column + state
-        marks[j] = MARK[at]
-        state = GO[at]
-    return np.flatnonzero(marks.T.ravel()[:n])
+    return maps, counts
+
+
+class Chunks:
+    """Texts in chunks of so many symbols, each text in chunks of its own, with each chunk's map of states.
+
+    ends: the last chunk of each text, plus one. heads[j][i][s]: whether a piece starts at symbol j of chunk i if that is
+    entered in state s; sure[i][j]: whether one does in any case, for symbols after the heads.
+    """
+
+    def __init__(self, texts: list[str], chunk: int = CHUNK):
+        codes, stops = pack(texts)
+        symbol = symbols(codes, stops)
+        size = np.diff(np.concatenate([[0], stops + 1]))
+        rows = -(-size // chunk)
+        self.ends, self.chunk = np.cumsum(rows), chunk
+        shift = np.repeat((self.ends - rows) * chunk - (stops + 1 - size), size)
+        self.place = np.arange(len(symbol)) + shift
+        n = int(self.ends[-1]) if len(rows) else 0
+        grid = np.full(n * chunk, END, np.uint8)
+        grid[self.place] = symbol
+        grid = np.ascontiguousarray(grid.reshape(n, chunk).T).astype(np.int16) * 8
+        maps, self.heads, j = np.tile(np.arange(8, dtype=np.uint8), (n, 1)), [], 0
+        while j < chunk and not (maps == maps[:, :1]).all():
+            at = grid[j][:, None] + maps
+            self.heads.append(MARK[at])
+            maps = GO[at]
+            j += 1
+        sure, state = np.zeros((chunk, n), bool), maps[:, 0]
+        for k in range(j, chunk):
+            at = grid[k] + state
+            sure[k], state = MARK[at], GO[at]
+        self.maps = maps if j == chunk else np.repeat(state[:, None], 8, axis=1)
+        self.sure = sure.T
+        #: the state that each chunk is entered in
+        self.entry = np.zeros(n, np.uint8)
+        self.entry[1:] = compose(self.maps, np.zeros((n, 8), np.int64))[0][:-1, FRESH]
+        self.entry[self.ends[:-1]] = FRESH
+        self.marks = self.sure.copy()
+        for j, head in enumerate(self.heads):
+            self.marks[:, j] = head[np.arange(n), self.entry]
+
+    def starts(self) -> np.ndarray:
+        """The positions (in the packed texts) at which pieces start; the end of a text counts as a piece."""
+        return np.flatnonzero(self.marks.ravel()[self.place])
+
+    def others(self) -> tuple:
+        """Pieces that start in the head of a chunk, for states that give others than the chunk's own entry does.
+
+        Chunk and state; then twice (number among these, start, end), places in the grid: with the entry, and with the state.
+        """
+        n, wide = len(self.maps), len(self.heads)
+        if not wide or wide >= self.chunk:
+            raise ValueError(f"counts need chunks of more than {SETTLED} symbols")
+        heads = np.stack(self.heads, axis=2)
+        own = heads[np.arange(n), self.entry]
+        row, state = np.nonzero((heads != own[:, None, :]).any(axis=2))
+        # the first place after the head at which a piece starts for certain, be it in a later chunk
+        after, stop = np.flatnonzero(self.marks.ravel()), self.marks.size
+        out = []
+        for which, marks in ((row, own[row]), (row, heads[row, state])):
+            k, j = np.nonzero(marks)
+            start = which[k] * self.chunk + j
+            follows = np.full(len(k), -1)
+            same = np.flatnonzero(k[1:] == k[:-1])
+            follows[same] = start[same + 1]
+            first = np.searchsorted(after, which[k] * self.chunk + wide)
+            beyond = np.where(first < len(after), after[np.minimum(first, len(after) - 1)], stop)
+            out.append((k, start, np.where(follows >= 0, follows, beyond)))
+        return row, state, out[0], out[1]
 
 
 def pieces(texts: list[str]) -> list[list[str]]:
     """The pieces of each text, in order; joined they give the text back."""
-    codes, ends = pack(texts)
-    at = starts(symbols(codes, ends))
-    first = np.searchsorted(at, np.concatenate([[0], ends[:-1] + 1]))
-    stop = np.searchsorted(at, ends)
-    base = np.concatenate([[0], ends[:-1] + 1])
-    out = []
-    for text, i, j, b in zip(texts, first.tolist(), stop.tolist(), base.tolist(), strict=True):
+    stops = np.cumsum([len(t) + 1 for t in texts])
+    at = Chunks(texts).starts()
+    out, last = [], 0
+    for text, i, j, b in zip(texts, np.searchsorted(at, np.concatenate([[0], stops[:-1]])).tolist(), np.searchsorted(at, stops - 1).tolist(), [0, *stops[:-1].tolist()], strict=True):
         cuts = (at[i : j + 1] - b).tolist()
         out.append([text[x:y] for x, y in zip(cuts, cuts[1:])])
     return out

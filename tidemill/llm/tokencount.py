@@ -1,50 +1,58 @@
 """Token counts by finite-state tokenizer compilation.
 
-The tokenizer is compiled into two deterministic transducers. The first cuts texts into pieces (pretokens.py: chunks
-are read from all states at once and their state maps compose by a parallel prefix scan). The second reads a piece byte
-by byte; each of its transitions carries the number of tokens that it adds to the count so far (it may be negative: a
-byte can join what stood apart). A state of it holds what later bytes can still depend on: the longest suffix that
-begins a token, and for each position in that suffix the last token up to there and by how much its count differs from
-the current one. There are finitely many; a transition is compiled when first taken and then is a table look-up.
-
-Texts of any length are counted whole. Null counts as empty, with 0 tokens. A special string in a text is one token.
+The tokenizer is compiled into two deterministic transducers. The first cuts texts into pieces (pretokens.py). The second
+reads a piece byte by byte; each of its transitions carries the number of tokens that it adds to the count so far (it may
+be negative: a byte can join what stood apart). A state of it holds what later bytes can still depend on: the longest
+suffix that begins a token, and for each position in that suffix the last token up to there and by how much its count
+differs from the current one. There are finitely many; a transition is compiled when first taken and then is a table
+look-up, and the way through a whole piece is kept as one transition with its count.
+
+A text's count comes from its chunks. Each has a map from the state that it is entered in to the state that it is left
+in and the tokens that its transitions emit on that way (a piece counts where it starts). A parallel prefix scan composes
+the maps, states and counts at once, and the count of a text is what they emit from its first chunk to its last.
+
+Texts of any length are counted whole; very long ones in segments that end where a piece always ends. What a worker
+keeps is bounded in bytes. Defined results: null counts as empty, with 0 tokens; a special string in a text is one token;
+rows that repeat give equal rows, an empty table an empty one; further columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.bpe import recall, split_special
-from tidemill.llm.common import slices
-from tidemill.llm.pretokens import pieces
+from tidemill.llm.bpe import Kept, segments, split_at
+from tidemill.llm.common import PIECE, in_arrow, slices
+from tidemill.llm.pretokens import CHUNK, FRESH, Chunks, compose
 from tidemill.llm.vocabulary import Vocabulary, vocabulary
 
-#: Transitions that a worker keeps (beyond them it compiles anew), and piece counts in each of two generations.
-TRANSITIONS, KEPT = 600_000, 200_000
-NONE = -1
+#: Transitions that a worker keeps (about 150 bytes each; beyond them it compiles anew), and pieces in each of two generations.
+TRANSITIONS, KEPT = 500_000, 120_000
+#: No token; what is added to an emitted count so that it is above 0 (no token is longer, so none takes back as many).
+NONE, OFFSET = -1, 1 << 15
 
 
 class Transducer:
-    def __init__(self, v: Vocabulary):
-        self.v = v
-        self.now: dict[str, int] = {}
-        self.before: dict[str, int] = {}
+    def __init__(self, v: Vocabulary, chunk: int = CHUNK):
+        self.v, self.chunk = v, chunk
+        self.special = split_at(v.special)
+        self.ways = Kept(KEPT)
         self.reset()
 
     def reset(self) -> None:
         start = (b"", (NONE,), (0,))
         self.states, self.number = [start], {start: 0}
-        self.table: dict[int, tuple[int, int]] = {}
+        self.table: dict[int, int] = {}
 
-    def compile(self, state: int, byte: int) -> tuple[int, int]:
-        """Next state (times 256) and emitted count; a state is (suffix, last token at each of its positions, their counts - the current)."""
+    def compile(self, state: int, byte: int) -> int:
+        """Next state and emitted count, in one number; a state is (suffix, last token at each of its positions, their counts - the current)."""
         suffix, last, behind = self.states[state]
         grown = suffix + bytes([byte])
-        prefixes, id_of, neighbours = self.v.prefixes, self.v.id_of, self.v.neighbours
+        prefixes, id_of, neighbours = self.v.nodes, self.v.id_of, self.v.neighbours
         drop = 0
         while grown[drop:] not in prefixes:
             drop += 1
@@ -58,43 +66,83 @@ class Transducer:
         number = self.number.setdefault(after, len(self.states))
         if number == len(self.states):
             self.states.append(after)
-        return number << 8, emitted
+        return number << 16 | emitted + OFFSET
 
     def run(self, piece: bytes) -> int:
         state, total, table = 0, 0, self.table
         for byte in piece:
-            try:
-                state, emitted = table[state | byte]
-            except KeyError:
-                key = state | byte
-                state, emitted = table[key] = self.compile(state >> 8, byte)
-            total += emitted
+            got = table.get(state | byte)
+            if got is None:
+                got = table[state | byte] = self.compile(state >> 8, byte)
+            state = got >> 16 << 8
+            total += (got & 0xFFFF) - OFFSET
         return total
 
-    def count(self, parts: list[list[str]]) -> list[int]:
-        """The number of tokens of each list of pieces."""
-        self.now, self.before, new = recall(parts, self.now, self.before, KEPT)
+    def emitted(self, pieces: list[str]) -> np.ndarray:
+        """The number of tokens of each piece: what the transitions through it emit."""
+        distinct = dict.fromkeys(pieces)
+        new, known = self.ways.missing(distinct), self.ways.now
         for p in new:
             if len(self.table) > TRANSITIONS:
                 self.reset()
-            self.now[p] = self.run(p.encode("utf-8", "replace"))
-        return [sum(map(self.now.__getitem__, part)) for part in parts]
+            known[p] = self.run(p.encode("utf-8", "replace"))
+        out = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        self.ways.trim(distinct)
+        return out
+
+    def annotated(self, texts: list[str]) -> tuple[Chunks, np.ndarray]:
+        """The chunks of texts without special strings, and what each emits by the state that it is entered in."""
+        chunks = Chunks(texts, self.chunk)
+        size = np.array([len(t) for t in texts])
+        first = np.concatenate([[0], chunks.ends[:-1]]) * self.chunk
+        every = "".join(texts)
+        base = np.concatenate([[0], np.cumsum(size)[:-1]])
+
+        def cut(start: np.ndarray, end: np.ndarray) -> list[str]:
+            """The text between two places of the grid, of one text each."""
+            t = np.searchsorted(first, start, side="right") - 1
+            a, b = (base[t] + np.minimum(x - first[t], size[t]) for x in (start, end))
+            return [every[x:y] for x, y in zip(a.tolist(), b.tolist())]
+
+        start = chunks.place[chunks.starts()]
+        counts = np.zeros((len(chunks.maps), 8), np.int64)
+        counts += np.bincount(start // self.chunk, weights=self.emitted(cut(start, np.append(start[1:], chunks.marks.size))), minlength=len(counts)).astype(np.int64)[:, None]
+        row, state, own, other = chunks.others()
+        for sign, (k, a, b) in ((-1, own), (1, other)):
+            np.add.at(counts, (row[k], state[k]), sign * self.emitted(cut(a, b)))
+        return chunks, counts
+
+    def plain(self, texts: list[str]) -> np.ndarray:
+        """The number of tokens of each text without special strings: the maps of its chunks, composed."""
+        chunks, counts = self.annotated(texts)
+        told = compose(chunks.maps, counts)[1][:, FRESH]
+        return np.diff(np.concatenate([[0], told[chunks.ends - 1]]))
 
     def texts(self, texts: list[str]) -> list[int]:
-        special = self.v.special
-        if not any(s in t for t in texts for s in special):
-            return self.count(pieces(texts))
-        runs = [split_special(t, special) for t in texts]
-        plain = [r for own in runs for r in own if r not in special]
-        counts = iter(self.count(pieces(plain)) if plain else [])
-        return [sum(1 if r in special else next(counts) for r in own) for own in runs]
+        """The number of tokens of each text."""
+        out, plain, owner = np.zeros(len(texts), np.int64), [], []
+        for i, text in enumerate(texts):
+            for run in self.special.split(text) if self.special and self.special.search(text) else [text]:
+                if run in self.v.special:
+                    out[i] += 1
+                else:
+                    for part in segments(run):
+                        plain.append(part)
+                        owner.append(i)
+        # blocks of about PIECE code points, whatever the length of a text
+        ends, at = np.cumsum([len(p) for p in plain]), 0
+        while at < len(plain):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE, side="right")))
+            np.add.at(out, owner[at:stop], self.plain(plain[at:stop]))
+            at = stop
+        return out.tolist()
 
 
 _TRANSDUCERS: dict[str, Transducer] = {}
 
 
 def transducer(path: str) -> Transducer:
-    """One for each worker process."""
+    """One for each worker process: the compiled machine serves all its tasks."""
     if path not in _TRANSDUCERS:
         _TRANSDUCERS[path] = Transducer(vocabulary(path))
     return _TRANSDUCERS[path]
@@ -106,9 +154,11 @@ def count(documents: DataFrame, path: str, limit: int = 512) -> DataFrame:
 
     def run(batches):
         machine = transducer(path)
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", PIECE):
             n = pa.array(machine.texts(texts), pa.int64())
             size = pc.fill_null(pc.binary_length(part.column("text")), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, n, pc.greater(n, limit)], names=schema.names)
+        machine.ways.let_go()
+        machine.v.let_go()
 
-    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return in_arrow(documents.select("doc_id", F.col("text").cast("string").alias("text")), run, schema)

@@ -10,6 +10,9 @@ from __future__ import annotations
 import functools
 import json
 
+#: Pairs of tokens that a worker remembers (about 100 bytes each).
+KNOWN = 200_000
+
 
 def byte_letters() -> dict[str, int]:
     """The printable letter that vocabulary files write for each byte."""
@@ -40,7 +43,8 @@ class Vocabulary:
                 raise ValueError(f"merge {n} uses a token that is merged later; encodings by neighbours need an ordered merge list")
             if whole not in self.parts:
                 self.parts[whole], self.born[whole] = pair, n
-        self.prefixes = {b[:i] for b in self.id_of for i in range(1, len(b) + 1)}
+        #: every beginning of a token: its id if it is a token itself, else -1
+        self.nodes = {b[:i]: -1 for b in self.id_of for i in range(1, len(b))} | self.id_of
         self.known: dict[int, bool] = {}
         self.spines: tuple[dict, dict] = ({}, {})
 
@@ -73,11 +77,17 @@ class Vocabulary:
                     # equal ranks merge from left to right: a's own merge goes first, b's own merge second
                     if n is not None and x_born < n < x_end and y_born < n <= y_end:
                         got = False
-            if len(self.known) > 1_000_000:
-                self.known.clear()
+            if len(self.known) > KNOWN:
+                self.let_go()
             self.known[key] = got
         return got
 
+    def let_go(self) -> None:
+        """Forgets which tokens may stand side by side; it is worked out again when needed."""
+        self.known.clear()
+        for x in self.spines:
+            x.clear()
+
 
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
