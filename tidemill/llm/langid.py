@@ -1,12 +1,15 @@
 """Language ID: averaged hashed subword embeddings with a linear softmax, trained by SGD in numpy, calibrated rejection.
 
-The text's vector is the mean of the vectors of all n-grams of all its words; one linear softmax reads it. A part of
+The text's vector is the mean of the vectors of all n-grams of all its words; one linear softmax reads it. Very long texts
+are read in parts, whose sums add up. A part of
 the sample, kept apart, sets the temperature of the probabilities and the score below which a guess is rejected: the
 lowest score that still keeps `keep` of the right guesses there, and never more than `most`.
 
 Defined results: a null text or one without a letter is `und` with score 0. Without any labelled row every text is
-`und`. Equal texts have equal results. Ties between languages go to the first in code point order. Other columns of the
-input stay unless their names are lang_pred, score and accepted, which are replaced.
+`und`. Equal texts have equal results. Ties between languages go to the first in code point order; repeated rows are rows
+of their own. Every value of lang in the sample can be predicted: the model takes memory for each. Other columns of the
+input stay unless their names are those of the result (lang_pred, score and accepted, in any case of letters), which are
+replaced.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.codes import LETTER, kinds, pack
-from tidemill.llm.common import held_out, release, slices
-from tidemill.llm.samples import MOST_CLASSES, pick
+from tidemill.llm.common import PIECE, held_out, in_arrow, pieces_of, release, slices
+from tidemill.llm.samples import pick
 from tidemill.llm.subword import Bags, Embedder, by_text, softmax
 
 UNDETERMINED = "und"
@@ -29,10 +32,11 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class Parameters:
-    #: The bound of the sample: about so many documents of each language.
+    #: The bound of the sample: about so many documents of each language (fewer of each if there are many languages, so
+    #: that all come to so many rows), none longer than so many code points.
     per_class: int = 700
-    #: Languages that it learns: the most frequent; there is a warning if there are more.
-    most_classes: int = MOST_CLASSES
+    most_rows: int = 50_000
+    most_chars: int = 50_000
     orders: tuple[int, ...] = (3, 4)
     bits: int = 16
     dims: int = 16
@@ -52,19 +56,22 @@ class Model:
     orders: tuple[int, ...]
     bits: int
 
-    def logits(self, texts: list[str]) -> np.ndarray:
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: the sum of its n-grams' logits, their number, and how many letters it has."""
+        if any(len(t) > PIECE for t in texts):
+            parts = [[sum(x) for x in zip(*(self.sums([p]) for p in pieces_of(t)))] for t in texts]
+            return tuple(np.concatenate([own[k] for own in parts]) for k in range(3))
         bags = Bags(texts, self.orders, self.bits)
         total, count = bags.sums(self.table)
-        whole = by_text(total, bags.starts, np.add, 0.0)
-        n = by_text(count, bags.starts, np.add, 0.0)
-        return whole / np.maximum(n, 1)[:, None] + self.bias
+        codes, ends = pack(texts)
+        letters = np.add.reduceat((kinds()[codes] == LETTER).astype(np.int64), np.concatenate([[0], ends[:-1] + 1])) if texts else np.zeros(0, np.int64)
+        return by_text(total, bags.starts, np.add, 0.0), by_text(count, bags.starts, np.add, 0.0), letters
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        codes, ends = pack(texts)
-        letters = np.add.reduceat((kinds()[codes] == LETTER).astype(np.int64), np.concatenate([[0], ends[:-1] + 1])) if texts else np.zeros(0)
-        if not self.languages:
+        if not self.languages or not texts:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        probable = np.round(softmax(self.logits(texts) / self.heat), 6)
+        total, count, letters = self.sums(texts)
+        probable = np.round(softmax((total / np.maximum(count, 1)[:, None] + self.bias) / self.heat), 6)
         best = probable.argmax(axis=1)
         score = np.where(letters > 0, probable[np.arange(len(texts)), best], 0.0)
         return [self.languages[k] if n else UNDETERMINED for k, n in zip(best, letters, strict=True)], score
@@ -113,25 +120,25 @@ def fit(sample: list[tuple[str, str]], p: Parameters = Parameters()) -> Model:
 
 def learn(documents: DataFrame, p: Parameters = Parameters()) -> Model:
     """A model of lang, from text and non-null lang of documents that are not held out."""
-    rows = documents.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col("lang").alias("label"), "text")
-    chosen, _ = pick(rows, p.per_class, p.most_classes)
+    known = ~held_out() & F.col("lang").isNotNull() & (F.length("text") <= p.most_chars)
+    rows = documents.filter(known).select("doc_id", F.col("lang").cast("string").alias("label"), "text")
+    chosen, _ = pick(rows, p.per_class, p.most_rows)
     model = fit(sorted((r["text"], r["label"]) for r in chosen.collect()), p)
     release()
     return model
 
 
-def identify(documents: DataFrame, model: Model) -> DataFrame:
-    """documents with lang_pred, score and accepted (false: rejected); one narrow pass over whole texts."""
-    kept = [f for f in documents.schema.fields if f.name not in ("lang_pred", "score", "accepted")]
-    new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())]
-    schema = T.StructType([*kept, *new])
+def identify(documents: DataFrame, model: Model, names: tuple[str, str, str] = ("lang_pred", "score", "accepted")) -> DataFrame:
+    """documents with lang_pred, score and accepted (false: rejected), by these names; one narrow pass over whole texts."""
+    kept = [f for f in documents.schema.fields if f.name.lower() not in {n.lower() for n in names}]
+    schema = T.StructType([*kept, *(T.StructField(n, kind()) for n, kind in zip(names, (T.StringType, T.DoubleType, T.BooleanType)))])
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for part, texts in slices(batches, "text", 1 << 18):
-            names, s = shared.value.predict(texts)
-            accepted = [name != UNDETERMINED and bool(x >= shared.value.least) for name, x in zip(names, s, strict=True)]
+        for part, texts in slices(batches, "text", PIECE):
+            found, s = shared.value.predict(texts)
+            accepted = [name != UNDETERMINED and bool(x >= shared.value.least) for name, x in zip(found, s, strict=True)]
             arrays = [part.column(f.name) for f in kept]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(names, pa.string()), pa.array(s), pa.array(accepted, pa.bool_())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, pa.string()), pa.array(s), pa.array(accepted, pa.bool_())], names=schema.names)
 
-    return documents.select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(run, schema)
+    return in_arrow(documents.select(*(F.col(f"`{f.name}`") for f in kept)), run, schema)

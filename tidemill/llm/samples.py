@@ -2,45 +2,39 @@
 
 from __future__ import annotations
 
-import warnings
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm.common import local
+
 STEPS = 1 << 62
-#: Distinct labels that a classifier may have, unless a caller says otherwise.
-MOST_CLASSES = 256
 
 
-def pick(labels: DataFrame, per_class: int, most_classes: int = MOST_CLASSES) -> tuple[DataFrame, dict]:
+def pick(labels: DataFrame, per_class: int, most_rows: int) -> tuple[DataFrame, dict]:
     """Of each label about `per_class` rows, chosen by a hash of doc_id, and how many rows each label has.
 
-    labels: doc_id, label. At most 1.25 * per_class * number of labels rows come back. Of more than `most_classes` labels
-    the most frequent count, with a warning.
+    labels: doc_id, label and others. So many labels that they would exceed most_rows get fewer rows each, but every label
+    gets some: at most 1.25 * the greater of most_rows and the number of labels come back, in the order of the hash.
     """
-    by_label = labels.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label")
-    counts = {r["label"]: r["n"] for r in by_label.limit(most_classes + 1).collect()}
-    if len(counts) > most_classes:
-        counts.popitem()
-        warnings.warn(f"more than {most_classes} labels: the rarer ones can't be learned or predicted; raise most_classes to have them", stacklevel=2)
+    counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return labels.limit(0), counts
+    each = max(1, min(per_class, most_rows // len(counts)))
     # 62 bits, so that some rows of a label stay however many it has
     hashed = F.xxhash64("doc_id", F.lit(11))
     rank = F.pmod(hashed, F.lit(1 << 20)) * F.lit(1 << 42) + F.pmod(F.shiftright(hashed, 20), F.lit(1 << 42))
-    keep: Column = F.lit(False)
-    for label, n in counts.items():
-        keep = keep | ((F.col("label") == F.lit(label)) & (rank < F.lit(STEPS if n <= per_class else STEPS * per_class // n)))
-    chosen = labels.filter(keep).orderBy(rank, "doc_id").limit(int(1.25 * per_class * len(counts)))
-    return chosen, counts
+    kind = labels.schema["label"].dataType.simpleString()
+    cuts = local(labels.sparkSession, [(label, STEPS if n <= each else STEPS * each // n) for label, n in counts.items()], f"label {kind}, _cut long")
+    chosen = labels.join(F.broadcast(cuts), "label").withColumn("_rank", rank).filter("_rank < _cut")
+    return chosen.orderBy("_rank", "doc_id").limit(int(1.25 * each * len(counts)) + 1).drop("_rank", "_cut"), counts
 
 
-def texts_of(documents: DataFrame, labels: DataFrame, per_class: int) -> tuple[list[tuple[str, object]], dict]:
-    """(text, label) pairs of such a sample, in a fixed order; labels hold one row for each doc_id."""
-    chosen, counts = pick(labels, per_class)
+def texts_of(documents: DataFrame, labels: DataFrame, per_class: int, most_rows: int, most_chars: int) -> tuple[list[tuple[str, object]], dict]:
+    """(text, label) pairs of such a sample, in a fixed order; labels hold one row for each doc_id, longer texts are not learned from."""
+    chosen, counts = pick(labels, per_class, most_rows)
     ids = [(r["doc_id"], r["label"]) for r in chosen.collect()]
     if not ids:
         return [], counts
-    small = F.broadcast(documents.sparkSession.createDataFrame(ids, labels.select("doc_id", "label").schema))
-    rows = documents.select("doc_id", "text").join(small, "doc_id").filter(F.col("text").isNotNull()).select("text", "label").collect()
+    small = F.broadcast(local(documents.sparkSession, ids, labels.select("doc_id", "label").schema))
+    rows = documents.select("doc_id", "text").join(small, "doc_id").filter(F.length("text") <= most_chars).select("text", "label").collect()
     return sorted((r["text"], r["label"]) for r in rows), counts

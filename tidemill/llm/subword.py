@@ -17,10 +17,13 @@ class Bags:
     """
 
     def __init__(self, texts: list[str], orders: tuple[int, ...], bits: int):
-        codes, ends = pack([t.lower() for t in texts])
+        # an empty text first, so that the first word too has a boundary before it
+        codes, ends = pack(["", *(t.lower() for t in texts)])
+        ends = ends[1:]
         self.orders, self.bits = orders, bits
         inside = wordlike()[codes]
         inside[ends] = False
+        inside[0] = False
         self.codes = np.where(inside, codes, 1).astype(np.uint64)
         self.inside = inside
         first = inside.copy()
