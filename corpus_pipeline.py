@@ -2,26 +2,34 @@
 
 toxicity (documents that it rejects go), language (und and rejected guesses go), near duplicates (one document of each class stays),
 mix (each document as often as the target weights take it), tokens (ids of every text).
+
+Defined results: null and empty texts are clean, but have no language and go in the second stage; rows that repeat are
+documents of their own until near duplicates leave one of them; ties are settled by doc_id and text. Columns besides those
+of documents stay, whatever their names, until the last stage, which returns its own columns alone. Empty tables give
+empty tables. Texts of any length pass whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemill.llm import bpe, langid, mixing, neardup, toxicity
-from tidemill.llm.common import scratch, table
+from tidemill.llm.common import scratch, table, unused
 from tidemill.llm.queries import vocabulary_path
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that the toxicity model predicts to be toxic."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    names = unused(docs.columns, "score"), unused(docs.columns, "predicted")
+    return toxicity.score(docs, model, names=names).filter(F.col(names[1]) == 0).drop(*names)
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose language is undetermined or too uncertain."""
-    return langid.identify(docs, langid.learn(docs)).filter("accepted").select(*docs.columns)
+    names = tuple(unused(docs.columns, n) for n in ("lang_pred", "score", "accepted"))
+    return langid.identify(docs, langid.learn(docs), names).filter(F.col(names[2])).drop(*names)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
