@@ -14,7 +14,7 @@ from tidemill import cli, registry
 from tidemill.functions import places, text
 from tidemill.operators import contracts, extraction, fetchlog, snapshots, upserts
 from tidemill.plans import books, jobs, quotes
-from tidemill.sources import ingest, parsers, sinks
+from tidemill.sources import fetch, ingest, parsers, sinks
 from tidemill.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
@@ -342,6 +342,82 @@ def test_robots_and_retry_after(spark):
     assert values(spark, "string", ["7", "Thu, 01 Jan 2026 00:01:30 GMT", "soon"], fetchlog.told_delay(F.col("x"), now)) == [7.0, 90.0, None]
 
 
+class Site:
+    """Answers of a made-up site, and a clock that only sleeping moves."""
+
+    def __init__(self, pages, robots=(404, "")):
+        self.pages, self.robots, self.now, self.log = pages, robots, 0.0, []
+
+    def __call__(self, request):
+        self.log.append((self.now, request))
+        if request.url.endswith("/robots.txt"):
+            return fetch.Answer(self.robots[0], {}, self.robots[1].encode())
+        told = self.pages[request.url]
+        status, body, *more = told.pop(0) if isinstance(told, list) else told(request) if callable(told) else told
+        if status is None:
+            raise OSError("down")
+        return fetch.Answer(status, more[0] if more else {}, body.encode())
+
+    def session(self, **manners):
+        return fetch.Session(fetch.Manners(**manners), self, lambda: self.now, lambda s: setattr(self, "now", self.now + s), lambda: 0.5)
+
+
+def test_session_paces_retries_and_stops():
+    site = Site({"http://a/1": [(200, "one")], "http://a/2": [(503, "x", {"retry-after": "7"}), (None, ""), (200, "two")], "http://a/no/3": [(200, "")], "http://a/4": [(500, "")] * 5, "http://a/5": [(404, "gone")], "http://a/6": [(403, "<h1>Attention Required!</h1>")]}, (200, "User-agent: *\nCrawl-delay: 2\nDisallow: /no/"))
+    s = site.session()
+    assert s.get("http://a/1").text == "one" and s.get("http://a/2").text == "two"
+    times = [t for t, _ in site.log]
+    assert times[:3] == [0.0, 0.125, 2.125] and times[3] == 9.125 and times[4] == 11.125
+    with pytest.raises(fetch.Forbidden):
+        s.get("http://a/no/3")
+    for url in ("http://a/4", "http://a/5"):
+        with pytest.raises(fetch.Failed):
+            s.get(url)
+    for _ in range(2):
+        with pytest.raises(fetch.Blocked):
+            s.get("http://a/6")
+    assert s.stats | {"bytes_received": 0} == {"requests": 11, "robots_requests": 1, "retries": 6, "failures": 2, "bytes_received": 0}
+    down = Site({}, (500, ""))
+    with pytest.raises(fetch.Forbidden):
+        down.session(retries=0).get("http://a/1")
+
+
+def test_login_and_postbacks():
+    def login(request):
+        if request.method == "GET":
+            return 200, '<form action="/in"><input type="hidden" name="csrf_token" value="t0"><input name="user"></form>', {"set-cookie": "sid=1; Path=/"}
+        return 200, "?"
+
+    site = Site({"http://a/login": login, "http://a/in": lambda r: (200, "in" if b"csrf_token=t0" in r.body and b"user=me" in r.body and r.headers["Cookie"] == "sid=1" else "out")})
+    assert site.session().login("http://a/login", {"user": "me"}).text == "in"
+
+    def search(request):
+        form = lambda state, tags, more="": f'<form><input type="hidden" name="__VIEWSTATE" value="{state}"/><select id="author"><option value="">-</option><option value="A">A</option></select><select id="tag">{tags}</select></form>{more}'
+        if request.method == "GET":
+            return 200, form("s0", "")
+        if b"tag=" not in request.body:
+            return 200, form("s1", '<option value="x">x</option><option value="y">y</option>')
+        assert b"__VIEWSTATE=s1" in request.body
+        return 200, form("s2", "", "found " + request.body.decode().rsplit("=", 1)[1])
+
+    found = list(fetch.postbacks(Site({"http://q/s": search}).session(), "http://q/s", "author", "tag"))
+    assert [(a, b, page[-7:]) for a, b, page in found] == [("A", "x", "found x"), ("A", "y", "found y")]
+
+
+def test_requests_of_many_hosts(spark):
+    def answer(request):
+        if request.url.endswith("robots.txt"):
+            return fetch.Answer(404, {}, b"")
+        if "//h3" in request.url:
+            return fetch.Answer(403, {}, b"captcha")
+        return fetch.Answer(200, {}, (request.url + (request.body or b"").decode()).encode())
+
+    rows = [(i, f"http://h{i % 5}/p{i}", {"k": "v"} if i % 2 else None) for i in range(40)]
+    got = fetch.fetched(spark.createDataFrame(rows, "n int, url string, values map<string,string>"), transport=answer, clock=lambda: 0.0, sleep=lambda s: None).collect()
+    assert {r["n"]: (r["status"], r["body"], r["outcome"]) for r in got} == {i: (None, None, "blocked") if i % 5 == 3 else (200, u + ("k=v" if v else ""), "ok") for i, u, v in rows}
+    assert sum(r["attempts"] for r in got if r["outcome"] == "blocked") == 1
+
+
 def test_streaming(spark, tmp_path):
     kind = "k int, v string, at timestamp"
     for n, rows in enumerate([[(1, "a"), (2, "b")], [(2, "c"), (3, "d")]]):

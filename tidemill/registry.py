@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import places, text
 from tidemill.operators import contracts, extraction, fetchlog, snapshots, upserts
+from tidemill.plans import books, jobs, quotes
 from tidemill.sources import ingest, parsers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -506,11 +507,15 @@ def json_flatten(spark, d):
 
 @query("SELECT 'greenhouse:' || p_brand || ':' || p_partkey AS key, p_name AS title, CASE p_partkey % 6 WHEN 0 THEN 'CO' WHEN 1 THEN 'FR|GB' WHEN 2 THEN 'US' ELSE '' END AS countries, CASE WHEN p_partkey % 6 = 4 THEN true END AS remote, strftime(DATE '2024-01-01' + p_size, '%Y-%m-%d') AS published, p_type || chr(10) || 'a & b' AS description FROM part")
 def board_postings(spark, d):
+    return parsers.greenhouse(_greenhouse(spark, d)).select("key", "title", F.array_join("countries", "|").alias("countries"), "remote", c("published").cast("string").alias("published"), "description")
+
+
+def _greenhouse(spark, d) -> DataFrame:
     where = F.get(F.array(*map(lit, LOCATIONS)), (c("p_partkey") % 6).cast("int"))
     day = F.concat(F.date_add(lit("2024-01-01").cast("date"), c("p_size")).cast("string"), lit("T10:00:00-05:00"))
     job = F.struct(c("p_partkey").alias("id"), c("p_name").alias("title"), lit("http://x").alias("absolute_url"), F.struct(where.alias("name")).alias("location"), day.alias("first_published"), F.concat(lit("&lt;p&gt;"), c("p_type"), lit("&lt;/p&gt;&lt;b&gt;a &amp;amp; b&lt;/b&gt;")).alias("content"))
-    boards = table(spark, d, "part").select(lit("greenhouse").alias("source"), c("p_brand").alias("board"), c("p_brand").alias("company"), F.to_json(F.struct(F.array(job).alias("jobs"))).alias("body"))
-    return parsers.greenhouse(boards).select("key", "title", F.array_join("countries", "|").alias("countries"), "remote", c("published").cast("string").alias("published"), "description")
+    jobs_ = table(spark, d, "part").groupBy("p_brand").agg(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", job.alias("j")))), lambda x: x["j"]).alias("jobs"))
+    return jobs_.select(lit("greenhouse").alias("source"), c("p_brand").alias("board"), c("p_brand").alias("company"), F.to_json(F.struct("jobs")).alias("body"))
 
 
 @query("SELECT conv_id, turn, CAST(max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS VARCHAR) AS asked FROM conversations")
@@ -662,11 +667,7 @@ def json_safe_rows(spark, d):
 STARS = ("One", "Two", "Three", "Four", "Five")
 
 
-@query(
-    """SELECT printf('%016x', p_partkey) AS upc, p_name AS title, p_brand AS category, CAST(p_size * 10 + 12 AS VARCHAR) || '.50' AS price_gbp, CAST(p_size * 10 AS VARCHAR) || '.00' AS price_excl_tax_gbp, '12.50' AS tax_gbp,
-    CAST(p_size * 1000 AS INTEGER) AS in_stock, CAST(p_size % 5 + 1 AS BIGINT) AS rating, 0 AS reviews, CASE WHEN p_size % 4 > 0 THEN p_type END AS description, 'http://b/media/' || p_partkey || '.jpg' AS image_url FROM part"""
-)
-def book_pages(spark, d):
+def _book_pages(spark, d) -> DataFrame:
     p, s = c("p_size"), lambda x: x.cast("string")
     row = lambda name, value: F.concat(lit(f"<tr><th>{name}</th><td>"), value, lit("</td></tr>"))
     html = F.concat(
@@ -675,9 +676,16 @@ def book_pages(spark, d):
         lit('<table class="table table-striped">'), row("UPC", F.lpad(F.lower(F.hex("p_partkey")), 16, "0")), row("Price (excl. tax)", F.concat(lit("£"), F.format_number((p * 10).cast(DEC), 2))), row("Price (incl. tax)", F.concat(lit("£"), F.format_number((p * 10 + 12.5).cast(DEC), 2))),
         row("Tax", lit("£12.50")), row("Availability", F.concat(lit("In stock ("), F.format_number(p * 1000, 0), lit(" available)"))), row("Number of reviews", lit("0")), lit("</table>"),
     )
-    pages = table(spark, d, "part").select(html.alias("html"), F.concat(lit("http://b/catalogue/"), s(c("p_partkey")), lit("/index.html")).alias("url"))
+    return table(spark, d, "part").select(html.alias("html"), F.concat(lit("http://b/catalogue/"), s(c("p_partkey")), lit("/index.html")).alias("url"), "p_partkey", "p_brand")
+
+
+@query(
+    """SELECT printf('%016x', p_partkey) AS upc, p_name AS title, p_brand AS category, CAST(p_size * 10 + 12 AS VARCHAR) || '.50' AS price_gbp, CAST(p_size * 10 AS VARCHAR) || '.00' AS price_excl_tax_gbp, '12.50' AS tax_gbp,
+    CAST(p_size * 1000 AS INTEGER) AS in_stock, CAST(p_size % 5 + 1 AS BIGINT) AS rating, 0 AS reviews, CASE WHEN p_size % 4 > 0 THEN p_type END AS description, 'http://b/media/' || p_partkey || '.jpg' AS image_url FROM part"""
+)
+def book_pages(spark, d):
     money = {n: c(n).cast("string") for n in ("price_gbp", "price_excl_tax_gbp", "tax_gbp")}
-    return parsers.books(pages).withColumns(money).drop("url")
+    return parsers.books(_book_pages(spark, d)).withColumns(money).drop("url")
 
 
 @query("SELECT r_name AS home, CAST(row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) - 1 AS INTEGER) AS pos, n_name AS category, 'http://b/c/' || n_nationkey || '/' AS url, 1000 + r_regionkey AS declared FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -769,3 +777,83 @@ def lever_postings(spark, d):
     boards = table(spark, d, "part").select(lit("lever").alias("source"), c("p_brand").alias("board"), c("p_brand").alias("company"), F.to_json(F.array(job)).alias("body"))
     rows = parsers.postings(boards)
     return rows.select("key", "title", "location", F.array_join("countries", "|").alias("countries"), "remote", F.coalesce("open_to_colombia", lit(False)).alias("open"), "employment_type", c("published").cast("string").alias("published"), "description")
+
+
+# Whole pipelines over such pages, and what their gates say
+
+CHECK_SQL = "SELECT *, CASE WHEN passed THEN 'PASS' WHEN blocking THEN 'FAIL' ELSE 'WARN' END AS status, CASE WHEN (SELECT bool_and(passed OR NOT blocking) FROM k) THEN 'READY' ELSE 'NOT READY' END AS verdict FROM k"
+
+
+@query(
+    f"""WITH t AS (SELECT count(*) AS n, avg(CASE WHEN p_size % 4 > 0 THEN 1.0 ELSE 0.0 END) AS fill FROM part), k(name, passed, detail, blocking) AS (
+      SELECT 'schema', true, '0 invalid rows', true UNION ALL SELECT 'unique key', true, '0 duplicated keys', true UNION ALL SELECT 'coverage', true, n || ' of ' || n, true FROM t
+      UNION ALL SELECT 'fill rate description', fill >= 0.95, CAST(round(fill * 100, 1) AS VARCHAR) || ' %', true FROM t
+      UNION ALL VALUES ('category coverage', true, '0 short, 0 without a listing', true), ('listing pages fetched', true, '0 missing', true), ('listing page yield', true, '0 odd', true), ('category agrees with breadcrumb', true, '0 differ', true), ('book pages read', true, '0 unread', true))
+    {CHECK_SQL}"""
+)
+def books_gate(spark, d):
+    from pyspark.sql import Window
+
+    pages = _book_pages(spark, d)
+    at = Window.partitionBy("p_brand").orderBy("p_partkey")
+    rows = pages.withColumn("page", (F.floor((F.row_number().over(at) - 1) / books.PAGE) + 1).cast("int")).withColumn("n", F.count("*").over(Window.partitionBy("p_brand")))
+    pod = F.concat(lit('<article class="product_pod"><h3><a href="/catalogue/'), c("p_partkey").cast("string"), lit('/index.html">b</a></h3></article>'))
+    listed = rows.groupBy(c("p_brand").alias("category"), "page", "n").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", pod.alias("p")))), lambda x: x["p"]), "").alias("pods"))
+    strong = lambda n: F.concat(lit('<form class="form-horizontal"><strong>'), F.format_number(n, 0), lit("</strong></form>"))
+    more = F.when(c("page") * books.PAGE < c("n"), '<li class="next"><a href="next.html">next</a></li>').otherwise("")
+    listings = listed.select("category", "page", lit("http://b/c/list.html").alias("url"), F.concat(strong(c("n")), "pods", more).alias("html"))
+    link = F.concat(lit('<li><a href="c/list.html"> '), c("p_brand"), lit("</a></li>"))
+    home = rows.agg(F.array_join(F.array_sort(F.collect_set(link)), "").alias("links"), F.count("*").alias("n"))
+    home = home.select(lit("http://b/").alias("url"), F.concat(lit('<div class="side_categories"><ul><li><a href="all">All</a><ul>'), "links", lit("</ul></li></ul></div>"), strong(c("n"))).alias("html"))
+    return books.run(home, listings, pages.select("url", "html")).checks
+
+
+@query(
+    f"""WITH t AS (SELECT count(*) AS n, count(*) FILTER (WHERE s_suppkey % 3 = 0) AS lost FROM supplier), k(name, passed, detail, blocking) AS (
+      SELECT 'schema', true, '0 invalid rows', true UNION ALL SELECT 'unique key', true, '0 duplicated keys', true UNION ALL SELECT 'blocks ran clean', n > 0, n || ' quotes', true FROM t
+      UNION ALL SELECT 'tables matches blocks', lost = 0, 'missing ' || lost || ', explained 0, extra 0, mismatched 0, duplicated 0', true FROM t UNION ALL SELECT 'browser matches blocks', false, 'skipped', false)
+    {CHECK_SQL}"""
+)
+def quotes_gate(spark, d):
+    rows = block_quotes(spark, d).select("text", "author", F.split("tags", "[|]").alias("tags"))
+    some = table_quotes(spark, d).filter("url % 3 <> 0").select("text", "author", F.split("tags", "[|]").alias("tags"))
+    return quotes.run({"blocks": rows, "tables": some, "browser": None}).checks
+
+
+def _jobs(spark, d):
+    boards = _greenhouse(spark, d)
+    answers = boards.select("source", "board", F.when(c("board").endswith("3"), 500).otherwise(200).alias("status"), "body")
+    return jobs.run(boards.select("company", "source", "board"), answers, spark.createDataFrame([], jobs.POSTING))
+
+
+@query(
+    f"""WITH p AS (SELECT *, p_brand LIKE '%3' AS lost FROM part), t AS (SELECT count(DISTINCT p_brand) FILTER (WHERE lost) AS bad, coalesce(avg(CASE WHEN p_partkey % 6 IN (0, 1, 2, 4) THEN 1.0 ELSE 0.0 END) FILTER (WHERE NOT lost), 1.0) AS rate FROM p),
+    k(name, passed, detail, blocking) AS (SELECT 'schema', true, '0 invalid rows', true UNION ALL SELECT 'unique key', true, '0 duplicated keys', true UNION ALL SELECT 'fetch failures', bad = 0, bad || ' request(s) failed after retries', false FROM t
+      UNION ALL SELECT 'every board answered', bad = 0, '', false FROM t UNION ALL VALUES ('no board went silent', true, '', true), ('evidence is verbatim', true, '', true)
+      UNION ALL SELECT 'location resolved', rate >= 0.9, printf('%.1f', rate * 100) || ' % of the postings', false FROM t)
+    {CHECK_SQL}"""
+)
+def jobs_gate(spark, d):
+    return _jobs(spark, d).checks
+
+
+@query("SELECT 'greenhouse' AS source, p_brand AS board, p_brand AS company, 'status 500' AS reason FROM part WHERE p_brand LIKE '%3' GROUP BY p_brand")
+def boards_failed(spark, d):
+    return _jobs(spark, d).failed
+
+
+@query("SELECT 'greenhouse:' || p_brand || ':' || p_partkey AS key, 'new' AS change FROM part WHERE p_brand NOT LIKE '%3'")
+def jobs_changes(spark, d):
+    return _jobs(spark, d).diff
+
+
+@query("SELECT DISTINCT 'greenhouse:' || p_brand AS board, 'https://boards-api.greenhouse.io/v1/boards/' || p_brand || '/jobs' AS endpoint FROM part")
+def board_endpoints(spark, d):
+    keys = table(spark, d, "part").select(F.concat(lit("greenhouse:"), "p_brand", lit(":"), c("p_partkey").cast("string")).alias("key"))
+    rows = keys.select(text.board_of(c("key")).alias("board")).distinct()
+    return rows.select("board", ingest.endpoint(F.substring_index("board", ":", 1), F.substring_index("board", ":", -1)).alias("endpoint"))
+
+
+@query("SELECT n_nationkey AS pos, n_name AS category FROM nation ORDER BY n_nationkey LIMIT 7")
+def first_categories(spark, d):
+    return ingest.first_categories(table(spark, d, "nation").select(c("n_nationkey").alias("pos"), c("n_name").alias("category")), 7)
