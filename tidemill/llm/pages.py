@@ -3,19 +3,22 @@
 A page is a sequence of words and tags. Words score by where they stand (positive in prose, negative in menus, headers,
 footers, sidebars, notices, adverts, forms and comments) and tags score negative; both weights come from labelled
 pages. One linear scan finds the contiguous run with the highest sum: the content region. Within it, what scores
-negative itself (an advert inside the article) is left out.
+negative itself (an advert inside the article) is left out; and where a long advert cuts an article in two, the parts
+outside the region that score positive and stand in the same article, main or content element belong to it too.
 
-The labelled pages are made here from declared building blocks (labelled_pages), with the block that each text belongs
-to known; the weights are fitted by logistic regression in numpy on the names of the elements, classes, ids and roles
-around a word. Pages of any layout get scores from the same names.
+Labelled pages are of two kinds. Pages of a table whose article element says what their text is: a bounded sample of them,
+held-out ones excepted, is learned from by learn(). And pages put together here from declared building blocks
+(labelled_pages), for names that a table's pages don't have. The weights are fitted by logistic regression in numpy on the
+names of the elements, classes, ids and roles around a word. Pages of any layout get scores from the same names.
 
 Broken markup is read as far as it goes: unclosed elements end where their parents do, a stray end tag is ignored, a
-cut tag is dropped, and what looks like a tag inside a script is script. As in HTML, only raw text (scripts, styles,
-titles, text areas, inline frames, noscript) runs on to its own end tag, or to the page's end without one. Buttons, selects, objects,
-templates and drawings aren't content as a whole; one that never closes counts only up to the first block in it, so that
-it takes no article with it. Formulas (math) are text of their paragraph. Character references are decoded, white space inside
-a block becomes one space, blocks are joined by an empty line. Nothing is capped. Defined results: null html is empty
-and, like a page without prose, gives the empty text; null page_id and url pass through; repeated rows repeat.
+cut tag is dropped, what looks like a tag inside a script is script, and a quotation mark opens a value only after an equals
+sign. Scripts and styles run on to their own end tag, or to the page's end without one; titles, text areas, inline frames and
+noscript to theirs, or to the next tag. Buttons, selects, objects, templates and drawings aren't content as a whole; one
+that never closes counts only up to the first block in it, so that it takes no article with it. Formulas (math) are text of
+their paragraph. Character references are decoded, white space inside a block becomes one space, blocks are joined by an
+empty line. Nothing is capped. Defined results: null html is empty and, like a page without prose, gives the empty text;
+null page_id and url pass through; repeated rows repeat; an empty table gives an empty one; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import slices
+from tidemill.llm.common import held_out, in_arrow, slices
+from tidemill.llm.samples import pick
 
 # HTML's void elements, raw text elements, elements that are read but aren't content, those in which tags follow
 # XML, elements within these that hold HTML, elements that another start of the same name closes, and elements that stand on
@@ -48,7 +52,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 BLOCKS = CLOSES_P | frozenset("body caption center dd dt figcaption html li summary tbody td tfoot th thead tr".split())
 NOT_FOREIGN = BLOCKS | frozenset("b big code em embed i img nobr ruby s small span strike strong sub sup tt u var".split())
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z", re.S)
 NAME = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z]+")
 SPACE = re.compile(r"[\s\x1c-\x1f\x85]+")
@@ -61,12 +65,18 @@ class Text:
     block: int
     names: frozenset[str]
     text: str
+    #: The innermost element that it stands in, a number in the page's parents.
+    element: int = 0
 
 
 @dataclass
 class Page:
     #: Text runs, and for each tag the string "tag".
     items: list = field(default_factory=list)
+    #: Of each element: the one around it, its tag, and what it is called. Element 0 is the page itself.
+    parents: list[int] = field(default_factory=lambda: [0])
+    tags: list[str] = field(default_factory=lambda: [""])
+    called: list[frozenset[str]] = field(default_factory=lambda: [frozenset()])
 
 
 @dataclass
@@ -95,17 +105,18 @@ def read(source: str) -> Page:
     around: list[frozenset[str]] = [frozenset()]
     opened: list[Aside] = []
     spans: list[tuple[int, int]] = []
-    depth, ends = Counter(), {}
+    depth, ends, inside = Counter(), {}, [0]
 
     def text(piece: str) -> None:
         if piece and not piece.isspace():
-            items.append(Text(block, around[-1], html.unescape(piece)))
+            items.append(Text(block, around[-1], html.unescape(piece), inside[-1]))
         elif piece and items and isinstance(items[-1], Text):
-            items.append(Text(block, around[-1], " "))
+            items.append(Text(block, around[-1], " ", inside[-1]))
 
     def close(by_own_tag: bool = False) -> str:
         nonlocal block
         around.pop()
+        inside.pop()
         tag = stack.pop()
         depth[tag] -= 1
         if tag in ASIDE:
@@ -140,12 +151,15 @@ def read(source: str) -> Page:
                 ends[key] = re.compile(rf"</({re.escape(tag)}{'|svg|math' * foreign})\s*>", re.I).search(source, at)
             end = ends[key]
             if not foreign or (not ended and end and end[1].lower() == tag):
-                at = end.end() if end else len(source)
+                if end:
+                    at = end.end()
+                else:
+                    at = len(source) if tag in ("script", "style") else max(source.find("<", at), at) if "<" in source[at:] else len(source)
                 items.append("tag")
                 continue
         if tag == "br":
             if items and isinstance(items[-1], Text):
-                items.append(Text(block, around[-1], " "))
+                items.append(Text(block, around[-1], " ", inside[-1]))
             continue
         if not m[1]:
             if foreign and tag in NOT_FOREIGN:
@@ -178,7 +192,12 @@ def read(source: str) -> Page:
                 opened.append(Aside(len(items), len(stack), block))
             stack.append(tag)
             depth[tag] += 1
-            around.append(around[-1] | names_of(tag, m[3]))
+            own = names_of(tag, m[3])
+            around.append(around[-1] | own)
+            page.parents.append(inside[-1])
+            page.tags.append(tag)
+            page.called.append(own)
+            inside.append(len(page.tags) - 1)
     while stack:
         close()
     if spans:
@@ -203,7 +222,7 @@ def without(items: list, spans: list[tuple[int, int]]) -> list:
 
 
 # Words that pages use in classes, ids and roles for what isn't the article, and for the article.
-OTHER = """nav navbar navigation menu breadcrumb breadcrumbs header masthead banner footer foot copyright legal sidebar side aside widget related recommended more ad ads advert
+OTHER = """nav navbar navigation menu breadcrumb breadcrumbs header masthead banner footer foot copyright legal sidebar side aside widget related recommended ad ads advert
     advertisement sponsor sponsored promo promotion cookie cookies consent notice alert popup modal overlay newsletter subscribe signup login search form comment comments reply replies discussion
     disqus share sharing social tags pagination pager toolbar skip hidden""".split()
 MAIN = "article content main post entry story body text page prose markdown paragraph title headline section wrapper container layout inner column".split()
@@ -257,41 +276,76 @@ class Weights:
         return max(-1.0, min(3.0, self.bias + sum(self.names.get(n, 0.0) for n in names)))
 
 
-@functools.lru_cache(maxsize=1)
-def weights() -> Weights:
-    """Fitted once, on the driver; the labelled pages and so the weights are the same on every run."""
+def fit(labelled: list[tuple[Page, list[bool], float]]) -> Weights:
+    """Weights from pages, whether each of their text runs belongs to the article, and how much a page counts."""
     rows, y, size = [], [], []
-    inside = outside = 0
-    for page, marks in labelled_pages():
-        marks_left, last, within = iter(marks), False, []
+    inside = outside = 0.0
+    for page, marks, much in labelled:
+        marks_left, last = iter(marks), False
         for x in page.items:
             if isinstance(x, Text):
                 last = next(marks_left)
                 rows.append(x.names)
                 y.append(last)
-                size.append(max(1, x.text.count(" ")))
-                within.append(last)
+                size.append(max(1, x.text.count(" ")) * much**2)
             elif last:
-                inside += 1
+                inside += much
             else:
-                outside += 1
+                outside += much
     known = sorted({n for r in rows for n in r})
     at = {n: i for i, n in enumerate(known)}
-    x = np.zeros((len(rows), len(known) + 1))
-    for i, r in enumerate(rows):
+    # runs in the same surroundings are one row
+    sums: dict[frozenset[str], list[float]] = {}
+    for r, label, n in zip(rows, y, size, strict=True):
+        both = sums.setdefault(r, [0.0, 0.0])
+        both[label] += math.sqrt(n)
+    x = np.zeros((len(sums), len(known) + 1))
+    for i, r in enumerate(sums):
         x[i, [at[n] for n in r]] = 1
     x[:, -1] = 1
-    y, w = np.array(y, float), np.sqrt(np.array(size, float))
-    theta = np.zeros(x.shape[1])
+    no, yes = np.array(list(sums.values())).T
+    w, theta = no + yes, np.zeros(x.shape[1])
     for _ in range(12):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
         hess = (x * (w * p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(x.shape[1])
-        theta -= np.linalg.solve(hess, x.T @ (w * (p - y)) + 0.5 * theta)
+        theta -= np.linalg.solve(hess, x.T @ (w * p - yes) + 0.5 * theta)
     # a tag's log odds of standing in the article, held negative: a run pays for each tag that it spans
     tag = min(-0.25, math.log((inside + 1) / (outside + 1)) / 2)
     return Weights(dict(zip(known, theta[:-1], strict=True)), float(theta[-1]), tag)
 
 
+@functools.lru_cache(maxsize=1)
+def weights() -> Weights:
+    """From the pages made here alone; the same on every run."""
+    return fit([(page, marks, 1.0) for page, marks in labelled_pages()])
+
+
+@dataclass(frozen=True)
+class Parameters:
+    #: The bound of the sample: about so many pages with an article element, none longer than so many code points.
+    pages: int = 200
+    most_chars: int = 100_000
+
+
+def marked(page: Page) -> list[bool]:
+    """Whether each text run of a page stands in an article element."""
+    within = [False]
+    for parent, tag in zip(page.parents[1:], page.tags[1:], strict=True):
+        within.append(tag == "article" or within[parent])
+    return [within[x.element] for x in page.items if isinstance(x, Text)]
+
+
+def learn(pages: DataFrame, p: Parameters = Parameters()) -> Weights:
+    """Weights from such pages of the table, those not held out (by page_id), and from the pages made here."""
+    rows = pages.filter(~held_out("page_id") & (F.length("html") <= p.most_chars) & F.lower("html").contains("<article"))
+    chosen, _ = pick(rows.select(F.col("page_id").alias("doc_id"), F.lit("page").alias("label"), "html"), p.pages, p.pages)
+    sources = sorted(r["html"] for r in chosen.collect())
+    made = labelled_pages()
+    told = [(page, marked(page)) for page in map(read, sources)]
+    told = [(page, marks) for page, marks in told if any(marks) and not all(marks)]
+    return fit([(page, marks, 1.0) for page, marks in made] + [(page, marks, len(made) / len(told)) for page, marks in told])
+
+
 def region(items: list, w: Weights) -> tuple[int, int, list[float]]:
     """Start and stop of the best run of items, and each item's score."""
     known: dict[frozenset[str], float] = {}
@@ -314,23 +368,59 @@ def region(items: list, w: Weights) -> tuple[int, int, list[float]]:
     return start, stop, scores
 
 
+#: Elements that can hold an article, besides article and main themselves.
+HOLDERS = frozenset("div section td".split())
+
+
+def holder(page: Page, element: int, w: Weights) -> int:
+    """The element that holds the article that this one is part of: article, else main, else the nearest that is called like one; 0 if none."""
+    above = []
+    while element:
+        above.append(element)
+        element = page.parents[element]
+    for tag in ("article", "main"):
+        for e in above:
+            if page.tags[e] == tag:
+                return e
+    return next((e for e in above if page.tags[e] in HOLDERS and sum(w.names.get(n, 0.0) for n in page.called[e] if n[0] != "<") > 0.5), 0)
+
+
 def main_text(source: str, w: Weights | None = None) -> str:
     w = w or weights()
-    items = read(source).items
+    page = read(source)
+    items = page.items
     start, stop, scores = region(items, w)
-    blocks: dict[int, list[str]] = {}
+    of: dict[int, int] = {}
+    held: Counter = Counter()
+    for x, s in zip(items, scores, strict=True):
+        if isinstance(x, Text) and x.element not in of:
+            of[x.element] = holder(page, x.element, w)
     for x, s in zip(items[start:stop], scores[start:stop], strict=True):
-        if isinstance(x, Text) and s >= 0:
+        if isinstance(x, Text) and s > 0:
+            held[of[x.element]] += s
+    same = max(held, key=held.get, default=0)
+    blocks: dict[int, list[str]] = {}
+    # white space between two parts of a block scores nothing and goes with the part before it
+    kept = False
+    for i, (x, s) in enumerate(zip(items, scores, strict=True)):
+        if not isinstance(x, Text):
+            kept = False
+            continue
+        if start <= i < stop:
+            kept = s >= 0
+        elif s or not kept:
+            kept = bool(same and s > 0 and of[x.element] == same)
+        if kept:
             blocks.setdefault(x.block, []).append(x.text)
     whole = (SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
     return "\n\n".join(b for b in whole if b)
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of each row: one narrow pass."""
+def extract(pages: DataFrame, w: Weights | None = None) -> DataFrame:
+    """page_id, url, text, n_chars of each row: one narrow pass. w: of learn(), else those of the pages made here."""
     schema = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
-    shared = pages.sparkSession.sparkContext.broadcast(weights())
+    shared = pages.sparkSession.sparkContext.broadcast(w or weights())
 
     def run(batches):
         w = shared.value
@@ -338,4 +428,4 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = [main_text(s, w) for s in sources]
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
 
-    return pages.select("page_id", "url", F.col("html").cast("string").alias("html")).mapInArrow(run, schema)
+    return in_arrow(pages.select("page_id", "url", F.col("html").cast("string").alias("html")), run, schema)
