@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import slices
+from tidemill.llm.common import in_arrow, slices
 
 WIDTH = 192
 HEADER = 33
@@ -134,7 +134,7 @@ def store(documents: DataFrame, root: str, shard_bytes: int = SHARD_BYTES) -> Da
         if shard is not None:
             shard.close()
 
-    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return in_arrow(documents.select("doc_id", F.col("text").cast("string").alias("text")), run, schema)
 
 
 def media_index(documents: DataFrame, root: str) -> DataFrame:
@@ -144,6 +144,17 @@ def media_index(documents: DataFrame, root: str) -> DataFrame:
     return documents.sparkSession.read.schema(index.schema).parquet(f"{root}/index")
 
 
+#: Stored bytes that one task reads back.
+TASK_BYTES = 16 << 20
+
+
+def dealt(index: DataFrame) -> DataFrame:
+    """index in partitions of about TASK_BYTES of stored bytes, each from few stretches of few shards: rows are small, what they point to is not."""
+    total = index.agg(F.coalesce(F.sum("media_bytes"), F.lit(0)).alias("n")).first()["n"]
+    stretch = F.floor(F.col("offset") / F.lit(TASK_BYTES // 4))
+    return index.repartition(max(1, -(-total // TASK_BYTES)), "shard", stretch).sortWithinPartitions("shard", "offset")
+
+
 def ranges(batches, root: str, size):
     """Batches with the bytes of each row, read from its shard; size gives how many for a row's media_bytes."""
     files, _ = fs.FileSystem.from_uri(root)
@@ -169,7 +180,7 @@ def with_metadata(index: DataFrame, root: str) -> DataFrame:
             arrays = [batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays([*arrays, *(pa.array([x[k] for x in found], pa.int32()) for k in range(3))], names=schema.names)
 
-    return index.select(*(f.name for f in kept)).mapInArrow(run, schema)
+    return in_arrow(index.select(*(f.name for f in kept)), run, schema)
 
 
 def feature(payload: bytes) -> str:
@@ -197,4 +208,4 @@ def with_features(index: DataFrame, root: str) -> DataFrame:
             more = [pa.array([x[k] for x in found], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*arrays, *more], names=schema.names)
 
-    return index.select(*(f.name for f in kept)).mapInArrow(run, schema)
+    return in_arrow(index.select(*(f.name for f in kept)), run, schema)
