@@ -171,26 +171,38 @@ def classes(documents: DataFrame, least: float = LEAST, weighted: bool = False)
 
 def unsettled(members: DataFrame, found: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """found (rid, label) after all rows (bucket, rid, n) that share a bucket and have different labels were compared."""
-
-    def compared(found: DataFrame, pairs: DataFrame) -> DataFrame:
-        new = stored(links(pairs.select("a", "b").distinct(), sets, least), "links")
-        return found if new.isEmpty() else merged(found, new)
-
     rest = stored(apart(members, found, least), "rest")
     if rest.isEmpty():
         return found
-    few, leads = F.col("size") <= SMALL, F.col("rid") == F.col("head")
+    few = F.col("size") <= SMALL
     large = stored(rest.filter(~few).select("rid", "n").distinct(), "large")
     if large.isEmpty():
-        return compared(found, across(rest, least))
+        return compared(found, across(rest, least), sets, least)
     rarest = stored(by_rarest(large, sets, least), "rarest")
-    again = stored(apart(rarest, found, least), "again")
-    found = compared(found, across(rest.filter(few), least).unionByName(across(again, least, leads)))
+    found = settled(rarest, found, sets, least, across(rest.filter(few), least))
+    forget(rest, large, rarest)
+    return found
+
+
+def compared(found: DataFrame, pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """found (rid, label) after these pairs (a, b) were compared."""
+    new = stored(links(pairs.select("a", "b").distinct(), sets, least), "links")
+    return found if new.isEmpty() else merged(found, new)
+
+
+def settled(buckets: DataFrame, found: DataFrame, sets: DataFrame, least: float, more: DataFrame | None = None) -> DataFrame:
+    """found (rid, label) after all rows (bucket, rid, n, at) that share a bucket and have different labels were compared, and more pairs.
+
+    In each bucket one row leads first; what it does not join is then compared with all that sizes and places allow.
+    """
+    again, leads = stored(apart(buckets, found, least), "again"), F.col("rid") == F.col("head")
+    first = across(again, least, leads)
+    found = compared(found, first if more is None else first.unionByName(more), sets, least)
     # the rows that led have met all others of their buckets
     left = stored(apart(again.filter(~leads).select("bucket", "rid", "n", "at"), found, least), "rest")
     if not left.isEmpty():
-        found = compared(found, across(left, least))
-    forget(rest, large, rarest, again, left)
+        found = compared(found, across(left, least), sets, least)
+    forget(again, left)
     return found
 
 
@@ -314,7 +326,10 @@ def pruned(pairs: DataFrame, least: float) -> DataFrame:
 
 def one_of_each(documents: DataFrame, least: float = LEAST) -> DataFrame:
     """documents without all but one row of each class: the row of the smallest doc_id; columns unchanged, whatever their names."""
-    rows = stored(classes(documents, least).groupBy("doc_id", "key", "rep_id", "rep_key").agg(F.count("*").alias("n")), "classes")
+    # written before it is counted: a join that feeds a count by the same key could not be split where many texts are equal
+    every = stored(classes(documents, least), "classes")
+    rows = stored(every.groupBy("doc_id", "key", "rep_id", "rep_key").agg(F.count("*").alias("n")), "rows")
+    forget(every)
     key, gone_id, gone_key = (unused(documents.columns, x) for x in ("_key", "_gone_id", "_gone_key"))
     stays = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("key") == F.col("rep_key"))
     named = (F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key))

@@ -6,8 +6,8 @@ anchors, so it adds few signatures. The likeness of two fingerprints is the Jacc
 
 similar() joins a whole table with itself: fingerprints are partitioned by set length (only lengths within the
 threshold can match), and within neighbouring partitions by the rarest signatures, of which a matching pair must share
-one; what is left is compared through a pruned Jaccard. Links are between distinct fingerprints; equal ones are members
-of one class and are never expanded into pairs.
+one; what is left is compared through a pruned Jaccard. Equal fingerprints are members of one class, and so are those that
+links join; classes are never expanded into pairs.
 
 Defined results: a null text is empty; an empty text, or one without a word, has the empty fingerprint; a text with words but
 without a whole chain has one signature, of all its words. Two empty fingerprints are alike (1.0), an empty one and
@@ -18,6 +18,7 @@ is the first, and that of a single document is itself.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import slices, stored
+from tidemill.llm import neardup
+from tidemill.llm.common import in_arrow, local, slices, stored
 
 # Frequent function words of English, German, French and Spanish.
 ANCHORS = frozenset(
@@ -82,37 +84,43 @@ def prints(documents: DataFrame) -> DataFrame:
             found = [sorted(signatures(t)) for t in texts]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(map(len, found), pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=schema.names)
 
-    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return in_arrow(documents.select("doc_id", F.col("text").cast("string").alias("text")), run, schema)
 
 
-def similar(documents: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """(members: doc_id, class_id), (links: a, b, likeness) between classes of distinct fingerprints.
+def similar(documents: DataFrame, least: float = 0.8) -> DataFrame:
+    """doc_id, class_id: documents whose fingerprints are linked, directly or through others, by that much likeness.
 
-    Two sets of likeness t share one of the first n - ceil(t * n) + 1 signatures of each, in any fixed order; the order
-    here is from rare to frequent, so that frequent signatures hardly ever gather rows.
+    Two sets of likeness t share one of the first n - ceil(t * n) + 1 signatures of each, in any fixed order (here from rare to
+    frequent), and their lengths fall into the same or neighbouring length classes, each a factor t wide; so a row of either
+    meets the other in a bucket of signature and length class. Within buckets sets that sizes and places allow are compared (the
+    pruned Jaccard), first with one that leads: what it joins needs no more comparing. Equal fingerprints are one set.
     """
-    import math
-
     own = stored(prints(documents).withColumn("key", F.sha2(F.concat_ws(",", F.col("signatures").cast("array<string>")), 256)), "spots")
-    members = own.groupBy("key").agg(F.min("doc_id").alias("class_id"))
-    sets = stored(own.filter("n_signatures > 0").dropDuplicates(["key"]).select("key", "n_signatures", "signatures"), "spot-sets")
-    counts = sets.select(F.explode("signatures").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
-    ranked = sets.select("key", "n_signatures", F.explode("signatures").alias("s")).join(counts, "s")
-    ordered = ranked.groupBy("key", "n_signatures").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "s"))), lambda x: x["s"]).alias("ordered"))
-    first = F.col("n_signatures") - F.ceil(F.lit(least) * F.col("n_signatures") - 1e-9) + 1
-    length = F.floor(F.log("n_signatures") / -math.log(least)).cast("int")
-    heads = ordered.select("key", "n_signatures", length.alias("part"), F.explode(F.slice("ordered", F.lit(1), first.cast("int"))).alias("s"))
-    left = heads.select(F.col("key").alias("a"), F.col("n_signatures").alias("n_a"), "s", F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
-    right = heads.select(F.col("key").alias("b"), F.col("n_signatures").alias("n_b"), "s", "part")
-    near = (F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))
-    pairs = left.join(right, ["s", "part"]).filter(near & (F.col("n_a") >= F.lit(least) * F.col("n_b") - 1e-9)).select("a", "b").distinct()
-    whole = sets.select("key", "signatures")
-    both = pairs.join(whole.toDF("a", "x"), "a").join(whole.toDF("b", "y"), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    links = both.withColumn("likeness", shared / (F.size("x") + F.size("y") - shared)).filter(F.col("likeness") >= least - 1e-9)
-    names = members.select("key", "class_id")
-    links = links.join(names.toDF("a", "class_a"), "a").join(names.toDF("b", "class_b"), "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "likeness")
-    return own.join(names, "key").select("doc_id", "class_id"), links
+    sets = own.groupBy("key").agg(F.min("doc_id").alias("doc"), F.first("n_signatures").cast("long").alias("n"), F.first("signatures").alias("s"))
+    sets = stored(sets.withColumn("rid", F.monotonically_increasing_id()), "spot-sets")
+    full = sets.filter("n > 0").select("rid", "n", "s")
+    length = F.floor(F.log("n") / -math.log(least) + 1e-9) if least < 1 else F.col("n")
+    rows = neardup.by_rarest(full.select("rid", "n"), full.select("rid", "s"), least)
+    rows = rows.select(F.explode(F.array(length, length + 1)).alias("part"), "bucket", "rid", "n", "at").select(F.xxhash64("bucket", "part").alias("bucket"), "rid", "n", "at")
+    rows, none = stored(rows, "spot-buckets"), full.select("rid", F.col("rid").alias("label")).limit(0)
+    found = neardup.settled(rows, none, full, least)
+    named = sets.join(found, "rid", "left").select("key", "doc", F.coalesce("label", "rid").alias("label"))
+    heads = named.groupBy("label").agg(F.min("doc").alias("class_id"))
+    return own.select("doc_id", "key").join(named.join(heads, "label").select("key", "class_id"), "key").select("doc_id", "class_id")
+
+
+#: Bytes of the input, as Spark estimates them from its files, that one of compare()'s partitions is made for.
+PART_BYTES = 8 << 20
+#: Beyond so many partitions they grow instead (the estimate of a table without files is no use).
+MOST_PARTS = 20_000
+#: Cuts that a row is compared with at a time to find its partition.
+STRIDE = 128
+
+
+def parts_of(documents: DataFrame) -> int:
+    """How many partitions documents are worth, by their size."""
+    size = int(documents.select("doc_id", "text")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, min(-(-size // PART_BYTES), MOST_PARTS))
 
 
 def in_order(documents: DataFrame, parts: int) -> DataFrame:
@@ -125,20 +133,17 @@ def in_order(documents: DataFrame, parts: int) -> DataFrame:
     rows = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     shares = [i / parts for i in range(1, parts)]
     cuts = (rows.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), 10 * parts).alias("q")).first()["q"] if shares else None) or []
-    cuts = sorted(set(cuts))
-
-    @F.pandas_udf("int")
-    def place(ids):
-        import numpy as np
-
-        return ids.isna().map({True: 0, False: 0}).astype("int32") + np.where(ids.isna(), 0, np.searchsorted(cuts, ids.fillna(0), side="right")).astype("int32")
-
-    rows = rows.withColumn("_part", place("doc_id"))
+    kind, cuts = rows.schema["doc_id"].dataType.simpleString(), sorted(set(cuts))
+    listed = lambda some: F.array(*map(F.lit, some)).cast(f"array<{kind}>")
+    below = lambda some: F.size(F.filter(some, lambda c: c <= F.col("doc_id")))
+    # the number of cuts at or below doc_id, in two steps; null comes last of all, with the smallest
+    coarse = F.greatest(below(listed(cuts[::STRIDE])) - 1, F.lit(0)) * STRIDE
+    rows = rows.withColumn("_coarse", coarse).withColumn("_part", F.when(F.col("doc_id").isNull(), 0).otherwise(F.col("_coarse") + below(F.slice(listed(cuts), F.col("_coarse") + 1, F.lit(STRIDE)))))
     tops = sorted(rows.groupBy("_part").agg(F.max("doc_id").alias("top")).collect(), key=lambda r: r["_part"])
     ghosts = [(r["top"], tops[i + 1]["_part"], 1) for i, r in enumerate(tops[:-1])] + [(r["top"], tops[0]["_part"], 2) for r in tops[-1:]]
     if not ghosts:
         return rows.selectExpr("doc_id", "text", "0 _kind")
-    table = F.broadcast(spark.createDataFrame(ghosts, T.StructType([T.StructField("_top", rows.schema["doc_id"].dataType), T.StructField("_to", T.IntegerType()), T.StructField("_as", T.IntegerType())])).groupBy("_top").agg(F.collect_list(F.struct("_to", "_as")).alias("_ghosts")))
+    table = F.broadcast(local(spark, ghosts, T.StructType([T.StructField("_top", rows.schema["doc_id"].dataType), T.StructField("_to", T.IntegerType()), T.StructField("_as", T.IntegerType())])).groupBy("_top").agg(F.collect_list(F.struct("_to", "_as")).alias("_ghosts")))
     own = F.array(F.struct(F.col("_part").alias("_to"), F.lit(0).alias("_as")))
     rows = rows.join(table, rows["doc_id"].eqNullSafe(table["_top"]), "left")
     rows = rows.select("doc_id", "text", F.explode(F.concat(own, F.coalesce("_ghosts", F.array().cast("array<struct<_to:int,_as:int>>")))).alias("_at"))
@@ -183,4 +188,4 @@ def compare(documents: DataFrame, parts: int) -> DataFrame:
                 yield flush()
                 rows.clear()
 
-    return in_order(documents, parts).mapInArrow(run, schema)
+    return in_arrow(in_order(documents, parts), run, schema)
