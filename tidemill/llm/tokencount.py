@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.bpe import Kept, segments, split_at
-from tidemill.llm.common import PIECE, in_arrow, slices
-from tidemill.llm.pretokens import CHUNK, FRESH, Chunks, compose
+from tidemill.llm.common import in_arrow, slices
+from tidemill.llm.pretokens import FRESH, Chunks, compose
 from tidemill.llm.vocabulary import Vocabulary, vocabulary
 
 #: Transitions that a worker keeps (about 150 bytes each; beyond them it compiles anew), and pieces in each of two generations.
-TRANSITIONS, KEPT = 500_000, 120_000
+TRANSITIONS, KEPT = 600_000, 200_000
+#: Symbols of a chunk, and code points that are read at a time.
+CHUNK, BLOCK = 1024, 1 << 20
 #: No token; what is added to an emitted count so that it is above 0 (no token is longer, so none takes back as many).
 NONE, OFFSET = -1, 1 << 15
 
@@ -129,10 +131,10 @@ class Transducer:
                     for part in segments(run):
                         plain.append(part)
                         owner.append(i)
-        # blocks of about PIECE code points, whatever the length of a text
+        # blocks of about BLOCK code points, whatever the length of a text
         ends, at = np.cumsum([len(p) for p in plain]), 0
         while at < len(plain):
-            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE, side="right")))
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK, side="right")))
             np.add.at(out, owner[at:stop], self.plain(plain[at:stop]))
             at = stop
         return out.tolist()
@@ -154,7 +156,7 @@ def count(documents: DataFrame, path: str, limit: int = 512) -> DataFrame:
 
     def run(batches):
         machine = transducer(path)
-        for part, texts in slices(batches, "text", PIECE):
+        for part, texts in slices(batches, "text", BLOCK):
             n = pa.array(machine.texts(texts), pa.int64())
             size = pc.fill_null(pc.binary_length(part.column("text")), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, n, pc.greater(n, limit)], names=schema.names)
