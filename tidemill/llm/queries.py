@@ -48,7 +48,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "media")
     index = media.media_index(table(spark, sf_dir, "documents"), root)
-    rows = media.with_features(media.with_metadata(index, root), root)
+    rows = media.with_features(media.with_metadata(media.dealt(index), root), root)
     return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bits")
 
 
@@ -62,7 +62,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spots.compare(table(spark, sf_dir, "documents"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    documents = table(spark, sf_dir, "documents")
+    return spots.compare(documents, spots.parts_of(documents))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,11 +71,12 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.extract(table(spark, sf_dir, "pages"))
+    rows = table(spark, sf_dir, "pages")
+    return pages.extract(rows, pages.learn(rows))
 
 
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path(), ids=False)
+    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path(), ids=False, keep=True)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,9 @@ import json
 
 #: Pairs of tokens that a worker remembers (about 100 bytes each).
 KNOWN = 200_000
+#: Bits that hold a token's id.
+BITS = 20
+TOKEN = (1 << BITS) - 1
 
 
 def byte_letters() -> dict[str, int]:
@@ -43,8 +46,10 @@ class Vocabulary:
                 raise ValueError(f"merge {n} uses a token that is merged later; encodings by neighbours need an ordered merge list")
             if whole not in self.parts:
                 self.parts[whole], self.born[whole] = pair, n
-        #: every beginning of a token: its id if it is a token itself, else -1
+        #: every beginning of a token: its id if it is a token itself, else -1, or -2 less what ending() says once that is known
         self.nodes = {b[:i]: -1 for b in self.id_of for i in range(1, len(b))} | self.id_of
+        #: of each token what ending() says, once that is known
+        self.shorter = [0] * (max(self.bytes_of) + 1)
         self.known: dict[int, bool] = {}
         self.spines: tuple[dict, dict] = ({}, {})
 
@@ -65,9 +70,23 @@ class Vocabulary:
             self.spines[side][token] = got
         return got
 
+    def ending(self, node: bytes) -> int:
+        """The longest token that node ends in besides itself: its length and id, in one number. Worked out once for each node."""
+        for i in range(1, len(node)):
+            token = self.nodes.get(node[i:], -1)
+            if token >= 0:
+                told = (len(node) - i) << BITS | token
+                own = self.nodes[node]
+                if own < 0:
+                    self.nodes[node] = -2 - told
+                else:
+                    self.shorter[own] = told
+                return told
+        raise ValueError(f"no token of the vocabulary ends {node!r}")
+
     def neighbours(self, a: int, b: int) -> bool:
         """Whether some encoding has a directly before b."""
-        key = a << 20 | b
+        key = a << BITS | b
         got = self.known.get(key)
         if got is None:
             got = True
