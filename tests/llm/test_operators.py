@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm import bpe, chat, darts, langid, media, mixing, neardup, pages, pretokens, queries, samples, spots, tokencount, toxicity
+from tidemill.llm.codes import pack
 from tidemill.llm.vocabulary import vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -60,25 +61,47 @@ def test_chat_round_trip(spark):
 def test_chat_layouts(spark):
     payloads = [
         '{"messages":[{"content":"hi","role":"user"},{"role":"assistant","content":"yo"}]}',
-        '{"conversations":[{"from":"human","value":"hi"},{"from":"gpt","value":"yo"}]}',
-        '{"response":"yo","prompt":"hi"}',
+        '{"conversations":[{"from":"human","value":"hi"},{"from":"gpt","value":"yo"}],"id":7}',
+        '{"response":"yo","prompt":"hi","source":"x","tags":["a","b"]}',
+        '{"id":"a","messages":[{"content":"hi","role":"user","name":"Bo"},{"role":"assistant","content":"yo","id":3}],"score":0.5}',
         '{"instruction":"do","input":"this","output":"done"}',
+        '{"messages":[]}',
+        '{"prompt":"hi","response":null}',
         '{"other":1}',
+        '{"messages":{"role":"user","content":"hi"}}',
         "not json",
         None,
     ]
     got = [r.asDict(True) for r in chat.canonical(spark.createDataFrame([(p,) for p in payloads], "payload string"), "payload").collect()]
-    assert [r["layout"] for r in got] == ["messages", "shares", "prompt-response", "instruction-input", None, None, None]
-    assert all([(t["role"], t["text"]) for t in r["turns"]] == [("user", "hi"), ("assistant", "yo")] for r in got[:3])
-    assert got[3]["turns"][0]["text"] == "do\nthis" and got[4]["turns"] is None
+    assert [r["layout"] for r in got] == ["messages", "shares", "prompt-response", "messages", "instruction-input", "messages", "prompt-response", None, None, None, None]
+    assert all([(t["role"], t["text"]) for t in r["turns"]] == [("user", "hi"), ("assistant", "yo")] for r in got[:4])
+    assert got[4]["turns"][0]["text"] == "do\nthis" and got[5]["turns"] == [] and len(got[6]["turns"]) == 1 and got[7]["turns"] is None
 
 
-def test_chat_fingerprints_of_tables_and_payloads_agree(spark):
-    from pyspark.sql import types as T
+def test_declared_fingerprints_are_those_of_payloads(spark):
+    examples = [e for m in chat.MAPPINGS for e in m.examples] + ['{"id":1,"b":{"a":[1,2],"c":{"name":"x","z":[{"q":null}]}},"tags":["x"],"meta":{"k":1}}']
+    got = spark.createDataFrame([(e,) for e in examples], "e string").select("e", chat.fingerprint(F.col("e")).alias("f")).collect()
+    assert all(r["f"] == chat.declared(r["e"]) for r in got) and len({r["f"] for r in got}) == len(examples)
 
-    kind = T._parse_datatype_string("messages array<struct<role:string,content:string>>, id long")
-    got = spark.range(1).select(chat.fingerprint(F.lit('{"id":1,"messages":[{"role":"a","content":"b"}]}'))).first()[0]
-    assert hashlib.sha256(chat.shape(kind).encode()).hexdigest() == got
+
+def test_chat_rows_come_through_several_layouts(spark):
+    rows = [(c, t, r, f"{r} {c} {t}" if c % 9 else "") for c in range(60) for t, r in enumerate(("system", "user", "assistant", "user", "user", "assistant", "assistant"))]
+    told = chat.canonical(chat.payloads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), "payload").collect()
+    assert {r["layout"] for r in told} == {"messages", "shares", "prompt-response", "instruction", "question-answer"}
+    spoken = Counter((r["conv_id"], r["n"] + i, t["role"], t["text"]) for r in told for i, t in enumerate(r["turns"]))
+    assert spoken == Counter((c, t + 1, r, x) for c, t, r, x in rows)
+
+
+def test_chat_query_equals_its_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("conversations",):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    want = con.sql(queries.ORACLE_SQL["op1_chat_format"])
+    got = queries.op1_chat_format(spark, SF)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(tuple(r[c] for c in want.columns) for r in got.collect()) == sorted(want.fetchall())
 
 
 # 2 and 10
@@ -119,16 +142,63 @@ def test_classifiers_on_odd_rows(spark, odd):
     assert langid.identify(empty, langid.learn(empty)).count() == 0 and toxicity.score(empty, toxicity.learn(empty, labels)).count() == 0
 
 
-def test_samples_keep_frequent_labels_and_as_many_labels_as_asked(spark):
+def test_samples_keep_frequent_labels_and_all_labels(spark):
     frequent = spark.range(3_000_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("label"))
-    assert 1 <= samples.pick(frequent, 2)[0].count() <= 2
+    assert 1 <= samples.pick(frequent, 2, 100)[0].count() <= 3
     many = spark.range(600).select(F.col("id").alias("doc_id"), (F.col("id") % 300).cast("string").alias("label"))
-    chosen, counts = samples.pick(many, 10, most_classes=300)
+    chosen, counts = samples.pick(many, 10, 10_000)
     assert chosen.count() == 600 and len(counts) == 300
-    with pytest.warns(UserWarning, match="more than 256 labels"):
-        assert len(samples.pick(many, 10)[1]) == 256
+    few, counts = samples.pick(many, 10, 300)
+    assert 200 < few.count() <= 376 and len(counts) == 300
     words = many.select("doc_id", F.concat(F.lit("w"), "label").alias("text"), F.col("label").alias("lang"))
-    assert len(langid.learn(words, langid.Parameters(per_class=10, most_classes=300, epochs=1)).languages) > 256
+    assert len(langid.learn(words, langid.Parameters(per_class=10, epochs=1)).languages) > 256
+
+
+def test_very_long_texts_score_as_the_sum_of_their_parts(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    models = toxicity.learn(docs, labels), langid.learn(docs)
+    texts = [r["text"] for r in docs.filter("n_chars > 3000").limit(20).collect()] + ["", "x" * 5000, "\u0391\u03a3 " * 2000]
+    whole = models[0].score(texts), models[1].predict(texts), darts.words(texts)
+    for module in (toxicity, langid, darts):
+        monkeypatch.setattr(module, "PIECE", 900)
+        monkeypatch.setattr(module.pieces_of, "__defaults__", (900,))
+    parts = models[0].score(texts), models[1].predict(texts), darts.words(texts)
+    plain = [i for i in range(len(texts)) if i != len(texts) - 2]
+    assert np.allclose(whole[0][plain], parts[0][plain]) and [whole[1][0][i] for i in plain] == [parts[1][0][i] for i in plain] and np.allclose(whole[1][1][plain], parts[1][1][plain], atol=2e-6)
+    for i in plain:
+        assert np.array_equal(*(h[at[i] : at[i + 1]] for h, at in (whole[2], parts[2])))
+
+
+def brute_grams(word, orders, bits):
+    """Buckets of a word's n-grams, one code point at a time."""
+    from tidemill.llm.codes import mix
+
+    codes, out = [1, *map(ord, word), 1], []
+    for n in orders:
+        for i in range(len(codes) - n + 1):
+            h = codes[i] * 0x9E3779B97F4A7C15 % 2**64
+            for c in codes[i + 1 : i + n]:
+                h = (h * 0x100000001B3 + c) % 2**64
+            out.append(int(mix(np.array([(h + n) % 2**64], np.uint64))[0] >> np.uint64(64 - bits)))
+    return out
+
+
+def test_classifiers_equal_a_slow_scorer(spark):
+    """Every score from its definition, word by word and n-gram by n-gram."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    tox, lang = toxicity.learn(docs, labels), langid.learn(docs)
+    got = {r["doc_id"]: r for r in toxicity.score(docs, tox, names=("tox", "bad")).collect()}
+    told = {r["doc_id"]: r for r in langid.identify(docs, lang).collect()}
+    for r in docs.filter("n_chars < 1500").limit(40).collect():
+        words = re.findall(r"[^\W_]+", r["text"].lower())
+        value = {w: float(np.mean([tox.table[b] for b in brute_grams(w, tox.orders, tox.bits)] or [0.0])) for w in set(words)}
+        top = sorted({round(v, 9) for v in value.values()}, reverse=True)[: tox.top]
+        z = np.mean(top) + tox.bias if top else -30.0
+        assert got[r["doc_id"]]["tox"] == pytest.approx(1 / (1 + np.exp(-z)), abs=2e-6) and got[r["doc_id"]]["bad"] == (got[r["doc_id"]]["tox"] >= 0.3)
+        grams = [b for w in words for b in brute_grams(w, lang.orders, lang.bits)]
+        z = (np.mean([lang.table[b] for b in grams], axis=0) if grams else 0) + lang.bias
+        p = np.exp(z / lang.heat - np.max(z / lang.heat))
+        assert told[r["doc_id"]]["score"] == pytest.approx((p / p.sum()).max() if re.search(r"[^\W\d_]", r["text"]) else 0.0, abs=2e-6)
 
 
 # 3
@@ -221,17 +291,64 @@ def test_tokens_equal_the_librarys(library, documents):
     want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
     v = vocabulary(queries.vocabulary_path())
     assert bpe.Encoder(v, kept=500).encode(texts) == want
-    machine = tokencount.Transducer(v)
-    assert machine.texts(texts) == list(map(len, want))
+    assert tokencount.Transducer(v).texts(texts) == list(map(len, want))
+    assert tokencount.Transducer(v, chunk=8).texts(texts) == list(map(len, want))
     assert [bpe.decode(ids, v) for ids in want] == texts
 
 
+def test_long_texts_in_segments(library, monkeypatch):
+    v = vocabulary(queries.vocabulary_path())
+    texts = [LONG[:90_000], "x" * 700 + "<|endoftext|>" * 40 + "12ab 's \n\n  b\n" * 300, "<|endoftext|>", "\n \n" * 900 + "a1b2" * 400]
+    monkeypatch.setattr(bpe, "PIECE", 200)
+    monkeypatch.setattr(tokencount, "BLOCK", 200)
+    monkeypatch.setattr(bpe.segments, "__defaults__", (50,))
+    n, digests, back, ids = bpe.Encoder(v).read(texts)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [i for x in ids for i in x.to_pylist()] == [i for x in want for i in x] and n == list(map(len, want)) == tokencount.Transducer(v).texts(texts)
+    assert digests == [hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in want] and back == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+    assert ["".join(bpe.segments(t, 50)) for t in texts] == texts and len(list(bpe.segments(texts[0], 50))) > 1000
+
+
 def test_pieces_do_not_depend_on_chunks():
-    from tidemill.llm.codes import pack
+    texts = odd_texts(300)
+    want = pretokens.Chunks(texts, 1 << 13).starts()
+    assert all(np.array_equal(want, pretokens.Chunks(texts, c).starts()) for c in (1, 2, 7, 256))
+    assert pretokens.pieces(texts) == [bpe.CUT.findall(t) for t in texts] and pretokens.SETTLED < 8
 
-    symbols = pretokens.symbols(*pack(odd_texts(300)))
-    want = pretokens.starts(symbols, 1 << 22)
-    assert all(np.array_equal(want, pretokens.starts(symbols, c)) for c in (1, 2, 7, 256))
+
+def test_composed_maps_hold_for_every_entry():
+    """A chunk's count by the state it is entered in: that of the rest of a text from there, read one symbol at a time."""
+    v = vocabulary(queries.vocabulary_path())
+    machine = tokencount.Transducer(v, chunk=8)
+    assert machine.texts([]) == [] and machine.texts([""]) == [0]
+    rng = np.random.default_rng(5)
+    maps = rng.integers(0, 8, (37, 8)).astype(np.uint8)
+    counts = rng.integers(-3, 9, (37, 8))
+    state, total = np.arange(8), np.zeros(8, int)
+    got = pretokens.compose(maps, counts)
+    for i in range(37):
+        total, state = total + counts[i][state], maps[i][state]
+        assert np.array_equal(got[0][i], state) and np.array_equal(got[1][i], total)
+    # what each chunk emits by its entry, against reading on from there symbol by symbol
+    texts = [t for t in odd_texts(40) if "<|endoftext|>" not in t][:30] + ["it's 'll 're we'd've '' 'x", "  a  b\n\n c"]
+    chunks, counted = machine.annotated(texts)
+    codes, stops = pack(texts)
+    symbol, every = pretokens.symbols(codes, stops), "\n".join(texts) + "\n"
+    back = {int(g): i for i, g in enumerate(chunks.place)}
+    for row in range(len(chunks.maps)):
+        if row * 8 not in back:
+            continue
+        first = back[row * 8]
+        text = int(np.searchsorted(stops, first))
+        for entry in range(8):
+            at, cuts, state = first, [], entry
+            while at <= stops[text]:
+                if pretokens.MARK[symbol[at] * 8 + state]:
+                    cuts.append(at)
+                state = int(pretokens.GO[symbol[at] * 8 + state])
+                at += 1
+            own = [(a, b) for a, b in zip(cuts, cuts[1:]) if a < first + 8]
+            assert counted[row][entry] == sum(machine.run(every[a:b].encode()) for a, b in own), (row, entry)
 
 
 def test_token_queries(spark, odd, library):
@@ -284,14 +401,35 @@ def test_spots_equal_brute_force(spark, documents, odd, parts):
     assert len(one) == 1 and one[0]["near_next"] == 1.0
 
 
-def test_spot_join_equals_brute_force(spark, documents):
-    members, links = spots.similar(documents, 0.7)
-    sets = {r["doc_id"]: spots.signatures(r["text"]) for r in documents.collect()}
-    classes = {r["doc_id"]: r["class_id"] for r in members.collect()}
-    assert all((sets[a] == sets[b]) == (classes[a] == classes[b]) for a in sets for b in sets)
-    heads = sorted(set(classes.values()))
-    want = {(a, b) for a in heads for b in heads if a < b and sets[a] and sets[b] and spots.likeness(sets[a], sets[b]) >= 0.7}
-    assert {tuple(sorted((r["a"], r["b"]))) for r in links.collect()} == want
+@pytest.mark.parametrize("least", [0.7, 0.8])
+def test_spot_join_equals_brute_force(spark, documents, odd, monkeypatch, least):
+    monkeypatch.setattr(neardup, "BLOCK", 40)
+    rng = np.random.default_rng(8)
+    base = " ".join(f"the {a} {b}" for a, b in zip(rng.integers(0, 900, 60), rng.integers(0, 900, 60))).split()
+    near = [(5000 + i, " ".join(w if rng.random() > 0.004 * (i % 9) else f"z{i}" for w in base[: 180 - 3 * (i % 5)])) for i in range(80)]
+    df = documents.select("doc_id", "text").unionByName(spark.createDataFrame(near, "doc_id long, text string")).unionByName(odd.filter("doc_id != 6").select((F.col("doc_id") + 9000).alias("doc_id"), "text"))
+    rows = [(r["doc_id"], spots.signatures(r["text"] or "")) for r in df.collect()]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (_, a) in enumerate(rows):
+        for j in range(i):
+            b = rows[j][1]
+            if a == b or (a and b and len(a & b) >= least * len(a | b) - 1e-9):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    want: dict = {}
+    for i, (doc, _) in enumerate(rows):
+        want.setdefault(root(i), []).append(doc)
+    got: dict = {}
+    for r in spots.similar(df, least).collect():
+        got.setdefault(r["class_id"], []).append(r["doc_id"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and all(k == min(v) for k, v in got.items())
+    assert spots.similar(odd.limit(0)).count() == 0
 
 
 # 7
@@ -351,10 +489,10 @@ def test_near_duplicates_equal_brute_force(spark, documents, odd):
     assert kept.columns == df.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter({i for _, i in got})
 
 
-@pytest.mark.parametrize("most", [0, 8, neardup.MOST])
-def test_large_buckets_go_on_until_all_is_compared(spark, documents, monkeypatch, most):
+@pytest.mark.parametrize("block", [1, 50, neardup.BLOCK])
+def test_large_buckets_go_on_until_all_is_compared(spark, documents, monkeypatch, block):
     monkeypatch.setattr(neardup, "SMALL", 2)
-    monkeypatch.setattr(neardup, "MOST", most)
+    monkeypatch.setattr(neardup, "BLOCK", block)
     monkeypatch.setattr(neardup, "ROWS", 1)
     monkeypatch.setattr(neardup, "BANDS", 6)
     df = documents.filter("doc_id < 60").select("doc_id", "text")
@@ -457,9 +595,115 @@ def test_closed_elements_in_paragraphs():
     assert pages.main_text(ARTICLE.format("<p>Then this.</p><script>var a = '<svg>';")) == "Title\n\nSome prose of the first kind here.\n\nThen this."
 
 
+@pytest.mark.parametrize(
+    "source,want",
+    [
+        (ARTICLE.format("<div class='ad'>" + "buy this now " * 25 + "</div>"), PROSE.format("")),
+        (ARTICLE.format("<div class='read-more'><p>A paragraph of the article.</p></div>"), PROSE.format("\n\nA paragraph of the article.")),
+        ("<p title=it's>One two three.</p><p>Four five six.</p><p>Seven isn't it.</p>", "One two three.\n\nFour five six.\n\nSeven isn't it."),
+        ("<p title='a > b' class=x>One two three.</p>", "One two three."),
+        ("<head><title>Name<body><article><p>One two three four.</p></article>", "One two three four."),
+        ("<article><p>One two three.</p><textarea>draft<p>Four five six.</p></article>", "One two three.\n\nFour five six."),
+        ("<div class='content'><p>One two three four five.</p><div class='advert'>" + "buy " * 80 + "</div><p>Six seven.</p></div><div class='comments'><p>Great post.</p></div>", "One two three four five.\n\nSix seven."),
+        ("<p>a = b < c</p>", "a = b < c"),
+    ],
+)
+def test_pages_lose_no_text(source, want):
+    assert pages.main_text(source) == want
+
+
+def test_weights_learned_from_the_tables_pages(spark):
+    """Held-out pages are exact with weights of the others, and an empty table leaves those of the pages made here."""
+    import html
+
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    w = pages.learn(table)
+    assert w.names["<article>"] > 1 and w.names["ad"] < -1
+    got = {r["page_id"]: r["text"] for r in pages.extract(table, w).collect()}
+    for r in table.collect():
+        inner = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"</?b>", "", b).replace("<br>", " "))).strip() for b in re.split(r"</?(?:p|h1)>", inner)]
+        assert got[r["page_id"]] == "\n\n".join(b for b in blocks if b)
+    assert pages.learn(table.limit(0)).names == pages.weights().names and pages.extract(table.limit(0)).count() == 0
+
+
+# the queries as they are registered
+
+COLUMNS = {
+    "op1_chat_format": "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
+    "op2_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op3_media_columns": "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string",
+    "op4_source_mix": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op5_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op6_spot_signatures": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
+    "op7_near_duplicates": "doc_id bigint, class_id bigint",
+    "op8_main_text": "page_id bigint, url string, text string, n_chars bigint",
+    "op9_bpe_codec": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op10_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+}
+
+
+def test_registered_queries_against_brute_force(spark, documents, library):
+    got = {}
+    assert set(COLUMNS) == set(queries.QUERIES)
+    for name, told in COLUMNS.items():
+        df = queries.QUERIES[name](spark, SF)
+        types = dict(df.dtypes)
+        assert {c.split()[0]: c.split()[1] for c in told.split(", ")}.items() <= types.items(), name
+        got[name] = [r.asDict() for r in df.collect()]
+    docs = sorted(((r["doc_id"], r["text"] or "") for r in documents.collect()), key=lambda r: -r[0])
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    by = {n: {r["doc_id"]: r for r in rows} for n, rows in got.items() if n not in ("op1_chat_format", "op8_main_text")}
+    assert all(len(got[n]) == len(docs) == len(by[n]) for n in by)
+    spotted = {i: (n, digest, a, b) for i, n, digest, a, b in brute_spots(docs)}
+    classes = dict(brute_classes(docs))
+    for i, text in docs:
+        data, payload = text.encode(), media.padded(text.encode())
+        r = by["op3_media_columns"][i]
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"], r["feature"]) == (len(data), len(payload), sha(payload), zlib.crc32(payload[-16:]), media.feature(payload))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(media.to_png(payload)), sha(media.to_png(payload)))
+        ids = library.encode(text, add_special_tokens=False).ids
+        r = by["op5_token_counts"][i]
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(data), len(ids), len(ids) > 512)
+        r = by["op9_bpe_codec"][i]
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), sha(",".join(map(str, ids)).encode()), sha(data))
+        r = by["op6_spot_signatures"][i]
+        assert (r["n_chars"], r["edited_sha256"], r["near_edited"], r["near_next"]) == spotted[i]
+        assert by["op7_near_duplicates"][i]["class_id"] == classes[i]
+        r = by["op4_source_mix"][i]
+        assert r["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", text)) and r["taken"] <= 3 * r["size"]
+        for n in ("op2_toxicity", "op10_language_id"):
+            assert by[n][i]["held_out"] == folded(i) and 0 <= by[n][i]["score"] <= 1
+        assert by["op2_toxicity"][i]["predicted"] == int(by["op2_toxicity"][i]["score"] >= 0.3)
+
+
 # the pipeline
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_runs_on_odd_rows(spark, tmp_path, empty):
+    """Odd, repeated and empty rows, and columns that the stages use themselves, in any case of letters."""
+    import corpus_pipeline as c
+
+    text = "the quick brown fox and the lazy dog are in the garden with all of the others"
+    rows = [*[(r[0], r[1], r[2], r[3], r[4]) for r in ODD], *[(100 + i, f"{text} number{i} {'x' * (i % 7)} and so on it goes with {i * 7919}", "en", "a", 90) for i in range(40)]]
+    rows += [(200 + i, f"der schnelle braune fuchs und der faule hund sind im garten mit {i * 7907} anderen tieren", "de", "b", 80) for i in range(40)]
+    more = [(*r, 0.5, 1, "xx", "k", 3, True, "p") for r in rows]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, Score double, Predicted int, lang_pred string, _key string, size int, accepted boolean, _score string"
+    docs = spark.createDataFrame(more, kinds).limit(0 if empty else len(more))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(100 + i, 1, int(i % 4 == 0)) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert c.run(spark, str(tmp_path)).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    seen = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in c.STAGES[:-1]:
+        before = Counter(map(str, seen.collect()))
+        seen = neardup.stored(stage(spark, seen, str(tmp_path)), name)
+        assert seen.schema.names == docs.schema.names, name
+        after = Counter(map(str, seen.collect()))
+        assert set(after) <= set(before) and all(n <= before[r] for r, n in after.items() if name != "mix"), name
+    assert bool(seen.count()) != empty
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as c
 
