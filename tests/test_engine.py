@@ -432,6 +432,22 @@ def test_streaming(spark, tmp_path):
     assert got == {(0, 1, "new"), (0, 2, "new"), (1, 1, "closed"), (1, 2, "changed"), (1, 3, "new")}
 
 
+def test_streaming_dedup_and_counts(spark, tmp_path):
+    kind = "k int, v string, at timestamp, status int"
+    rows = [(i % 7, f"v{i}", dt.datetime(2026, 1, 1, i % 4, 30), 200 if i % 3 else 503) for i in range(40)]
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{tmp_path}/src")
+    stream = spark.readStream.schema(kind).parquet(f"{tmp_path}/src")
+    incremental.keep_first(stream, ["k"], "at", "9 hours").writeStream.format("memory").queryName("firsts").trigger(availableNow=True).start().awaitTermination(120)
+    got = spark.table("firsts").collect()
+    assert sorted(r["k"] for r in got) == list(range(7)) and all((r["k"], r["v"], r["at"], r["status"]) in rows for r in got)
+    counts = incremental.status_counts(stream, "at", "status", "1 hour", "1 hour").writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True)
+    counts.start().awaitTermination(120)
+    want = {}
+    for _, _, at, status in rows:
+        want[at.hour, status] = want.get((at.hour, status), 0) + 1
+    assert {(r["window"]["start"].hour, r["status"]): r["n"] for r in spark.table("counts").collect()} == want
+
+
 def test_walk_has_no_limit_and_cuts_cycles(spark):
     chain = [(f"c{i}", f"c{i + 1}") for i in range(10_500)]
     rows = [*chain, ("a", "b"), ("b", "c"), ("c", "b"), ("s", "s"), ("x", "c"), ("end", None), ("gone", "nowhere"), (None, "a"), ("far", "a"), ("d", "e"), ("d", "e"), ("e", "f"), ("f", "g"), ("m", "n"), ("m", "end")]

@@ -489,6 +489,12 @@ def links_resolved(spark, d):
     return table(spark, d, "pages").select("page_id", F.posexplode(parsers.links("html", "url")).alias("pos", "link"))
 
 
+@query("SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://[^/?#]+') AS origin, regexp_extract(url, '^[a-zA-Z]+://[^/?#]+') || '/y?z=1' AS absolute, 'http://other/x' AS other FROM pages")
+def urls_joined(spark, d):
+    at = lambda link: text.join_url(c("url"), lit(link))
+    return table(spark, d, "pages").select("page_id", fetchlog.origin(c("url")).alias("origin"), at("/x/../y?z=1").alias("absolute"), at("http://other/x").alias("other"))
+
+
 @query("SELECT doc_id, text, [lang, source] AS tags FROM documents")
 def embedded_json(spark, d):
     rows = F.to_json(F.array(F.struct("text", F.struct(c("source").alias("name")).alias("author"), F.array("lang", "source").alias("tags"))))
