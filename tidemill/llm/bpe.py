@@ -224,7 +224,7 @@ def encode(documents: DataFrame, path: str, ids: bool = True, keep: bool = False
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (of the ids read back as text) and, if asked for, ids.
 
     keep: workers keep the vocabulary and what they know of pieces, up to its bounds (about 150 MB each), for their next task.
-    That saves about a fifth of the time where no other stage of the same executors needs the memory.
+    That saves some time where no other stage of the same executors needs the memory.
     """
     schema = T.StructType(
         [T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]

@@ -118,9 +118,9 @@ STRIDE = 128
 
 
 def parts_of(documents: DataFrame) -> int:
-    """How many partitions documents are worth, by their size."""
+    """How many partitions documents are worth, by their size; as many as there are cores at least."""
     size = int(documents.select("doc_id", "text")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(1, min(-(-size // PART_BYTES), MOST_PARTS))
+    return max(documents.sparkSession.sparkContext.defaultParallelism, min(-(-size // PART_BYTES), MOST_PARTS))
 
 
 def in_order(documents: DataFrame, parts: int) -> DataFrame:
