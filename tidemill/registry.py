@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import places, text
 from tidemill.operators import contracts, extraction, fetchlog, snapshots, upserts
 from tidemill.plans import books, jobs, quotes
-from tidemill.sources import ingest, parsers, sinks
+from tidemill.sources import fetch, ingest, parsers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -464,6 +464,29 @@ def budget_topk(spark, d):
     return extraction.wanted(rows, texts, rank, "p_partkey", 25).select("description_sha1", "rank")
 
 
+def _reader(text_: str, fields: list[str]) -> dict[str, tuple[str, str]]:
+    """An extractor for the sentences: one answer that they bear, one with a made-up passage, one that its passage doesn't say."""
+    years = text_.split("+ years", 1)[0]
+    return {"min_years": (years, f"{years}+ years of experience"), "english_level": ("C2", "Native English"), "hours_per_week": ("99", "hours per week"), "unknown": ("1", "1")}
+
+
+@query(
+    rf"""WITH s AS ({SENTENCES}), q AS (SELECT sha1(t) AS description_sha1, min(t) AS t, min(CASE WHEN p_size > 40 THEN 0 WHEN p_size < 10 THEN 2 ELSE 1 END) AS rank, min(p_partkey) AS first_at FROM s JOIN part USING (p_partkey) GROUP BY 1),
+    a AS (SELECT * FROM q ORDER BY rank, first_at LIMIT 25)
+    SELECT description_sha1, 'min_years' AS field, regexp_extract(t, '^[0-9]+') AS value, true AS accepted, CAST(NULL AS VARCHAR) AS reason FROM a
+    UNION ALL SELECT description_sha1, 'english_level', 'C2', false, 'the text has no such passage' FROM a
+    UNION ALL SELECT description_sha1, 'hours_per_week', '99', false, 'the passage does not say so' FROM a"""
+)
+def extractor_answers(spark, d):
+    rows = _sentences(spark, d).withColumn("description_sha1", F.sha1("t"))
+    texts = rows.groupBy("description_sha1").agg(F.min("t").alias("text"))
+    for f in extraction.FIELDS:
+        rows = rows.withColumn(f, lit(None).cast("string"))
+    rank = F.when(c("p_size") > 40, 0).when(c("p_size") < 10, 2).otherwise(1)
+    told = extraction.extracted(extraction.wanted(rows, texts, rank, "p_partkey", 25), _reader)
+    return told.select("description_sha1", "field", "value", "accepted", "reason")
+
+
 # Parsers
 
 
@@ -638,6 +661,29 @@ def retry_wait(spark, d):
     return table(spark, d, "events").select("event_id", fetchlog.retry_delay(c("event_id") % 9, none, (c("event_id") % 4) / 4).alias("wait"))
 
 
+@query("SELECT event_id, CAST(event_id % 100 AS DOUBLE) AS seconds FROM events")
+def retry_after_dates(spark, d):
+    now = F.date_trunc("second", c("ts").cast("timestamp"))
+    header = F.date_format(F.timestamp_seconds(F.unix_seconds(now) + c("event_id") % 100), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    return table(spark, d, "events").select("event_id", fetchlog.told_delay(header, now).alias("seconds"))
+
+
+def _echo(request: fetch.Request) -> fetch.Answer:
+    """A site without a robots file whose pages hold their own address; every fifth is an error."""
+    if request.url.endswith("/robots.txt"):
+        return fetch.Answer(404, {}, b"")
+    return fetch.Answer(404 if len(request.url) % 5 == 0 else 200, {}, request.url.encode())
+
+
+@query(
+    """SELECT page_id AS n, url, CASE WHEN length(url) % 5 > 0 THEN 200 END AS status, CASE WHEN length(url) % 5 > 0 THEN url END AS body, 1 AS attempts, CAST(length(url) AS BIGINT) AS size,
+    CASE WHEN length(url) % 5 > 0 THEN 'ok' ELSE 'failed: status 404 from ' || url END AS outcome FROM pages"""
+)
+def page_fetch(spark, d):
+    rows = table(spark, d, "pages").select(c("page_id").alias("n"), "url")
+    return fetch.fetched(rows, transport=_echo, clock=float, sleep=abs)
+
+
 # Contracts of other tables, ordered results
 
 
