@@ -92,6 +92,19 @@ def test_chat_rows_come_through_several_layouts(spark):
     assert spoken == Counter((c, t + 1, r, x) for c, t, r, x in rows)
 
 
+def test_chat_keeps_roles_and_loses_no_turn(spark):
+    unread = "\x01" * (23 << 20)  # 138 MiB as JSON, beyond what a variant holds
+    roles = ("bot", "Model", "GPT", "human", "User", "assistant", "ASSISTANT", " user")
+    rows = [(1, t, r, f"{r} says") for t, r in enumerate(roles)] + [(2, 0, "user", unread), (2, 1, "system", "short"), (3, 0, "user", "hi"), (3, 1, "assistant", unread), (4, 0, "GPT", unread)]
+    got = chat.format_rows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = got.select("conv_id", chat.read_back(F.col("formatted")).alias("t"), chat.loss_text(F.col("formatted"), F.col("loss")).alias("l"))
+    got = {r["conv_id"]: r for r in got.select("conv_id", F.transform("t", lambda t: F.struct(t["role"], F.md5(t["text"]))).alias("t"), F.md5("l").alias("l")).collect()}
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    for c in (1, 2, 3, 4):
+        assert [tuple(t) for t in got[c]["t"]] == [(r, md5(x)) for i, _, r, x in rows if i == c]
+        assert got[c]["l"] == md5("".join(x for i, _, r, x in rows if i == c and r == "assistant"))
+
+
 def test_chat_query_equals_its_sql(spark):
     import duckdb
 

@@ -15,8 +15,10 @@ text can hold a mark. Loss spans are code point ranges of the assistant's escape
 Everything here is DataFrame functions. Defined results: null roles and texts are empty; rows of a conversation go by
 turn (null first), then role, then text, so ties and repeated rows have one order; a null conv_id is a conversation of
 its own; an empty list has no turns; an empty table gives an empty one; further columns are ignored, whatever their names. A
-payload of more than Spark's limit for one variant (128 MiB) is not read. A conversation becomes one string, so its turns
-meet in one task: that is the result asked for, and its size bounds the memory.
+payload that Spark can't parse (beyond its limit for one variant, 128 MiB) has no fingerprint: canonical() leaves its turns
+null, and format_rows() takes them from the table's own columns, so that every row's role and text come back as they went
+in. A conversation becomes one string, so its turns meet in one task: that is the result asked for, and its size bounds the
+memory.
 """
 
 from __future__ import annotations
@@ -38,18 +40,21 @@ IGNORED = ("id", "uid", "uuid", "name", "source", "dataset", "lang", "language",
 class Mapping:
     """A layout: its shapes as example payloads, and how its parts become turns.
 
-    kind list: parts are the list, role and text; fields: parts are (field, role) pairs in order, empty fields give no turn.
+    kind list: parts are the list, role and text, and roles (pairs of a role in any case of letters and its canonical one)
+    are the layout's own names, any other role being kept; fields: parts are (field, role) pairs in order, empty fields give
+    no turn.
     """
 
     name: str
     examples: tuple[str, ...]
     kind: str
     parts: tuple
+    roles: tuple = ()
 
 
 MAPPINGS = (
     Mapping("messages", ('{"messages": [{"role": "", "content": ""}]}', '{"messages": []}', '{"messages": [{"content": ""}]}'), "list", ("messages", "role", "content")),
-    Mapping("shares", ('{"conversations": [{"from": "", "value": ""}]}', '{"conversations": []}'), "list", ("conversations", "from", "value")),
+    Mapping("shares", ('{"conversations": [{"from": "", "value": ""}]}', '{"conversations": []}'), "list", ("conversations", "from", "value"), (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"))),
     Mapping("prompt-response", ('{"prompt": "", "response": ""}', '{"prompt": ""}'), "fields", (("prompt", "user"), ("response", "assistant"))),
     Mapping("prompt-completion", ('{"prompt": "", "completion": ""}',), "fields", (("prompt", "user"), ("completion", "assistant"))),
     Mapping("system-prompt-response", ('{"system": "", "prompt": "", "response": ""}',), "fields", (("system", "system"), ("prompt", "user"), ("response", "assistant"))),
@@ -57,7 +62,6 @@ MAPPINGS = (
     Mapping("instruction", ('{"instruction": "", "output": ""}',), "fields", (("instruction", "user"), ("output", "assistant"))),
     Mapping("instruction-input", ('{"instruction": "", "input": "", "output": ""}',), "fields", (("instruction+input", "user"), ("output", "assistant"))),
 )
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
 def paths(value: Column) -> Column:
@@ -84,18 +88,25 @@ def declared(example: str) -> str:
     return hashlib.sha256(told(json.loads(example)).encode()).hexdigest()
 
 
+def _role(told: Column, names: tuple) -> Column:
+    known = F.coalesce(told, F.lit(""))
+    for name, role in names:
+        known = F.when(F.lower(told) == name, role).otherwise(known)
+    return known
+
+
 def canonical(rows: DataFrame, payload: str, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """rows with layout (a mapping's name or null) and turns (array of role, text; null if the layout is unknown)."""
     known = rows.withColumn("_value", F.try_parse_json(F.col(payload)))
     known = known.withColumn("_fingerprint", F.sha2(paths(F.col("_value")), 256))
-    value, role = F.col("_value"), F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
+    value = F.col("_value")
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     mark = F.col("_fingerprint")
     for m in mappings:
         if m.kind == "list":
             path, who, what = m.parts
             items = F.try_variant_get(value, f"$.{path}", f"array<struct<`{who}`:string,`{what}`:string>>")
-            own = F.transform(items, lambda x: F.struct(F.coalesce(F.try_element_at(role, F.lower(x[who])), x[who], F.lit("")).alias("role"), F.coalesce(x[what], F.lit("")).alias("text")))
+            own = F.transform(items, lambda x: F.struct(_role(x[who], m.roles).alias("role"), F.coalesce(x[what], F.lit("")).alias("text")))
         else:
             built = []
             for field, who in m.parts:
@@ -108,7 +119,7 @@ def canonical(rows: DataFrame, payload: str, mappings: tuple[Mapping, ...] = MAP
 
 
 def payloads(turns: DataFrame) -> DataFrame:
-    """conv_id, n, payload: rows of a table (conv_id, turn, role, text) as JSON in several layouts.
+    """conv_id, n, payload, own: rows of a table (conv_id, turn, role, text) as JSON in several layouts, beside their turns.
 
     A user's text and the assistant's after it become one payload, in the layout that a hash of the conversation and the
     place say, if neither is empty; any other row is a list of one message. n is the place of a payload's first turn.
@@ -133,7 +144,10 @@ def payloads(turns: DataFrame) -> DataFrame:
     at, made = F.pmod(F.xxhash64("conv_id", "n"), F.lit(len(kinds))), F.to_json(F.struct(F.array(said("role", "content", F.col("role"), F.col("text"))).alias("messages")))
     for i, kind in enumerate(kinds):
         made = F.when(pair & (at == i), kind).otherwise(made)
-    return rows.filter(~taken).select("conv_id", "n", made.alias("payload"))
+    turn = lambda role, text: F.struct(role.alias("role"), text.alias("text"))
+    alone = turn(F.col("role"), F.col("text"))
+    own = F.when(pair, F.array(alone, turn(F.lit("assistant"), F.col("text1")))).otherwise(F.array(alone)).cast(TURNS)
+    return rows.filter(~taken).select("conv_id", "n", made.alias("payload"), own.alias("own"))
 
 
 def escape(text: Column, role: bool = False) -> Column:
@@ -155,7 +169,7 @@ def format_rows(turns: DataFrame) -> DataFrame:
     """conv_id, formatted, loss: one row for each conversation of a table with a row for each turn (conv_id, turn, role, text)."""
     told = canonical(payloads(turns.select("conv_id", "turn", "role", "text")), "payload")
     # (outer, since a plain explode would have the turns worked out once more, to see first whether there are any)
-    spoken = told.select("conv_id", "n", F.posexplode_outer("turns").alias("pos", "t")).filter("pos is not null")
+    spoken = told.select("conv_id", "n", F.posexplode_outer(F.coalesce("turns", "own")).alias("pos", "t")).filter("pos is not null")
     return formatted(spoken.select("conv_id", (F.col("n") + F.col("pos")).alias("n"), "t.role", "t.text"))
 
 
