@@ -92,6 +92,23 @@ def test_chat_rows_come_through_several_layouts(spark):
     assert spoken == Counter((c, t + 1, r, x) for c, t, r, x in rows)
 
 
+def test_token_counts_are_linear_in_one_unbroken_piece():
+    import time
+
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary_path()
+    library, machine = Tokenizer.from_file(path), tokencount.transducer(path)
+    rng = np.random.default_rng(3)
+    letters = "".join(chr(97 + int(x)) for x in rng.integers(0, 26, 200_000))
+    for text in (letters, "=" * 120_000, " " * 70_000 + "x", "x1" * 3000 + letters[:9000] + " ab " + "é" * 5000, "'" * 3000 + "s" * 4000):
+        assert machine.texts([text, "a b"]) == [len(library.encode(t, add_special_tokens=False).ids) for t in (text, "a b")]
+    machine.texts([letters])
+    start = time.monotonic()
+    got = machine.texts([letters * 5])[0]
+    assert time.monotonic() - start < 4 and abs(got - 5 * machine.texts([letters])[0]) < 25
+
+
 def test_chat_keeps_roles_and_loses_no_turn(spark):
     unread = "\x01" * (23 << 20)  # 138 MiB as JSON, beyond what a variant holds
     roles = ("bot", "Model", "GPT", "human", "User", "assistant", "ASSISTANT", " user")

@@ -138,14 +138,16 @@ class Chunks:
         """Pieces that start in the head of a chunk, for states that give others than the chunk's own entry does.
 
         Chunk and state; then twice (number among these, start, end), places in the grid: with the entry, and with the state.
+        A chunk after whose head no piece starts for certain is read as one with those before it, back to one that has such
+        a start (or begins a text): that one settles the state, so no other can be met. Thus no piece here leaves its chunk.
         """
         n, wide = len(self.maps), len(self.heads)
         if not wide or wide >= self.chunk:
             raise ValueError(f"counts need chunks of more than {SETTLED} symbols")
         heads = np.stack(self.heads, axis=2)
         own = heads[np.arange(n), self.entry]
-        row, state = np.nonzero((heads != own[:, None, :]).any(axis=2))
-        # the first place after the head at which a piece starts for certain, be it in a later chunk
+        row, state = np.nonzero((heads != own[:, None, :]).any(axis=2) & self.sure[:, wide:].any(axis=1)[:, None])
+        # the first place after the head at which a piece starts for certain
         after, stop = np.flatnonzero(self.marks.ravel()), self.marks.size
         out = []
         for which, marks in ((row, own[row]), (row, heads[row, state])):
