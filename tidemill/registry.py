@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions import places, text
-from tidemill.operators import contracts, extraction, fetchlog, snapshots, upserts
+from tidemill.operators import contracts, extraction, fetchlog, history, snapshots, upserts
 from tidemill.plans import books, jobs, quotes
-from tidemill.sources import fetch, ingest, parsers, sinks
+from tidemill.sources import ingest, parsers, sinks
+from tidemill.sources.files import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -327,15 +328,81 @@ POSTINGS_SQL = """p AS (SELECT p_partkey, substr(sha1(lower(p_brand) || '|' || l
     strftime(min(published), '%Y-%m-%d') AS first_published, strftime(max(published), '%Y-%m-%d') AS last_published, coalesce(arg_min(url, p_partkey) FILTER (WHERE open), arg_min(url, p_partkey)) AS url FROM p GROUP BY family_id"""
 )
 def family_rollup(spark, d):
+    return _shown_families(snapshots.families(_family_postings(spark, d), "p_partkey"))
+
+
+def _family_postings(spark, d) -> DataFrame:
     size = c("p_size")
-    rows = table(spark, d, "part").select(
+    return table(spark, d, "part").select(
         "p_partkey", text.family_id(c("p_brand"), c("p_type")).alias("family_id"), c("p_brand").alias("company"), c("p_type").alias("title"),
         F.when(c("p_partkey") % 4 == 0, F.array(lit("CO"))).when(c("p_partkey") % 4 == 1, F.array(lit("US"), lit("CO"))).when(c("p_partkey") % 4 == 2, F.array(lit("MX"))).otherwise(F.array().cast("array<string>")).alias("countries"),
         F.when(size > 45, True).when(size % 3 == 0, False).when(size % 11 == 1, None).otherwise(False).alias("open_to_colombia"), F.when(size % 2 == 0, size).alias("min_years"),
         F.when(size % 5 == 0, F.concat(lit("B"), size.cast("string"))).alias("english_level"), c("p_retailprice").alias("pay_usd_hour_max"), lit(None).cast("double").alias("pay_usd_year_max"),
         F.date_add(lit("2024-01-01").cast("date"), size).alias("published"), c("p_name").alias("url"),
     )
-    return snapshots.families(rows, "p_partkey").withColumns({"countries": F.array_join("countries", "|")} | {n: c(n).cast("string") for n in ("min_years", "first_published", "last_published")})
+
+
+def _shown_families(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"countries": F.array_join("countries", "|")} | {n: c(n).cast("string") for n in ("min_years", "first_published", "last_published")})
+
+
+# Two snapshots of the postings: some close, some come, some change or move to another family
+_NOW_SQL = """q AS (SELECT * REPLACE (CASE WHEN p_partkey % 17 = 0 THEN '000000000000' ELSE family_id END AS family_id, CASE WHEN p_partkey % 13 = 0 THEN 1 ELSE min_years END AS min_years,
+    CASE WHEN p_partkey % 11 = 0 THEN 'u' ELSE url END AS url, CASE WHEN p_partkey % 19 = 0 THEN ['BR', 'CO'] ELSE countries END AS countries) FROM p WHERE p_partkey % 7 <> 0)"""
+
+
+def _two_snapshots(spark, d) -> tuple[DataFrame, DataFrame]:
+    rows = _family_postings(spark, d)
+    key = c("p_partkey")
+    now = {
+        "family_id": F.when(key % 17 == 0, "000000000000").otherwise(c("family_id")), "min_years": F.when(key % 13 == 0, 1).otherwise(c("min_years")),
+        "url": F.when(key % 11 == 0, "u").otherwise(c("url")), "countries": F.when(key % 19 == 0, F.array(lit("BR"), lit("CO"))).otherwise(c("countries")),
+    }
+    return rows.filter(key % 5 != 0), rows.filter(key % 7 != 0).withColumns(now)
+
+
+def _kept_cuts(spark, before: DataFrame, now: DataFrame, key: str):
+    n = history.buckets_for(max(before.count(), now.count()), spark.sparkContext.defaultParallelism)
+    return history.keep(before, [key], n), history.keep(now, [key], n)
+
+
+@query(ORACLE_SQL["snapshot_diff"])
+def snapshot_diff_kept(spark, d):
+    """The same diff from two kept snapshots, which are not shuffled for it."""
+    before, now = _kept_cuts(spark, *_cuts(spark, d), "o_orderkey")
+    out = kept(snapshots.diff(before.rows, now.rows, ["o_orderkey"], ["o_orderstatus", "o_totalprice"]))
+    before.drop(), now.drop()
+    return out
+
+
+@query(ORACLE_SQL["family_rollup"].replace("SELECT family_id,", f", {_NOW_SQL} SELECT family_id,", 1).replace("FROM p GROUP BY", "FROM q GROUP BY"))
+def families_kept_up(spark, d):
+    """The families of the later snapshot, from those of the earlier one, its ledger, and what differs."""
+    was, now = _two_snapshots(spark, d)
+    before, after = _kept_cuts(spark, was, now, "p_partkey")
+    changes = history.signed(before.rows, after.rows, ["p_partkey"], ["p_partkey", *history.FAMILY_COLUMNS])
+    entries = history.ledger(before.rows, "p_partkey")
+    _, rows = history.kept_up(entries, history.families_of(entries), changes, "p_partkey")
+    out = kept(_shown_families(rows))
+    before.drop(), after.drop()
+    return out
+
+
+@query(
+    """SELECT (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 5 <> 0) AS before_n, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 7 <> 0 AND o_custkey % 4 <> 0) AS after_n,
+    true AS any_is_near, true AS both_is_near, true AS gone_is_near, true AS come_is_near"""
+)
+def distinct_over_snapshots(spark, d):
+    """Customers of two snapshots: exact numbers, and whether the sketches' are within 8 % of the exact number of all."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    was, now = orders.filter("o_orderkey % 5 <> 0"), orders.filter("o_orderkey % 7 <> 0 and o_custkey % 4 <> 0")
+    a, b = (kept(history.sketched(x, ["o_custkey"])) for x in (was, now))
+    sides = was.select("o_custkey", lit(1).alias("s")).union(now.select("o_custkey", lit(2).alias("s"))).groupBy("o_custkey").agg(F.bit_or("s").alias("s"))
+    exact = sides.agg(F.count("*").alias("any"), *(F.count_if(c("s") == i).alias(n) for n, i in (("both", 3), ("gone", 1), ("come", 2)))).first()
+    about = history.over_all(a.unionByName(b), ["o_custkey"]).first()["o_custkey_about"], *history.compared(a, b, "o_custkey").select("both", "gone", "come").first()
+    near = [lit(bool(abs(x - exact[n]) <= 0.08 * exact["any"])).alias(f"{n}_is_near") for n, x in zip(("any", "both", "gone", "come"), about, strict=True)]
+    return a.join(b.select(c("o_custkey_n").alias("after_n")), lit(True)).select(c("o_custkey_n").alias("before_n"), "after_n", *near)
+
 
 
 @query("SELECT l_orderkey, CASE WHEN bool_or(l_returnflag = 'R') THEN true WHEN bool_or(l_returnflag = 'N') THEN NULL ELSE false END AS returned FROM lineitem GROUP BY 1")
@@ -668,22 +735,6 @@ def retry_after_dates(spark, d):
     return table(spark, d, "events").select("event_id", fetchlog.told_delay(header, now).alias("seconds"))
 
 
-def _echo(request: fetch.Request) -> fetch.Answer:
-    """A site without a robots file whose pages hold their own address; every fifth is an error."""
-    if request.url.endswith("/robots.txt"):
-        return fetch.Answer(404, {}, b"")
-    return fetch.Answer(404 if len(request.url) % 5 == 0 else 200, {}, request.url.encode())
-
-
-@query(
-    """SELECT page_id AS n, url, CASE WHEN length(url) % 5 > 0 THEN 200 END AS status, CASE WHEN length(url) % 5 > 0 THEN url END AS body, 1 AS attempts, CAST(length(url) AS BIGINT) AS size,
-    CASE WHEN length(url) % 5 > 0 THEN 'ok' ELSE 'failed: status 404 from ' || url END AS outcome FROM pages"""
-)
-def page_fetch(spark, d):
-    rows = table(spark, d, "pages").select(c("page_id").alias("n"), "url")
-    return fetch.fetched(rows, transport=_echo, clock=float, sleep=abs)
-
-
 # Contracts of other tables, ordered results
 
 

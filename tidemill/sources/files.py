@@ -57,15 +57,41 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(files.makeQualified(beside), files.makeQualified(at), options)
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the folder that spark.checkpoint.dir names: cuts the lineage, survives lost executors.
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that spark.checkpoint.dir names, which driver and executors share.
 
-    Only in local mode may that setting be absent: then a temporary folder is made for it.
+    All folders of an application go when it ends. Only in local mode may that setting be absent: then a temporary folder
+    is made for it.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        base = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not base and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(base or "file://" + tempfile.mkdtemp(prefix="tidemill-"))
-    return df.checkpoint()
+        base = "file://" + tempfile.mkdtemp(prefix="tidemill-")
+        context.setCheckpointDir(base)
+    root = f"{base.rstrip('/')}/tables-{context.applicationId}"
+    if root not in _ROOTS:
+        files, at = _at(spark, root)
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        _ROOTS.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+_ROOTS: set[str] = set()
+
+
+def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+    """df, written once to the shared folder as Parquet and read back: cuts the lineage, survives lost executors."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that kept() gave and that nothing still to be computed reads."""
+    for df in tables:
+        delete(df.sparkSession, df._kept_at)

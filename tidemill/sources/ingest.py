@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.sources.files import kept
+from tidemill.sources.files import forget, kept
 from tidemill.sources.parsers import ENDPOINTS
 
 BOARDS = "company string, source string, board string"
@@ -75,11 +75,14 @@ def walk(pages: DataFrame, starts: DataFrame) -> DataFrame:
     n = reached.count()
     while True:
         far = reached.join(jumps, F.col("url") == F.col("at")).select("start", F.col("to").alias("url"), (F.col("step") + F.lit(length).cast("long")).alias("step"))
-        reached = kept(reached.union(far).groupBy("start", "url").agg(F.min("step").alias("step")))
+        old, reached = reached, kept(reached.union(far).groupBy("start", "url").agg(F.min("step").alias("step")))
+        forget(old)
         before, n = n, reached.count()
         if n == before:
+            forget(jumps)
             return rows.select("url").join(reached.select("url", "step"), "url")
-        jumps = kept(jumps.join(jumps.select(F.col("at").alias("to"), F.col("to").alias("end")), "to").select("at", F.col("end").alias("to")).distinct())
+        old, jumps = jumps, kept(jumps.join(jumps.select(F.col("at").alias("to"), F.col("to").alias("end")), "to").select("at", F.col("end").alias("to")).distinct())
+        forget(old)
         length *= 2
 
 
