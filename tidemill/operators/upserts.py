@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.sources.files import forget, kept
+
 
 def upsert(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """Both as string cells. The merged table, one row for each key, with _change (inserted, updated, unchanged or kept).
@@ -30,3 +32,48 @@ def upsert(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 def tally(merged: DataFrame) -> DataFrame:
     return merged.agg(*(F.count_if(F.col("_change") == c).alias(c) for c in ("inserted", "updated", "unchanged")))
+
+
+# A stored table that an upsert rewrites only in part: a folder for each part of the keys (by their hash), so that a few rows
+# touch a few folders and all other files stay as they are. Spark replaces the folders that it writes to.
+
+PART = "_part"
+
+
+def part_of(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def _write(rows: DataFrame, path: str, key: str, parts: int) -> None:
+    placed = rows.withColumn(PART, part_of(key, parts)).repartition(PART)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+
+
+def create(rows: DataFrame, path: str, key: str, parts: int) -> None:
+    """rows (string cells) as a stored table in so many parts: as many as keep a part at a file's size."""
+    _write(rows, path, key, parts)
+
+
+def table_at(spark: SparkSession, path: str) -> DataFrame:
+    """The stored table. A column that a part doesn't have yet, because nothing has touched it since, is empty there."""
+    rows = spark.read.option("mergeSchema", True).parquet(path).drop(PART)
+    return rows.select(*(F.coalesce(c, F.lit("")).alias(c) for c in rows.columns))
+
+
+def upsert_into(path: str, rows: DataFrame, key: str, parts: int) -> DataFrame:
+    """Merges rows into a stored table as upsert() does; the keys that it merged, each with _change.
+
+    Only parts that hold a key of rows are read and rewritten. Spark replaces them one by one when all are written: a run
+    that breaks off there leaves some parts as they were, and running it again gives the same table.
+    """
+    spark = rows.sparkSession
+    incoming = kept(rows)
+    touched = [r[0] for r in incoming.select(part_of(key, parts)).distinct().collect()]  # no more than there are parts
+    stored = spark.read.option("mergeSchema", True).parquet(path).filter(F.col(PART).isin(touched)).drop(PART)
+    target = stored.select(*(F.coalesce(c, F.lit("")).alias(c) for c in stored.columns))
+    merged = kept(upsert(target, incoming, key))
+    if touched:
+        _write(merged.drop("_change"), path, key, parts)
+    changes = kept(merged.filter("_change <> 'kept'").select(key, "_change"))
+    forget(incoming, merged)
+    return changes

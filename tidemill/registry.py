@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tidemill.functions import places, text
 from tidemill.operators import contracts, extraction, fetchlog, history, snapshots, upserts
 from tidemill.plans import books, jobs, quotes
-from tidemill.sources import ingest, parsers, sinks
-from tidemill.sources.files import kept
+from tidemill.sources import ingest, parsers, runs, sinks
+from tidemill.sources.files import delete, kept, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -435,6 +435,22 @@ def checkpoint_last_wins(spark, d):
     return ingest.checkpoint(lines, "struct<kind:string,k:int>").select("key", "value.kind", "value.k")
 
 
+@query(ORACLE_SQL["checkpoint_last_wins"])
+def checkpoint_compacted(spark, d):
+    """The same checkpoint, appended in twelve parts of the log, with merges of three runs."""
+    path, kind = scratch(spark, "runs"), "struct<kind:string,k:int>"
+    line = F.to_json(F.struct(c("user_id").cast("string").alias("key"), F.struct(c("event_type").alias("kind"), F.get_json_object("props", "$.k").cast("int").alias("k")).alias("value")))
+    torn = F.when(c("event_id") % 10 == 3, F.substring(line, lit(1), F.length(line) - 9)).otherwise(line)
+    lines = table(spark, d, "events").select(c("event_id").alias("line_no"), torn.alias("line"))
+    ends = lines.agg(F.percentile_approx("line_no", F.array(*(lit(i / 12) for i in range(1, 12))), 1000).alias("q")).first()["q"] or []
+    for low, high in zip([None, *ends], [*ends, None], strict=True):
+        part = lines if low is None else lines.filter(c("line_no") > low)
+        runs.append(part if high is None else part.filter(c("line_no") <= high), path, kind, fan=3)
+    out = kept(runs.checkpoint(spark, path, kind).select("key", "value.kind", "value.k"))
+    delete(spark, path)
+    return out
+
+
 @query(
     """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_custkey % 4 = 1 THEN '' WHEN c_custkey % 6 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment,
     CASE WHEN c_custkey % 4 = 1 THEN '' ELSE 'by hand' END AS note, CASE WHEN c_custkey % 3 = 0 THEN 'x' WHEN c_custkey % 4 = 1 THEN 'x' ELSE '' END AS extra,
@@ -448,6 +464,24 @@ def upsert_merge(spark, d):
     return upserts.upsert(target, new, "c_custkey")
 
 
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 'NEW' WHEN c_custkey % 4 = 1 THEN '' ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_custkey % 4 = 1 THEN '' ELSE 'by hand' END AS note,
+    CASE WHEN c_custkey % 25 = 0 THEN 'x' ELSE '' END AS extra FROM customer WHERE c_custkey % 4 <> 1 OR c_custkey % 25 = 0"""
+)
+def upsert_in_place(spark, d):
+    """A stored table after an upsert of some rows, of which those of one part bring a column of their own first."""
+    rows = table(spark, d, "customer").withColumn("k", c("c_custkey")).withColumn("c_custkey", c("c_custkey").cast("string"))
+    path, parts = scratch(spark, "upserted"), 16
+    upserts.create(rows.filter("k % 4 <> 1").select("c_custkey", "c_mktsegment", lit("by hand").alias("note")), path, "c_custkey", parts)
+    new = rows.filter("k % 25 = 0").select("c_custkey", F.when(c("k") % 50 == 0, "NEW").otherwise("").alias("c_mktsegment"), lit("x").alias("extra"))
+    first = upserts.part_of("c_custkey", parts) == 0
+    upserts.upsert_into(path, new.filter(first), "c_custkey", parts)
+    upserts.upsert_into(path, new, "c_custkey", parts)
+    out = kept(upserts.table_at(spark, path))
+    delete(spark, path)
+    return out
+
+
 # Extraction
 
 SENTENCES = """SELECT p_partkey, p_size || '+ years of experience in ' || p_type || '. We pay $' || (p_size + 10) || ' per hour! Salary $' || (p_size + 20) || 'k - $' || (p_size + 90) || 'k.' || chr(10)

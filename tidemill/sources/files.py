@@ -24,6 +24,13 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a file or folder to a name that is not taken."""
+    files, at = _at(spark, path)
+    if not files.rename(at, _at(spark, to)[1]):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     files, at = _at(spark, folder)
     return sorted(f.getPath().getName() for f in files.listStatus(at)) if files.exists(at) else []
