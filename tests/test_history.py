@@ -12,24 +12,6 @@ SF = "/root/testdata/sf0.001"
 POSTING = "key string, family_id string, company string, title string, countries array<string>, open_to_colombia boolean, min_years int, english_level string, pay_usd_hour_max double, pay_usd_year_max double, published date, url string, other string"
 
 
-def equals_sql(spark, name):
-    import duckdb
-
-    con = duckdb.connect()
-    for table in ("orders", "part", "customer", "events", "pages", "documents", "nation", "supplier", "lineitem"):
-        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
-    want = con.sql(registry.ORACLE_SQL[name])
-    got = registry.QUERIES[name](spark, SF)
-    assert sorted(got.columns) == sorted(want.columns)
-    rows = sorted(str(tuple(r)) for r in want.fetchall())
-    assert sorted(str(tuple(r[c] for c in want.columns)) for r in got.collect()) == rows and rows
-
-
-@pytest.mark.parametrize("name", ["snapshot_diff_kept", "families_kept_up", "distinct_over_snapshots"])
-def test_query_equals_its_sql(spark, name):
-    equals_sql(spark, name)
-
-
 def test_kept_snapshots_are_compared_without_a_shuffle(spark):
     before, now = registry._kept_cuts(spark, *registry._cuts(spark, SF), "o_orderkey")
     diff = snapshots.diff(before.rows, now.rows, ["o_orderkey"], ["o_orderstatus", "o_totalprice"])

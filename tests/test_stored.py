@@ -4,18 +4,10 @@ import hashlib
 import json
 from pathlib import Path
 
-import pytest
-
-from test_history import equals_sql
 from tidemill.operators import upserts
 from tidemill.sources import ingest, runs
 
 
-@pytest.mark.parametrize("name", ["upsert_in_place", "checkpoint_compacted"])
-def test_query_equals_its_sql(spark, name):
-    equals_sql(spark, name)
-
-
 def content(path):
     return {str(f.relative_to(path)): hashlib.sha256(f.read_bytes()).hexdigest() for f in Path(path).rglob("*.parquet")}
 

@@ -13,6 +13,8 @@ from tidemill.sources import ingest, parsers, sinks
 from tidemill.sources.files import kept
 
 PAGE = 20
+# How many items the report shows of what each check found.
+SHOWN = {"schema": 25, "unique key": 3, "category coverage": 10, "listing pages fetched": 8, "listing page yield": 8, "category agrees with breadcrumb": 3, "book pages read": 20}
 
 
 def spec(expected: int | None) -> contracts.Spec:
@@ -45,6 +47,7 @@ class Run:
     errors: DataFrame
     rows_in: int
     ready: bool
+    samples: DataFrame
 
 
 def run(home: DataFrame, listings: DataFrame, pages: DataFrame, done: DataFrame | None = None, categories: int | None = None) -> Run:
@@ -67,13 +70,31 @@ def run(home: DataFrame, listings: DataFrame, pages: DataFrame, done: DataFrame
         rows = rows.unionByName(done.join(firsts.select("url"), "url", "left_semi").select(*rows.columns))
     rows = kept(rows)
     declared = listed.groupBy("category").agg(F.max("declared").alias("declared"))
-    short = contracts.group_coverage(links, declared, "category").filter("not complete").count()
+    where = F.concat_ws(" page ", "listing", "page")
+    short = contracts.group_coverage(links, declared, "category").filter("not complete")
+    gaps = ingest.page_gaps(listed.select(F.col("category").alias("listing"), "page", parsers.next_link("html", "url").isNotNull().alias("has_next")))
+    odd = contracts.page_yield(listed.select(F.col("category").alias("listing"), "page", F.size("links").alias("n")), PAGE)
+    told = firsts.join(rows.select("url", F.nullif("category", F.lit("")).alias("told")), "url", "left")
+    read = firsts.join(rows.select("url", F.lit(True).alias("read")), "url", "left")
+    rules, order = spec(total), [F.col("url")]
+    checked = contracts.validated(rows, rules)
+    errors = contracts.row_errors(checked, F.col("url"), ("upc",))
+    found = [
+        contracts.found(errors, "schema", F.concat_ws(": ", "key", "errors"), F.col("row_order")),
+        contracts.found(contracts.repeated(checked, ("upc",)), "unique key", F.col("key"), F.col("key")),
+        contracts.found(short, "category coverage", F.format_string("%s (%d/%d)", "category", "listed", "declared"), F.col("category")),
+        contracts.found(gaps, "listing pages fetched", where, where),
+        contracts.found(odd, "listing page yield", F.format_string("%s page %d (%d)", "listing", "page", "n"), where),
+        contracts.found(told.filter("told <> category"), "category agrees with breadcrumb", F.col("url"), F.col("url")),
+        contracts.found(read.filter("read is null"), "book pages read", F.col("url"), F.col("url")),
+    ]
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    samples = kept(contracts.samples(every, SHOWN))
+    n = {r["check"]: r["n"] for r in samples.select("check", "n").collect()}
+    short, gaps, odd, strayed, unread = (n.get(k, 0) for k in list(SHOWN)[2:])
     missing = 0 if categories is not None else named.join(listed.select("category"), "category", "left_anti").count()
-    gaps = ingest.page_gaps(listed.select(F.col("category").alias("listing"), "page", parsers.next_link("html", "url").isNotNull().alias("has_next"))).count()
-    odd = contracts.page_yield(listed.select(F.col("category").alias("listing"), "page", F.size("links").alias("n")), PAGE).count()
-    told = firsts.join(rows.select("url", F.nullif("category", F.lit("")).alias("told")), "url")
-    strayed = contracts.conflicts(told, F.col("category"), F.col("told")).first()["conflicts"]
-    unread = firsts.join(rows.select("url"), "url", "left_anti").count()
     facts = (
         ("category coverage", short == 0 and missing == 0, f"{short} short, {missing} without a listing"),
         ("listing pages fetched", gaps == 0, f"{gaps} missing"),
@@ -82,11 +103,9 @@ def run(home: DataFrame, listings: DataFrame, pages: DataFrame, done: DataFrame
         ("book pages read", unread == 0, f"{unread} unread"),
     )
     extra = rows.sparkSession.createDataFrame([(n, ok, detail, True) for n, ok, detail in facts], "name string, passed boolean, detail string, blocking boolean")
-    rules, order = spec(total), [F.col("url")]
-    checked = contracts.validated(rows, rules)
     checks = kept(contracts.gate(rows, rules, order, extra))
     delivered = contracts.numbered(checked, rules, order).filter("_n = 1").drop("_n", "_errors")
-    return Run(delivered, checks, contracts.row_errors(checked, F.col("url"), ("upc",)), rows.count(), checks.filter("status = 'FAIL'").isEmpty())
+    return Run(delivered, checks, errors, rows.count(), checks.filter("status = 'FAIL'").isEmpty(), samples)
 
 
 def publish(run_: Run, final: str, elapsed: float | None = None) -> str | None:
@@ -95,5 +114,5 @@ def publish(run_: Run, final: str, elapsed: float | None = None) -> str | None:
     outputs = {"books": lambda p: rows.write.parquet(p), "books_csv": lambda p: sinks.write_csv(rows, p), "books_jsonl": lambda p: sinks.write_jsonl(rows, p)}
     version = sinks.publish(spark, run_.ready, outputs, final)
     fills = contracts.fill_rates(run_.delivered, run_.delivered.columns)
-    sinks.write_report(spark, sinks.report("books", run_.checks, run_.errors, fills, run_.rows_in, run_.delivered.count(), elapsed=elapsed), final)
+    sinks.write_report(spark, sinks.report("books", run_.checks, run_.errors, fills, run_.rows_in, run_.delivered.count(), elapsed=elapsed, samples=run_.samples), final)
     return version

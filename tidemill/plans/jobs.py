@@ -24,6 +24,8 @@ Extractor = Callable[[str, list[str]], dict[str, tuple[str, str]]]
 CALLS = 40
 #: Boards that the notes list.
 SHOWN = 50
+# How many items the report shows of what each check found.
+SAMPLES = {"schema": 25, "unique key": 3, "fetch failures": 8, "every board answered": 20, "no board went silent": 20, "evidence is verbatim": 3}
 COLUMNS = tuple(c.split()[0] for c in POSTING.split(", "))
 
 
@@ -57,6 +59,7 @@ class Run:
     errors: DataFrame
     rows_in: int
     notes: tuple[str, ...]
+    samples: DataFrame
 
     def changelog(self, day: dt.date, previous: DataFrame, first_run: bool) -> str:
         own = {k: (previous if k == "closed" else self.delivered).join(self.diff.filter(F.col("change") == k), "key", "left_semi") for k in ("new", "closed", "changed")}
@@ -99,20 +102,32 @@ def run(configured: DataFrame, responses: DataFrame, previous: DataFrame, extrac
     before, gone = board(previous), failed.select(name)
     current = snapshots.carried(before, board(now.drop("unsupported")), gone, "board")
     quiet = snapshots.silent(before, board(now), gone, configured.select(name), "board")
-    unfetched = failed.filter("reason != 'body is not JSON'").count()
+    rules, order = spec(), [F.col("source"), F.col("posting_id")]
+    rows = kept(current.drop("board"))
+    checked = contracts.validated(rows, rules)
+    errors = contracts.row_errors(checked, F.col("key"), ("key",))
+    at = F.concat_ws(":", "source", "board")
+    found = contracts.found(errors, "schema", F.concat_ws(": ", "key", "errors"), F.col("row_order"))
+    for more in (
+        contracts.found(contracts.repeated(checked, ("key",)), "unique key", F.col("key"), F.col("key")),
+        contracts.found(failed.filter("reason <> 'body is not JSON'"), "fetch failures", F.concat_ws(": ", at, "reason"), at),
+        contracts.found(failed, "every board answered", F.concat_ws(": ", at, "reason"), at),
+        contracts.found(quiet, "no board went silent", F.format_string("%s (%d before)", "board", "before"), F.col("board")),
+        contracts.found(now.filter("unsupported"), "evidence is verbatim", F.col("key"), F.col("key")),
+    ):
+        found = found.unionByName(more)
+    samples = kept(contracts.samples(found, SAMPLES))
+    n = {r["check"]: r["n"] for r in samples.select("check", "n").collect()}
     facts = {
-        "fetch failures": (unfetched == 0, False, f"{unfetched} request(s) failed after retries"),
-        "every board answered": (failed.count() == 0, False, ""),
-        "no board went silent": (quiet.count() == 0, True, ""),
-        "evidence is verbatim": (now.filter("unsupported").count() == 0, True, ""),
+        "fetch failures": ("fetch failures" not in n, False, f"{n.get('fetch failures', 0)} request(s) failed after retries"),
+        "every board answered": ("every board answered" not in n, False, ""),
+        "no board went silent": ("no board went silent" not in n, True, ""),
+        "evidence is verbatim": ("evidence is verbatim" not in n, True, ""),
     }
     known = (F.size("countries") > 0) | F.col("open_to_colombia").isNotNull()
     rate = now.agg(F.coalesce(F.avg(known.cast("double")), F.lit(1.0))).first()[0]
     facts["location resolved"] = (rate >= 0.9, False, f"{rate * 100:.1f} % of the postings")
     extra = now.sparkSession.createDataFrame([(k, bool(v), detail, b) for k, (v, b, detail) in facts.items()], "name string, passed boolean, detail string, blocking boolean")
-    rules, order = spec(), [F.col("source"), F.col("posting_id")]
-    rows = kept(current.drop("board"))
-    checked = contracts.validated(rows, rules)
     checks = kept(contracts.gate(rows, rules, order, extra))
     delivered = kept(contracts.numbered(checked, rules, order).filter("_n = 1").drop("_n", "_errors"))
     diff = kept(snapshots.diff(previous, delivered, ["key"], ["title", "location", "description_sha1"]))
@@ -131,7 +146,7 @@ def run(configured: DataFrame, responses: DataFrame, previous: DataFrame, extrac
         f"against the last snapshot: {changed.get('new', 0)} new, {changed.get('closed', 0)} closed, {changed.get('changed', 0)} changed",
     ]
     ready = checks.filter("status = 'FAIL'").isEmpty()
-    return Run(delivered, checks, families, diff, failed, ready, contracts.row_errors(checked, F.col("key"), ("key",)), rows.count(), tuple(notes))
+    return Run(delivered, checks, families, diff, failed, ready, errors, rows.count(), tuple(notes), samples)
 
 
 def publish(done: Run, final: str, previous: DataFrame, day: dt.date, elapsed: float | None = None, sheet: DataFrame | None = None) -> str | None:
@@ -146,7 +161,7 @@ def publish(done: Run, final: str, previous: DataFrame, day: dt.date, elapsed: f
         "postings": lambda p: done.delivered.write.parquet(p),
         "postings_csv": lambda p: sinks.write_csv(done.delivered, p),
         "families_csv": lambda p: sinks.write_csv(ordered, p),
-        "changes": lambda p: snapshots.in_order(done.diff, ["key"]).coalesce(1).write.json(p),
+        "changes": lambda p: snapshots.in_order(done.diff, ["key"]).write.json(p),
     }
     if sheet is not None:
         cells = sinks.cells(done.families, sheet=True)
@@ -157,7 +172,7 @@ def publish(done: Run, final: str, previous: DataFrame, day: dt.date, elapsed: f
         sinks.prepend_changelog(spark, f"{final}/CHANGELOG.md", entry)
     fills = contracts.fill_rates(done.delivered, list(COLUMNS))
     notes = done.notes if version else (*done.notes, "not ready: what was published before stays")
-    sinks.write_report(spark, sinks.report("postings", done.checks, done.errors, fills, done.rows_in, done.delivered.count(), None, notes, elapsed), final)
+    sinks.write_report(spark, sinks.report("postings", done.checks, done.errors, fills, done.rows_in, done.delivered.count(), None, notes, elapsed, done.samples), final)
     return version
 
 

@@ -804,11 +804,13 @@ def json_safe_rows(spark, d):
 STARS = ("One", "Two", "Three", "Four", "Five")
 
 
-def _book_pages(spark, d) -> DataFrame:
+def _book_pages(spark, d, faulty: bool = False) -> DataFrame:
     p, s = c("p_size"), lambda x: x.cast("string")
+    crumb = F.when(lit(faulty) & (c("p_partkey") % 23 == 0), "Odd").otherwise(c("p_brand"))
+    title = F.when(lit(faulty) & (c("p_partkey") % 37 == 0), "").otherwise(c("p_name"))
     row = lambda name, value: F.concat(lit(f"<tr><th>{name}</th><td>"), value, lit("</td></tr>"))
     html = F.concat(
-        lit('<ul class="breadcrumb"><li>Home</li><li>Books</li><li> '), c("p_brand"), lit('</li><li>x</li></ul><div id="product_gallery"><img src="../../media/'), s(c("p_partkey")), lit('.jpg"/></div><div class="product_main"><h1> '), c("p_name"),
+        lit('<ul class="breadcrumb"><li>Home</li><li>Books</li><li> '), crumb, lit('</li><li>x</li></ul><div id="product_gallery"><img src="../../media/'), s(c("p_partkey")), lit('.jpg"/></div><div class="product_main"><h1> '), title,
         lit('</h1><p class="star-rating '), F.get(F.array(*map(lit, STARS)), p % 5), lit('"></p></div>'), F.when(p % 4 > 0, F.concat(lit('<div id="product_description"><h2>d</h2></div><p>'), c("p_type"), lit("</p>"))).otherwise(""),
         lit('<table class="table table-striped">'), row("UPC", F.lpad(F.lower(F.hex("p_partkey")), 16, "0")), row("Price (excl. tax)", F.concat(lit("£"), F.format_number((p * 10).cast(DEC), 2))), row("Price (incl. tax)", F.concat(lit("£"), F.format_number((p * 10 + 12.5).cast(DEC), 2))),
         row("Tax", lit("£12.50")), row("Availability", F.concat(lit("In stock ("), F.format_number(p * 1000, 0), lit(" available)"))), row("Number of reviews", lit("0")), lit("</table>"),
@@ -929,20 +931,53 @@ CHECK_SQL = "SELECT *, CASE WHEN passed THEN 'PASS' WHEN blocking THEN 'FAIL' EL
     {CHECK_SQL}"""
 )
 def books_gate(spark, d):
+    return _books(spark, d).checks
+
+
+def _books(spark, d, faulty: bool = False) -> books.Run:
+    """A run over all books; faulty: with second pages of listings lost, short first pages, wrong breadcrumbs, titles and pages gone."""
     from pyspark.sql import Window
 
-    pages = _book_pages(spark, d)
+    pages = _book_pages(spark, d, faulty)
     at = Window.partitionBy("p_brand").orderBy("p_partkey")
     rows = pages.withColumn("page", (F.floor((F.row_number().over(at) - 1) / books.PAGE) + 1).cast("int")).withColumn("n", F.count("*").over(Window.partitionBy("p_brand")))
     pod = F.concat(lit('<article class="product_pod"><h3><a href="/catalogue/'), c("p_partkey").cast("string"), lit('/index.html">b</a></h3></article>'))
+    if faulty:
+        first = F.min("p_partkey").over(Window.partitionBy("p_brand"))
+        rows = rows.withColumn("first", first).filter(~(c("p_brand").endswith("2") & (c("page") == 2)) & ~(c("p_brand").endswith("4") & (c("n") > books.PAGE) & (c("p_partkey") == c("first"))))
+        pages = pages.filter("p_partkey % 29 <> 0")
     listed = rows.groupBy(c("p_brand").alias("category"), "page", "n").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", pod.alias("p")))), lambda x: x["p"]), "").alias("pods"))
     strong = lambda n: F.concat(lit('<form class="form-horizontal"><strong>'), F.format_number(n, 0), lit("</strong></form>"))
     more = F.when(c("page") * books.PAGE < c("n"), '<li class="next"><a href="next.html">next</a></li>').otherwise("")
     listings = listed.select("category", "page", lit("http://b/c/list.html").alias("url"), F.concat(strong(c("n")), "pods", more).alias("html"))
     link = F.concat(lit('<li><a href="c/list.html"> '), c("p_brand"), lit("</a></li>"))
-    home = rows.agg(F.array_join(F.array_sort(F.collect_set(link)), "").alias("links"), F.count("*").alias("n"))
+    home = _book_pages(spark, d).agg(F.array_join(F.array_sort(F.collect_set(link)), "").alias("links"), F.count("*").alias("n"))
     home = home.select(lit("http://b/").alias("url"), F.concat(lit('<div class="side_categories"><ul><li><a href="all">All</a><ul>'), "links", lit("</ul></li></ul></div>"), strong(c("n"))).alias("html"))
-    return books.run(home, listings, pages.select("url", "html")).checks
+    return books.run(home, listings, pages.select("url", "html"))
+
+
+@query(
+    f"""WITH r AS (SELECT p_partkey AS p, p_brand AS b, p_size, (row_number() OVER w - 1) // 20 + 1 AS page, count(*) OVER (PARTITION BY p_brand) AS n, row_number() OVER w AS i FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey)),
+    listed AS (SELECT *, 'http://b/catalogue/' || p || '/index.html' AS url FROM r WHERE NOT (b LIKE '%2' AND page = 2) AND NOT (b LIKE '%4' AND n > 20 AND i = 1)),
+    read AS (SELECT * FROM listed WHERE p % 29 <> 0), good AS (SELECT * FROM read WHERE p % 37 <> 0),
+    found(name, item, place, most) AS (
+      SELECT 'schema', printf('%016x', p) || ': title: empty', url, 25 FROM read WHERE p % 37 = 0
+      UNION ALL SELECT 'category coverage', b || ' (' || count(*) || '/' || any_value(n) || ')', b, 10 FROM listed GROUP BY b HAVING count(*) < any_value(n)
+      UNION ALL SELECT DISTINCT 'listing pages fetched', b || ' page 2', b, 8 FROM r WHERE b LIKE '%2' AND page = 2
+      UNION ALL SELECT DISTINCT 'listing page yield', b || ' page 1 (19)', b, 8 FROM r WHERE b LIKE '%4' AND n > 20
+      UNION ALL SELECT 'category agrees with breadcrumb', url, url, 3 FROM read WHERE p % 23 = 0
+      UNION ALL SELECT 'book pages read', url, url, 20 FROM listed WHERE p % 29 = 0),
+    f AS (SELECT name, count(*) AS n, array_to_string(list_slice(list(item ORDER BY place, item), 1, any_value(most)), '|') AS shown FROM found GROUP BY name),
+    t AS (SELECT (SELECT count(*) FROM good) AS delivered, (SELECT count(*) FROM part) AS expected, (SELECT avg(CASE WHEN p_size % 4 > 0 THEN 1.0 ELSE 0.0 END) FROM good) AS fill),
+    names(name, before, after) AS (VALUES ('schema', '', ' invalid rows'), ('unique key', '', ' duplicated keys'), ('category coverage', '', ' short, 0 without a listing'), ('listing pages fetched', '', ' missing'), ('listing page yield', '', ' odd'),
+      ('category agrees with breadcrumb', '', ' differ'), ('book pages read', '', ' unread')),
+    k(name, passed, detail, blocking) AS (SELECT name, f.n IS NULL, coalesce(f.n, 0) || after, true FROM names LEFT JOIN f USING (name) UNION ALL SELECT 'coverage', delivered >= expected, delivered || ' of ' || expected, true FROM t
+      UNION ALL SELECT 'fill rate description', fill >= 0.95, CAST(round(fill * 100, 1) AS VARCHAR) || ' %', true FROM t)
+    SELECT k.*, CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status, CASE WHEN (SELECT bool_and(passed) FROM k) THEN 'READY' ELSE 'NOT READY' END AS verdict, coalesce(f.shown, '') AS shown FROM k LEFT JOIN f USING (name)"""
+)
+def books_gate_failing(spark, d):
+    run = _books(spark, d, faulty=True)
+    return contracts.with_samples(run.checks, run.samples).withColumn("shown", F.array_join("shown", "|"))
 
 
 @query(
@@ -984,6 +1019,54 @@ def jobs_changes(spark, d):
     return _jobs(spark, d).diff
 
 
+def _greenhouse_boards(spark, d, parts: DataFrame) -> DataFrame:
+    """Answers of all boards with the postings of parts (p_partkey, p_brand, title, p_type, times that it is listed)."""
+    job = F.struct(
+        c("p_partkey").alias("id"), c("title"), lit("http://x").alias("absolute_url"), F.struct(F.when(c("p_partkey") % 3 == 0, "Peru").otherwise("Chile").alias("name")).alias("location"), lit("2024-01-05T10:00:00-05:00").alias("first_published"),
+        F.concat(lit("&lt;p&gt;"), c("p_type"), lit("&lt;/p&gt;")).alias("content"),
+    )
+    listed = parts.withColumn("copy", F.explode(F.sequence(lit(1), c("times")))).groupBy("p_brand").agg(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", "copy", job.alias("j")))), lambda x: x["j"]).alias("jobs"))
+    boards = table(spark, d, "part").select("p_brand").distinct().join(listed, "p_brand", "left")
+    return boards.select(lit("greenhouse").alias("source"), c("p_brand").alias("board"), c("p_brand").alias("company"), F.when(c("jobs").isNull(), '{"jobs":[]}').otherwise(F.to_json(F.struct("jobs"))).alias("body"))
+
+
+def _later_run(spark, d) -> jobs.Run:
+    """The second of two snapshots: postings that close, come and change, boards that fail or fall silent, repeated and invalid ones."""
+    parts, key = table(spark, d, "part").select("p_partkey", "p_brand", "p_name", "p_type"), c("p_partkey")
+    was = parts.filter(key % 5 != 0).select("p_partkey", "p_brand", c("p_name").alias("title"), "p_type", lit(1).alias("times"))
+    previous, _ = jobs.fresh(_greenhouse_boards(spark, d, was))
+    title = F.when(key % 31 == 0, "").when(key % 11 == 0, F.concat("p_name", lit(" II"))).otherwise(c("p_name"))
+    now = parts.filter((key % 7 != 0) & ~c("p_brand").endswith("5")).select("p_partkey", "p_brand", title.alias("title"), "p_type", F.when(key % 29 == 0, 2).otherwise(1).alias("times"))
+    answers = _greenhouse_boards(spark, d, now).withColumn("status", F.when(c("board").endswith("3"), 500).otherwise(200))
+    return jobs.run(answers.select("company", "source", "board"), answers, kept(previous.drop("unsupported")))
+
+
+_LATER_SQL = """p AS (SELECT p_partkey AS p, p_brand AS b, 'greenhouse:' || p_brand || ':' || p_partkey AS key, p_brand LIKE '%3' AS lost, p_brand LIKE '%5' AS quiet, p_partkey % 5 <> 0 AS was,
+      p_partkey % 7 <> 0 AND p_brand NOT LIKE '%3' AND p_brand NOT LIKE '%5' AS listed, p_partkey % 31 = 0 AS bad, p_partkey % 29 = 0 AS twice FROM part),
+    later AS (SELECT *, (listed AND NOT bad) OR (lost AND was) AS delivered FROM p)"""
+
+
+@query(f"WITH {_LATER_SQL} SELECT key, CASE WHEN NOT was THEN 'new' WHEN NOT delivered THEN 'closed' ELSE 'changed' END AS change FROM later WHERE was <> delivered OR (was AND delivered AND NOT lost AND p % 11 = 0)")
+def jobs_changes_later(spark, d):
+    return _later_run(spark, d).diff
+
+
+@query(
+    f"""WITH {_LATER_SQL}, found(name, item, place, most) AS (
+      SELECT 'schema', key || ': title: empty', key, 25 FROM later, range(2) WHERE listed AND bad AND (range = 0 OR twice) UNION ALL SELECT 'unique key', key, key, 3 FROM later WHERE listed AND NOT bad AND twice
+      UNION ALL SELECT DISTINCT 'fetch failures', 'greenhouse:' || b || ': status 500', b, 8 FROM p WHERE lost UNION ALL SELECT DISTINCT 'every board answered', 'greenhouse:' || b || ': status 500', b, 20 FROM p WHERE lost
+      UNION ALL SELECT 'no board went silent', 'greenhouse:' || b || ' (' || count(*) FILTER (WHERE was) || ' before)', b, 20 FROM p WHERE quiet GROUP BY b HAVING count(*) FILTER (WHERE was) >= 5),
+    f AS (SELECT name, count(*) AS n, array_to_string(list_slice(list(item ORDER BY place, item), 1, any_value(most)), '|') AS shown FROM found GROUP BY name),
+    names(name, after, blocking) AS (VALUES ('schema', ' invalid rows', true), ('unique key', ' duplicated keys', true), ('fetch failures', ' request(s) failed after retries', false), ('every board answered', NULL, false), ('no board went silent', NULL, true), ('evidence is verbatim', NULL, true)),
+    k(name, passed, detail, blocking) AS (SELECT name, f.n IS NULL, coalesce(coalesce(f.n, 0) || after, ''), blocking FROM names LEFT JOIN f USING (name) UNION ALL VALUES ('location resolved', true, '100.0 % of the postings', false))
+    SELECT k.*, CASE WHEN passed THEN 'PASS' WHEN blocking THEN 'FAIL' ELSE 'WARN' END AS status, CASE WHEN (SELECT bool_and(passed OR NOT blocking) FROM k) THEN 'READY' ELSE 'NOT READY' END AS verdict, coalesce(f.shown, '') AS shown
+    FROM k LEFT JOIN f USING (name)"""
+)
+def jobs_gate_failing(spark, d):
+    run = _later_run(spark, d)
+    return contracts.with_samples(run.checks, run.samples).withColumn("shown", F.array_join("shown", "|"))
+
+
 @query("SELECT DISTINCT 'greenhouse:' || p_brand AS board, 'https://boards-api.greenhouse.io/v1/boards/' || p_brand || '/jobs' AS endpoint FROM part")
 def board_endpoints(spark, d):
     keys = table(spark, d, "part").select(F.concat(lit("greenhouse:"), "p_brand", lit(":"), c("p_partkey").cast("string")).alias("key"))

@@ -39,24 +39,26 @@ def write_json(spark: SparkSession, data, path: str) -> None:
     files.write_text(spark, path, json.dumps(data, ensure_ascii=False, indent=2, default=str) + "\n")
 
 
-def report(name: str, checks: DataFrame, errors: DataFrame, fills: DataFrame, rows_in: int, delivered: int, stats: dict | None = None, notes: tuple[str, ...] = (), elapsed: float | None = None) -> dict:
-    """Of a run: verdict, rows in and delivered, checks, the first errors by row, fill rates, fetch statistics, seconds, notes.
+def report(name: str, checks: DataFrame, errors: DataFrame, fills: DataFrame, rows_in: int, delivered: int, stats: dict | None = None, notes: tuple[str, ...] = (), elapsed: float | None = None, samples: DataFrame | None = None) -> dict:
+    """Of a run: verdict, rows in and delivered, checks (with samples of what they found), the first errors by row, fill rates,
+    fetch statistics, seconds, notes.
 
     checks and fills are small tables (a row for each check or field); of errors (row_order, key, errors) SHOWN rows are read.
     """
     told = [c.asDict() for c in checks.collect()]
+    shown = {} if samples is None else {r["check"]: r["shown"] for r in samples.select("check", "shown").collect()}
     ready = all(c["passed"] or not c["blocking"] for c in told)
     first = [e.asDict() for e in errors.orderBy("row_order").limit(SHOWN).collect()]
     return {
         "dataset": name, "verdict": "READY" if ready else "NOT READY", "rows_in": rows_in, "rows_delivered": delivered,
-        "checks": [{k: c[k] for k in ("name", "passed", "detail", "blocking")} for c in told], "errors": first,
+        "checks": [{k: c[k] for k in ("name", "passed", "detail", "blocking")} | ({"shown": shown[c["name"]]} if c["name"] in shown else {}) for c in told], "errors": first,
         "fill_rates": {f["field"]: f["fill_rate"] for f in fills.collect()}, "fetch": stats, "elapsed_s": None if elapsed is None else round(elapsed, 2), "notes": list(notes),
     }
 
 
 def markdown(told: dict) -> str:
     lines = [f"# {told['dataset']}: {told['verdict']}", "", f"{told['rows_delivered']} of {told['rows_in']} rows delivered" + (f" in {told['elapsed_s']} s" if told["elapsed_s"] is not None else ""), "", "| check | status | detail |", "|---|---|---|"]
-    lines += [f"| {c['name']} | {'PASS' if c['passed'] else 'FAIL' if c['blocking'] else 'WARN'} | {c['detail']} |" for c in told["checks"]]
+    lines += [f"| {c['name']} | {'PASS' if c['passed'] else 'FAIL' if c['blocking'] else 'WARN'} | {c['detail']}{'; e.g. ' + ', '.join(c['shown']) if c.get('shown') else ''} |" for c in told["checks"]]
     if told["fill_rates"]:
         lines += ["", "| field | filled |", "|---|---|", *(f"| {k} | {v * 100:.1f} % |" for k, v in told["fill_rates"].items())]
     if told["errors"]:
