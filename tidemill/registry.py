@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.functions import places, text
+from tidemill.functions import gazetteer, places, text
 from tidemill.operators import contracts, extraction, fetchlog, history, snapshots, upserts
 from tidemill.plans import books, jobs, quotes
 from tidemill.sources import ingest, parsers, runs, sinks
@@ -143,6 +143,12 @@ def place_codes(spark, d):
     return _located(spark, d).select("c_custkey", F.array_join("countries", "|").alias("countries"))
 
 
+@query(ORACLE_SQL["place_codes"])
+def place_codes_automaton(spark, d):
+    rows = _located(spark, d).withColumn("countries", gazetteer.codes(c("folded"), places.CODE_OF))
+    return rows.select("c_custkey", F.array_join("countries", "|").alias("countries"))
+
+
 @query("SELECT c_custkey, CASE WHEN c_custkey % 6 IN (0, 4) THEN true WHEN c_custkey % 6 = 5 AND c_custkey % 4 = 0 THEN true WHEN c_custkey % 6 IN (1, 2) THEN false END AS open FROM customer")
 def eligibility_three_valued(spark, d):
     return _located(spark, d).select("c_custkey", places.open_to("CO", c("countries"), c("folded"), c("remote")).alias("open"))
