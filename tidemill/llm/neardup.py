@@ -44,6 +44,8 @@ BANDS, ROWS, WIDTH, LEAST = 24, 5, 5, 0.8
 MISS, LONGEST = 1e-4, 512
 #: Rows up to which a bucket counts as small, comparisons of a task, and cells that shingles are counted in to rank them.
 SMALL, BLOCK, CELLS = 64, 1 << 18, 1 << 16
+#: Rows of a tile's side.
+SIDE = 512
 #: Partial counts that are added up side by side.
 FAN = 32
 
@@ -238,19 +240,21 @@ def across(buckets: DataFrame, least: float, leads: Column | None = None) -> Dat
 
     Sizes must allow the similarity, and so must places: if the bucket's element is the first that two sets share, no
     more than what follows it can be shared; if it is not, they meet in the bucket of the first. A bucket's rows are dealt
-    out by a hash, and the few that are compared with all of them are copied to each part.
+    out by a hash, and so are those that are compared with all of them; what meets is a tile of both, of about BLOCK
+    comparisons. Either side is copied as often as the other has parts: n rows and m of them make 2nm / SIDE copies at most.
     """
     times = F.col("size") - F.col("top") if leads is None else F.lit(1)
-    parts = F.ceil(F.col("size") * times / F.lit(BLOCK)).cast("int")
-    every = buckets.withColumn("part", F.pmod(F.xxhash64("rid"), parts).cast("int"))
+    sides = F.ceil(times / F.lit(SIDE)).cast("int")
+    parts = F.ceil(F.col("size") * times / (F.lit(BLOCK) * sides)).cast("int")
+    every = buckets.select("*", F.pmod(F.xxhash64("rid"), parts).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), sides - 1)).alias("side"))
     one = (buckets.filter("label != lead") if leads is None else buckets.filter(leads)).select(
-        F.col("bucket").alias("bucket_r"), F.col("rid").alias("r"), F.col("n").alias("n_r"), F.col("at").alias("at_r"), F.col("label").alias("label_r"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part_r")
+        F.col("bucket").alias("bucket_r"), F.col("rid").alias("r"), F.col("n").alias("n_r"), F.col("at").alias("at_r"), F.col("label").alias("label_r"), F.pmod(F.xxhash64("rid", F.lit(7)), sides).cast("int").alias("side_r"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part_r")
     )
     need = shared_at_least("n", "n_r", least)
     meet = (F.col("label") != F.col("label_r")) & (F.least("n", "n_r") >= least * F.greatest("n", "n_r") - 1e-6) & (F.least(F.col("n") - F.col("at"), F.col("n_r") - F.col("at_r")) >= need)
     if leads is None:
         meet &= (F.col("label") == F.col("lead")) | (F.col("rid") < F.col("r"))
-    same = (every["bucket"] == one["bucket_r"]) & (every["part"] == one["part_r"])
+    same = (every["bucket"] == one["bucket_r"]) & (every["part"] == one["part_r"]) & (every["side"] == one["side_r"])
     return every.join(one, same & meet).select(F.least("rid", "r").alias("a"), F.greatest("rid", "r").alias("b"))
 
 
