@@ -92,6 +92,27 @@ def test_chat_rows_come_through_several_layouts(spark):
     assert spoken == Counter((c, t + 1, r, x) for c, t, r, x in rows)
 
 
+def test_pairs_across_classes_are_compared_in_tiles(spark):
+    n = 5000  # one bucket, every row a class of its own
+    rows = spark.range(n).select(F.lit(1).alias("bucket"), F.col("id").alias("rid"), F.lit(10).alias("n"), F.lit(0).alias("at"), F.col("id").alias("label"), F.lit(n).alias("size"), F.lit(1).alias("top"), F.lit(0).cast("long").alias("lead"))
+    pairs = neardup.across(rows, 0.8)
+    assert pairs.count() == n * (n - 1) // 2 and pairs.distinct().count() == n * (n - 1) // 2
+    found = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count("Generate") == 2
+    tiles = -(-(n - 1) // neardup.SIDE)
+    copies = n * tiles + (n - 1) * -(-n * (n - 1) // (neardup.BLOCK * tiles))
+    assert copies <= 2.1 * n * n / neardup.SIDE
+
+
+def test_language_sample_is_bounded_in_code_points(spark):
+    rows = [(i, ("the cat sat " if i % 2 else "der hund lief ") * 20, "en" if i % 2 else "de", None, None) for i in range(400)] + [(None, "no id at all", "en", None, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert langid.learn(df, langid.Parameters(most_total=0)).languages == []
+    whole = langid.learn(df)
+    assert whole.languages == ["de", "en"] and langid.learn(df.repartition(5), langid.Parameters(most_total=8_000)).languages == ["de", "en"]
+    assert whole.predict(["der hund", "the cat"])[0] == ["de", "en"]
+
+
 def test_token_counts_are_linear_in_one_unbroken_piece():
     import time
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.codes import LETTER, kinds, pack
-from tidemill.llm.common import PIECE, held_out, in_arrow, pieces_of, release, slices
+from tidemill.llm.common import PIECE, held_out, in_arrow, local, pieces_of, release, slices
 from tidemill.llm.samples import pick
 from tidemill.llm.subword import Bags, Embedder, by_text, softmax
 
@@ -33,10 +33,11 @@ UNDETERMINED = "und"
 @dataclass(frozen=True)
 class Parameters:
     #: The bound of the sample: about so many documents of each language (fewer of each if there are many languages, so
-    #: that all come to so many rows), none longer than so many code points.
+    #: that all come to so many rows), none longer than so many code points, all together no more than most_total.
     per_class: int = 700
     most_rows: int = 50_000
     most_chars: int = 50_000
+    most_total: int = 100_000_000
     orders: tuple[int, ...] = (3, 4)
     bits: int = 16
     dims: int = 16
@@ -120,10 +121,20 @@ def fit(sample: list[tuple[str, str]], p: Parameters = Parameters()) -> Model:
 
 def learn(documents: DataFrame, p: Parameters = Parameters()) -> Model:
     """A model of lang, from text and non-null lang of documents that are not held out."""
-    known = ~held_out() & F.col("lang").isNotNull() & (F.length("text") <= p.most_chars)
-    rows = documents.filter(known).select("doc_id", F.col("lang").cast("string").alias("label"), "text")
-    chosen, _ = pick(rows, p.per_class, p.most_rows)
-    model = fit(sorted((r["text"], r["label"]) for r in chosen.collect()), p)
+    known = documents.filter(~held_out() & F.col("lang").isNotNull() & (F.length("text") <= p.most_chars)).select("doc_id", F.col("lang").cast("string").alias("label"), "text")
+    # ids are ranked and collected first, so that no task sorts texts, and the driver gets only those it learns from
+    chosen, _ = pick(known.select("doc_id", "label", F.length("text").alias("size")), p.per_class, p.most_rows)
+    ids, total = {}, 0
+    for r in chosen.collect():
+        total += r["size"]
+        if total > p.most_total:
+            break
+        ids[r["doc_id"], r["label"]] = None
+    sample = []
+    if ids:
+        small = F.broadcast(local(documents.sparkSession, list(ids), known.select(F.col("doc_id").alias("_id"), F.col("label").alias("_label")).schema))
+        sample = known.join(small, known["doc_id"].eqNullSafe(small["_id"]) & (known["label"] == small["_label"])).select("text", "label").collect()
+    model = fit(sorted((r["text"], r["label"]) for r in sample), p)
     release()
     return model
 
