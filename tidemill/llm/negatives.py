@@ -156,44 +156,56 @@ def group_search(anchors: dict, table: dict, centres: np.ndarray, most: int, sam
 
     anchors: id, label, v, and for each window its anchor (at), low and high score (integers, ends included).
     """
-    best, m = Best(len(anchors["at"]), most), len(centres)
-    d = table["v"].shape[1]
+    m, d = len(centres), table["v"].shape[1]
     wide = lambda v: np.pad(v.astype(np.float64), ((0, 0), (0, m * SUB - d)))
+    largest = [int(np.abs(x["v"]).max(initial=0)) for x in (anchors, table)]
+    small = d * largest[0] * largest[1] < 1 << 53  # then sums of products are exact as doubles too
+    window, score, row = [], [], []
     for a0 in range(0, len(anchors["id"]), TILE_ANCHORS):
         mine = slice(a0, a0 + TILE_ANCHORS)
         v, ids, labels = anchors["v"][mine].astype(np.int64), anchors["id"][mine], anchors["label"][mine]
-        own = (anchors["at"] >= a0) & (anchors["at"] < a0 + TILE_ANCHORS)
-        which = np.flatnonzero(own)
-        at = anchors["at"][which] - a0
-        stretches = wide(anchors["v"][mine]).reshape(len(v), m, SUB)
+        which = np.flatnonzero((anchors["at"] >= a0) & (anchors["at"] < a0 + TILE_ANCHORS))
+        at, lows, highs = anchors["at"][which] - a0, anchors["low"][which], anchors["high"][which]
+        first, last = (np.searchsorted(at, np.arange(len(v)), side) for side in ("left", "right"))
+        best = Best(len(which), most)
+        stretches = wide(v).reshape(len(v), m, SUB)
         lut = np.einsum("ams,mcs->mac", stretches, centres)
         sizes = np.sqrt((stretches**2).sum(2))
         for r0, r1 in tiles(len(table["id"])):
-            score = np.zeros((len(v), r1 - r0))
+            about = np.zeros((len(v), r1 - r0))
             for i in range(m):
-                score += lut[i][:, table["codes"][r0:r1, i]]
+                about += lut[i][:, table["codes"][r0:r1, i]]
             slack = sizes @ table["norms"][r0:r1].T.astype(np.float64)
-            slack += 1e-6 * (np.abs(score) + slack) + 1e-3
+            slack += 1e-6 * (np.abs(about) + slack) + 1e-3
             # rows come by vec_id: one that only ties with the last one held comes after it
             low, high = np.full(len(v), np.inf), np.full(len(v), -np.inf)
-            np.minimum.at(low, at, np.maximum(anchors["low"][which], best.floor[which] + 1))
-            np.maximum.at(high, at, anchors["high"][which])
-            hit = (score + slack >= low[:, None]) & (score - slack <= high[:, None])
+            np.minimum.at(low, at, np.maximum(lows, best.floor + 1))
+            np.maximum.at(high, at, highs)
+            hit = (about + slack >= low[:, None]) & (about - slack <= high[:, None])
             alike = labels[:, None] == table["label"][None, r0:r1]
             hit &= (alike & (ids[:, None] != table["id"][None, r0:r1])) if same else ~alike
             ai, ri = np.nonzero(hit)
+            # where much is left, the whole tile is scored at once
+            whole = v.astype(np.float64) @ table["v"][r0:r1].T.astype(np.float64) if small and len(ai) > hit.size // 64 else None
             for p0 in range(0, len(ai), PAIRS):
-                a, r = ai[p0 : p0 + PAIRS], ri[p0 : p0 + PAIRS] + r0
-                exact = (v[a] * table["v"][r]).sum(1)
+                a, r = ai[p0 : p0 + PAIRS], ri[p0 : p0 + PAIRS]
+                exact = (v[a] * table["v"][r0 + r]).sum(1) if whole is None else whole[a, r].astype(np.int64)
                 # each pair meets the windows of its anchor, which lie together in order
-                first, last = np.searchsorted(at, a), np.searchsorted(at, a, "right")
+                found = []
                 for k in range(int((last - first).max(initial=0))):
-                    some = first + k < last
-                    w = which[(first + k)[some]]
-                    s = exact[some]
-                    inside = (s >= anchors["low"][w]) & (s <= anchors["high"][w]) & (s > best.floor[w])
-                    best.add(w[inside], s[inside], r[some][inside])
-    return best
+                    w = first[a] + k
+                    some = np.flatnonzero(w < last[a])
+                    w, s = w[some], exact[some]
+                    inside = (s >= lows[w]) & (s <= highs[w]) & (s > best.floor[w])
+                    found.append((w[inside], s[inside], r0 + r[some][inside]))
+                if any(len(w) for w, _, _ in found):
+                    best.add(*(np.concatenate(c) for c in zip(*found, strict=True)))
+        window.append(which[best.window])
+        score.append(best.score)
+        row.append(best.row)
+    out = Best(0, most)
+    out.window, out.score, out.row = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (window, score, row))
+    return out
 
 
 def tiles(n: int):
