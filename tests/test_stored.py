@@ -4,7 +4,8 @@ import hashlib
 import json
 from pathlib import Path
 
-from tidemill.operators import upserts
+from tidemill import registry
+from tidemill.operators import extraction, snapshots, upserts
 from tidemill.sources import ingest, runs
 
 
@@ -47,3 +48,26 @@ def test_compacted_checkpoint_equals_the_plain_one_with_few_runs(spark, tmp_path
     spark.createDataFrame([("k0", (-1,), 0, 0)], "key string, value struct<a:int>, append long, line_no long").write.parquet(f"{path}/run-0-0")
     assert {r["key"]: r["value"]["a"] for r in runs.checkpoint(spark, path, "struct<a:int>").collect()} == got
     assert runs.checkpoint(spark, str(tmp_path / "none"), "struct<a:int>").count() == 0
+
+
+def test_reports_are_in_order(spark):
+    before, now = registry._cuts(spark, "/root/testdata/sf0.001")
+    rows = [tuple(r) for r in snapshots.in_order(snapshots.diff(before, now, ["o_orderkey"], ["o_orderstatus"]), ["o_orderkey"]).select("change", "o_orderkey").collect()]
+    kinds = ["new", "closed", "changed"]
+    assert rows == sorted(rows, key=lambda r: (kinds.index(r[0]), r[1])) and {k for k, _ in rows} == set(kinds)
+    families = [(r["company"], r["title"]) for r in registry.family_rollup(spark, "/root/testdata/sf0.001").orderBy("company", "title").collect()]
+    assert families == sorted(families)
+
+
+def answer(text, fields):
+    return {f: ("1", "word") for f in fields}
+
+
+def test_extractor_comes_from_the_environment(monkeypatch):
+    monkeypatch.delenv("TIDEMILL_EXTRACTOR", raising=False)
+    assert extraction.from_environment() is None
+    monkeypatch.setenv("TIDEMILL_EXTRACTOR", f"{__name__}:answer")
+    function, calls = extraction.from_environment()
+    assert function("x", ["a"]) == {"a": ("1", "word")} and calls == 40
+    monkeypatch.setenv("TIDEMILL_CALLS", "3")
+    assert extraction.from_environment()[1] == 3
