@@ -71,14 +71,38 @@ class Transducer:
         return number << 16 | emitted + OFFSET
 
     def run(self, piece: bytes) -> int:
-        state, total, table = 0, 0, self.table
+        return self.advance(0, piece)[1]
+
+    def advance(self, state: int, piece: bytes) -> tuple[int, int]:
+        """The state after a stretch of a piece that is entered in a state, and what the transitions emit on that way."""
+        total, table = 0, self.table
         for byte in piece:
             got = table.get(state | byte)
             if got is None:
                 got = table[state | byte] = self.compile(state >> 8, byte)
             state = got >> 16 << 8
             total += (got & 0xFFFF) - OFFSET
-        return total
+        return state, total
+
+    def through(self, start: int, end: int, cut, told: dict[tuple[int, int, int], int]) -> int:
+        """The number of tokens of a piece that goes on through chunks, places in the grid.
+
+        told keeps what is emitted from a chunk's beginning to the piece's end by the state there. Whatever chunk a piece is
+        taken to start in, few states are met further on, so each chunk is read a few times at most.
+        """
+        text = lambda a, b: cut(np.array([a]), np.array([b]))[0].encode("utf-8", "replace")
+        at, way = min((start // self.chunk + 1) * self.chunk, end), []
+        state, first = self.advance(0, text(start, at))
+        while at < end and (at, state, end) not in told:
+            stop = min(at + self.chunk, end)
+            after, emitted = self.advance(state, text(at, stop))
+            way.append(((at, state, end), emitted))
+            at, state = stop, after
+        rest = told[at, state, end] if at < end else 0
+        for key, emitted in reversed(way):
+            rest += emitted
+            told[key] = rest
+        return first + rest
 
     def emitted(self, pieces: list[str]) -> np.ndarray:
         """The number of tokens of each piece: what the transitions through it emit."""
@@ -110,8 +134,15 @@ class Transducer:
         counts = np.zeros((len(chunks.maps), 8), np.int64)
         counts += np.bincount(start // self.chunk, weights=self.emitted(cut(start, np.append(start[1:], chunks.marks.size))), minlength=len(counts)).astype(np.int64)[:, None]
         row, state, own, other = chunks.others()
+        told: dict[tuple[int, int, int], int] = {}
         for sign, (k, a, b) in ((-1, own), (1, other)):
-            np.add.at(counts, (row[k], state[k]), sign * self.emitted(cut(a, b)))
+            n, far = np.zeros(len(k), np.int64), b - a > self.chunk
+            n[~far] = self.emitted(cut(a[~far], b[~far]))
+            told.clear()  # states may have been numbered anew
+            # several states give the same piece
+            pairs, which = np.unique(np.stack([a[far], b[far]], axis=1), axis=0, return_inverse=True)
+            n[far] = np.array([self.through(x, y, cut, told) for x, y in pairs.tolist()], np.int64)[which.ravel()]
+            np.add.at(counts, (row[k], state[k]), sign * n)
         return chunks, counts
 
     def plain(self, texts: list[str]) -> np.ndarray:
