@@ -691,6 +691,9 @@ COLUMNS = {
     "op8_main_text": "page_id bigint, url string, text string, n_chars bigint",
     "op9_bpe_codec": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op10_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op11_prefix_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
+    "op12_hard_negatives": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint",
+    "op13_secret_scan": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
 }
 
 
@@ -704,7 +707,7 @@ def test_registered_queries_against_brute_force(spark, documents, library):
         got[name] = [r.asDict() for r in df.collect()]
     docs = sorted(((r["doc_id"], r["text"] or "") for r in documents.collect()), key=lambda r: -r[0])
     sha = lambda b: hashlib.sha256(b).hexdigest()
-    by = {n: {r["doc_id"]: r for r in rows} for n, rows in got.items() if n not in ("op1_chat_format", "op8_main_text")}
+    by = {n: {r["doc_id"]: r for r in rows} for n, rows in got.items() if n not in ("op1_chat_format", "op8_main_text", "op11_prefix_trie", "op12_hard_negatives")}
     assert all(len(got[n]) == len(docs) == len(by[n]) for n in by)
     spotted = {i: (n, digest, a, b) for i, n, digest, a, b in brute_spots(docs)}
     classes = dict(brute_classes(docs))
