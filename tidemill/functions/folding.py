@@ -66,7 +66,7 @@ def fold(text: Column) -> Column:
     before, after, several = tables()
     # most characters are told by the first part
     wide = f"[[^\\x00-\\x7f]&&[\\x{{{HANGUL:x}}}-\\x{{{HANGUL + SYLLABLES - 1:x}}}{_ranges(c for c in several if c not in COMMON)}]]"
-    keys, values = F.lit("".join(several)), F.array(*map(F.lit, several.values()))
+    keys, values = F.lit("".join(several)), F.split(F.lit("\0".join(several.values())), "\\x00")
 
     def one(c: Column) -> Column:
         # the code point, from UTF-32
