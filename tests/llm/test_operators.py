@@ -663,6 +663,65 @@ def test_pages_lose_no_text(source, want):
     assert pages.main_text(source) == want
 
 
+LEAD = "The lead of it."
+WITHIN = "<nav><ul><li><a>x y</a></li></ul></nav>" + ARTICLE
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<header><p>{}</p></header>", "<section class='social-science'><p>{}</p></section>", "<section class='menu-planning'><p>{}</p></section>", "<div class='story-header'><p>{}</p></div>",
+        "<div class='storyHeader'>{}</div>", "<p class='tags'>{}</p>", "<div class='zyx'><p>{}</p></div>",
+    ],
+)
+def test_an_articles_own_parts_stay(part):
+    assert pages.main_text(WITHIN.format(part.format(LEAD))) == PROSE.format("\n\n" + LEAD)
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<div class='ad'><p>{}</p></div>", "<aside><p>{}</p></aside>", "<nav><p>{}</p></nav>", "<form><p>{}</p></form>", "<footer><p>{}</p></footer>", "<div class='article-comments'><p>{}</p></div>",
+        "<div class='related-list'><p>{}</p></div>", "<div class='zyx-advert'>{}</div>", "<div class='newsletter'><p>{}</p></div>", "<div class='cookie-notice'><p>{}</p></div>", "<div class='share-links'><p>{}</p></div>",
+    ],
+)
+def test_what_stands_in_an_article_without_being_part_of_it_goes(part):
+    assert pages.main_text(WITHIN.format(part.format(LEAD))) == PROSE.format("")
+
+
+@pytest.mark.parametrize("body", ["<body>", "<body class='has-sidebar'>"])
+def test_a_menu_does_not_end_a_page_without_an_article(body):
+    menu = "<ul class=menu>" + "<li><a>item one</a></li>" * 9 + "</ul>"
+    source = f"{body}<h1>Title here</h1><p>One two three four.</p>{menu}<p>Five six seven eight.</p><footer><p>c 2020</p></footer></body>"
+    assert pages.main_text(source) == "Title here\n\nOne two three four.\n\nFive six seven eight."
+
+
+def test_deep_nesting_takes_time_in_proportion():
+    import time
+
+    for opened in ("<div class='c{}x'>", "<b id='c{}x'>", "<p><object><div class='c{}'>"):
+        source = "".join(opened.format("".join(chr(97 + i // 26**k % 26) for k in range(3))) for i in range(20_000))
+        pages.main_text("<p>Words that warm up.</p>")
+        began = time.process_time()
+        got = pages.main_text(source + "<article><p>One two three.</p></article>")
+        assert time.process_time() - began < 3 and (got == "One two three." or "object" in opened)
+
+
+def test_names_hold_where_their_elements_do():
+    """Names of each text run against a plain walk up the tree, and scores against the sum over all names."""
+    source = "<div class='a b-c'><p class=a>One<b id=d>two</b></p><article class=a><h1>Three</h1><section class=a><i>four</i></section></article></div><p>Five</p>"
+    page = pages.read(source)
+    names = [page.names(x.node) for x in page.items if isinstance(x, pages.Text)]
+    outer = {"<div>", "a", "=b-c", "b-", "-c"}
+    within = outer | {"<article>"}
+    assert names == [outer | {"<p>"}, outer | {"<p>", "<b>", "d"}, within | {"<h1>", "in <h1>"}, within | {"<section>", "in <section>", "in a", "<i>", "in <i>"}, {"<p>"}]
+    w = pages.weights()
+    scores = page.scores(w)
+    for x in page.items:
+        if isinstance(x, pages.Text):
+            assert scores[x.node] == pytest.approx(w.bounded(w.bias + sum(w.names.get(n, 0.0) for n in page.names(x.node))))
+
+
 def test_weights_learned_from_the_tables_pages(spark):
     """Held-out pages are exact with weights of the others, and an empty table leaves those of the pages made here."""
     import html
