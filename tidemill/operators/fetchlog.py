@@ -18,29 +18,53 @@ def looks_blocked(status: Column, body: Column) -> Column:
     return status.isin(*BLOCKING) & F.lower(F.substring(F.coalesce(body, F.lit("")), 1, 8000)).rlike("|".join(MARKERS))
 
 
-#: Ranges of order that a host's requests are cut into, so that a host with most of the log is read by many tasks.
-RANGES = 64
+#: Requests of one host that a single window task may take, about; a host with more is cut into ranges of its order.
+PART_ROWS = 1 << 20
+#: Large hosts that are broadcast at most, and cuts that a request is compared with at a time.
+MOST_HOSTS, STRIDE = 100_000, 64
 
 
-def _in_ranges(requests: DataFrame, order: str) -> DataFrame:
-    """requests with _range: which of RANGES stretches of order (a number or a time) a request falls in, all of about one size."""
-    at = F.col(order).cast("double")
-    cuts = requests.agg(F.percentile_approx(at, F.array(*(F.lit(i / RANGES) for i in range(1, RANGES))), 10 * RANGES).alias("c")).first()["c"] or []
-    return requests.withColumn("_range", F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))).cast("array<double>"), lambda c: c <= at)))
+def _below(cuts: list[float], at: Column) -> Column:
+    """How many of the sorted cuts lie at or below `at`, in two steps: strides first, then within one."""
+    listed = lambda some: F.array(*map(F.lit, some)).cast("array<double>")
+    count = lambda some: F.size(F.filter(some, lambda c: c <= at))
+    coarse = F.greatest(count(listed(cuts[::STRIDE])) - 1, F.lit(0)) * STRIDE
+    return coarse + count(F.slice(listed(cuts), coarse + 1, F.lit(STRIDE)))
+
+
+def _in_ranges(requests: DataFrame, host: str, order: str) -> DataFrame | None:
+    """requests with _range: 0, or for hosts of over PART_ROWS requests the stretch of order that a request falls in.
+
+    There are as many stretches as it takes for each to hold fewer requests than that, of all large hosts together; so a
+    host whose requests come at once is cut as well. None if no host is large.
+    """
+    sizes = requests.groupBy(F.col(host).alias("_h")).agg(F.count("*").alias("_n")).filter(F.col("_n") > PART_ROWS)
+    large = sizes.agg(F.count("*").alias("hosts"), F.sum("_n").alias("rows")).first()
+    if not large["hosts"]:
+        return None
+    sizes = F.broadcast(sizes) if large["hosts"] <= MOST_HOSTS else sizes
+    rows = requests.join(sizes, F.col(host).eqNullSafe(F.col("_h")), "left")
+    at, n = F.col(order).cast("double"), 1 + 2 * large["rows"] // PART_ROWS
+    cuts = rows.filter("_n is not null").agg(F.percentile_approx(at, F.array(*(F.lit(i / n) for i in range(1, n))), 10 * n).alias("c")).first()["c"] or []
+    return rows.withColumn("_range", F.when(F.col("_n").isNull(), 0).otherwise(_below(sorted(set(cuts)), at))).drop("_h", "_n")
 
 
 def paced(requests: DataFrame, host: str, order: str, arrival: Column, interval: Column) -> DataFrame:
     """requests with slot: each host's requests at least its interval apart, in order.
 
-    slot_i = max(arrival_i, slot_(i-1) + d) in closed form: i * d + the running maximum of arrival_j - j * d. Count and
-    maximum are carried from range to range (a prefix scan over a few rows for each host), so no task has to sort all of
-    a host's requests.
+    slot_i = max(arrival_i, slot_(i-1) + d) in closed form: i * d + the running maximum of arrival_j - j * d. Within a host
+    that one task can take this is one window. Large hosts are cut into ranges of order: count and maximum are carried from
+    range to range (a prefix scan over one row for each range), so no task has to sort all of a host's requests.
     """
-    rows = _in_ranges(requests, order).withColumn("_d", interval).withColumn("_arrival", arrival)
+    ranges = _in_ranges(requests, host, order)
+    rows = requests.withColumn("_range", F.lit(0)) if ranges is None else ranges
+    rows = rows.withColumn("_d", interval).withColumn("_arrival", arrival)
     own = Window.partitionBy(host, "_range").orderBy(order)
     rows = rows.withColumn("_i", F.row_number().over(own) - 1)
     free = F.col("_arrival") - F.col("_i") * F.col("_d")
     rows = rows.withColumn("_top", F.max(free).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    if ranges is None:
+        return rows.withColumn("slot", F.col("_i") * F.col("_d") + F.col("_top")).select(*requests.columns, "slot")
     whole = rows.groupBy(host, "_range").agg(F.count("*").alias("_n"), F.max(free).alias("_m"), F.first("_d").alias("_d"))
     before = Window.partitionBy(host).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = whole.withColumn("_count", F.coalesce(F.sum("_n").over(before), F.lit(0)))
