@@ -814,6 +814,58 @@ def json_safe_rows(spark, d):
     return sinks.json_safe(table(spark, d, "orders").select("o_orderkey", c("o_totalprice").cast(DEC).alias("price"), "o_orderstatus"))
 
 
+# What sinks write, read back
+
+
+@query("SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS status, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders")
+def jsonl_read_back(spark, d):
+    """Lines of JSON with decimals as text, ISO dates and nulls that stay."""
+    path = scratch(spark, "jsonl")
+    status = F.when(c("o_orderkey") % 7 != 0, c("o_orderstatus"))
+    sinks.write_jsonl(table(spark, d, "orders").select("o_orderkey", c("o_totalprice").cast(DEC).alias("price"), status.alias("status"), c("o_orderdate").cast("date").alias("day")), path)
+    out = kept(spark.read.schema("o_orderkey bigint, price string, status string, day string").json(path))
+    delete(spark, path)
+    return out
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type || ', "' || CAST(user_id AS VARCHAR) || '"' || chr(10) || 'end' END AS note, CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END AS flag FROM events""")
+def csv_read_back(spark, d):
+    """CSV whose cells hold commas, quotation marks and line breaks; null and empty are both an empty cell."""
+    path = scratch(spark, "csv")
+    note = F.when(c("event_id") % 5 != 0, F.concat(c("event_type"), lit(', "'), c("user_id").cast("string"), lit('"\nend')))
+    sinks.write_csv(table(spark, d, "events").select("event_id", note.alias("note"), (c("user_id") % 2 == 0).alias("flag")), path)
+    out = kept(spark.read.schema("event_id string, note string, flag string").csv(path, header=True, multiLine=True, escape='"'))
+    delete(spark, path)
+    return out
+
+
+@query("SELECT p_partkey, p_brand, CASE WHEN p_partkey % 2 = 0 THEN 'second' ELSE 'first' END AS run FROM part")
+def published_snapshot(spark, d):
+    """The snapshot that readers see after a run that passed, one that the gate stopped, and a later one that carries the first's odd keys."""
+    final, parts = scratch(spark, "final"), table(spark, d, "part").select("p_partkey", "p_brand")
+    put = lambda rows, ready: sinks.publish(spark, ready, {"parts": lambda p: rows.write.parquet(p)}, final)
+    seen = lambda: ingest.snapshot(spark, f"{sinks.current(spark, final)}/parts", "p_partkey bigint, p_brand string, run string")
+    put(parts.withColumn("run", lit("first")), True)
+    put(parts.limit(0).withColumn("run", lit("stopped")), False)
+    put(seen().filter("p_partkey % 2 <> 0").unionByName(parts.filter("p_partkey % 2 = 0").withColumn("run", lit("second"))), True)
+    out = kept(seen())
+    delete(spark, final)
+    return out
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
+def resume_after_checkpoints(spark, d):
+    """Customers that are left after two appends to a checkpoint, the second by a run that skipped what the first had done."""
+    path, todo = scratch(spark, "checkpoint"), table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    done = lambda: ingest.snapshot(spark, path, "c_custkey bigint, value string")
+    for segments in (["BUILDING"], ["BUILDING", "MACHINERY"]):
+        left = ingest.remaining(todo, done(), "c_custkey")
+        sinks.add_checkpoint(left.filter(c("c_mktsegment").isin(segments)).select("c_custkey", c("c_mktsegment").alias("value")), path)
+    out = kept(ingest.remaining(todo, done(), "c_custkey"))
+    sinks.remove_checkpoint(spark, path)
+    return out
+
+
 # Pages and boards of every kind, made from tables
 
 STARS = ("One", "Two", "Three", "Four", "Five")
