@@ -87,6 +87,8 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 _ROOTS: set[str] = set()
+#: Tasks for each core that spread() makes, so that none is long and all cores end about together.
+TASKS = 3
 
 
 def kept(df: DataFrame, name: str = "kept") -> DataFrame:
@@ -98,6 +100,15 @@ def kept(df: DataFrame, name: str = "kept") -> DataFrame:
     return out
 
 
+def spread(rows: DataFrame, *key: str) -> DataFrame:
+    """rows over all cores, by a key that few rows share.
+
+    A table of small rows is one file, or a few parts of one, however many rows it has: work on each row that costs more
+    than reading it would run in as many tasks. To be called while the rows are still small.
+    """
+    return rows.repartition(TASKS * rows.sparkSession.sparkContext.defaultParallelism, *key)
+
+
 def forget(*tables: DataFrame) -> None:
     """Deletes tables that kept() gave and that nothing still to be computed reads."""
     for df in tables:
