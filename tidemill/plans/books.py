@@ -61,7 +61,9 @@ def run(home: DataFrame, listings: DataFrame, pages: DataFrame, done: DataFrame
     if categories is not None:
         total = None
         listings = listings.join(F.broadcast(ingest.first_categories(named, categories).select("category")), "category", "left_semi")
-    listed = listings.withColumn("links", parsers.listing_links("html", "url")).withColumn("declared", text.first_int(parsers.declared_count("html", "url")))
+    # each page is parsed once, for all that is asked of it below
+    seen = listings.withColumn("p", parsers.listing_page("html", "url"))
+    listed = kept(seen.select("category", "page", "p.links", F.col("p.next").isNotNull().alias("has_next"), text.first_int(F.col("p.declared")).alias("declared")), "listings")
     links = listed.select("category", F.col("page").alias("listing_no"), F.posexplode("links").alias("pos", "url"))
     firsts = ingest.first_listing(links)
     todo = firsts if done is None else ingest.remaining(firsts, done, "url")
@@ -72,7 +74,7 @@ def run(home: DataFrame, listings: DataFrame, pages: DataFrame, done: DataFrame
     declared = listed.groupBy("category").agg(F.max("declared").alias("declared"))
     where = F.concat_ws(" page ", "listing", "page")
     short = contracts.group_coverage(links, declared, "category").filter("not complete")
-    gaps = ingest.page_gaps(listed.select(F.col("category").alias("listing"), "page", parsers.next_link("html", "url").isNotNull().alias("has_next")))
+    gaps = ingest.page_gaps(listed.select(F.col("category").alias("listing"), "page", "has_next"))
     odd = contracts.page_yield(listed.select(F.col("category").alias("listing"), "page", F.size("links").alias("n")), PAGE)
     told = firsts.join(rows.select("url", F.nullif("category", F.lit("")).alias("told")), "url", "left")
     read = firsts.join(rows.select("url", F.lit(True).alias("read")), "url", "left")
