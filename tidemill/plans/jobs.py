@@ -72,7 +72,8 @@ def fresh(boards: DataFrame, extractor: Extractor | None = None, calls: int = CA
     An extractor, if given, is asked about fields that the rules left empty and the text hints at, for so many
     descriptions at most: first those open to Colombia, then the unclear ones. Its answers come back too.
     """
-    raw = parsers.postings(boards).withColumn("family_id", text.family_id(F.col("company"), F.col("title")))
+    # read twice below, for each posting and for each description: boards are parsed once, by one Python worker in a task
+    raw = kept(parsers.postings(boards).withColumn("family_id", text.family_id(F.col("company"), F.col("title"))), "parsed")
     rows = extraction.enriched(raw.withColumn("_body", F.col("description")), "description", "key")
     told = None
     if extractor is not None:
